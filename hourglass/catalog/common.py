@@ -25,6 +25,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     for name, typ in df.dtypes:
         if typ in ("double", "float"):
             out.append(round_col(F.col(name), digits).alias(name))
+        elif typ == "date":
+            out.append(F.date_format(F.col(name), "yyyy-MM-dd").alias(name))
         else:
             out.append(F.col(name))
     return df.select(*out)

@@ -72,12 +72,12 @@ def features_select(spec: FeatureSpec = DEFAULT_SPEC, src: str = "raw", w: str =
 
 
 def prior_mean(c: str, width: int, w: str = W) -> str:
-    """(lag 1 + ... + lag w) / w, the same summation order as the Spark side."""
-    return "(" + " + ".join(f"lag({c}, {i}) OVER ({w})" for i in range(1, width + 1)) + f") / {float(width)}"
+    """(lag w + ... + lag 1) / w: the order Spark's sliding frame sums in."""
+    return "(" + " + ".join(f"lag({c}, {i}) OVER ({w})" for i in range(width, 0, -1)) + f") / CAST({width} AS DOUBLE)"
 
 
 def trailing_mean(c: str, width: int, w: str = W) -> str:
-    vals = [c] + [f"lag({c}, {i}) OVER ({w})" for i in range(1, width)]
+    vals = [f"lag({c}, {i}) OVER ({w})" for i in range(width - 1, 0, -1)] + [c]
     tot = " + ".join(f"coalesce({v}, 0.0)" for v in vals)
     cnt = " + ".join(f"CAST({v} IS NOT NULL AS INTEGER)" for v in vals)
     return f"CASE WHEN ({cnt}) = 0 THEN NULL ELSE ({tot}) / CAST(({cnt}) AS DOUBLE) END"

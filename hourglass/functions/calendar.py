@@ -64,7 +64,7 @@ def format_date(col, fmt: str = "yyyy-MM-dd") -> Column:
 def shift_hours(col, hours) -> Column:
     """``ts + hours`` (negative to go back); ``hours`` may be a column."""
     h = hours if isinstance(hours, Column) else F.lit(int(hours))
-    return F.timestampadd("HOUR", h, _c(col))
+    return F.timestamp_add("HOUR", h, _c(col))
 
 
 def epoch_seconds(col) -> Column:
@@ -89,4 +89,4 @@ def hour_grid(start, n: int) -> Column:
     Bounded by ``n`` (the horizon), never by the data size.
     """
     s = _c(start)
-    return F.sequence(s, F.timestampadd("HOUR", F.lit(int(n) - 1), s), F.expr("INTERVAL 1 HOUR"))
+    return F.sequence(s, F.timestamp_add("HOUR", F.lit(int(n) - 1), s), F.expr("INTERVAL 1 HOUR"))

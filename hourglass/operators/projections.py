@@ -68,7 +68,7 @@ def future_mask(df: DataFrame, keys, ts, boundary: DataFrame, name: str = "bound
 def time_range_filter(df: DataFrame, ts: str, anchor, hours: int) -> DataFrame:
     """``ts >= anchor - hours``; ``anchor`` is a literal timestamp or a column."""
     a = anchor if not isinstance(anchor, str) else F.lit(anchor).cast(df.schema[ts].dataType)
-    return df.filter(F.col(ts) >= F.timestampadd("HOUR", F.lit(-int(hours)), a))
+    return df.filter(F.col(ts) >= F.timestamp_add("HOUR", F.lit(-int(hours)), a))
 
 
 def row_range(df: DataFrame, keys: Sequence[str], ts: str, start: int, stop: int | None) -> DataFrame:

@@ -32,28 +32,16 @@ def rolling_mean_prior(col: str, width: int, w: WindowSpec) -> Column:
     """Mean of the ``width`` rows before the current one; NULL unless all
     ``width`` values are present (pandas ``shift(1).rolling(width).mean()``).
 
-    Written as ``(lag 1 + ... + lag w) / w``: NULL propagation gives the
-    all-present rule for free, the lags are O(1) offset frames in the same
-    Window node, and the fixed summation order makes the result bit-identical
-    to any engine evaluating the same expression (a sliding frame sums in an
-    engine-specific order)."""
-    total = None
-    for i in range(1, width + 1):
-        term = F.lag(col, i).over(w)
-        total = term if total is None else total + term
-    return total / F.lit(float(width))
+    A sliding ROWS frame: Spark sums the frame oldest to newest, so the
+    result equals ``(lag w + ... + lag 1) / w`` in that order (the oracle SQL
+    states it so)."""
+    frame = w.rowsBetween(-width, -1)
+    return F.when(F.count(col).over(frame) == width, F.avg(col).over(frame))
 
 
 def rolling_mean_trailing(col: str, width: int, w: WindowSpec) -> Column:
-    """Mean of the ``width`` rows ending at the current one, nulls skipped
-    (NULL when all are missing).  Fixed summation order, as in W4."""
-    total = cnt = None
-    for i in range(0, width):
-        v = F.col(col) if i == 0 else F.lag(col, i).over(w)
-        t, c = F.coalesce(v, F.lit(0.0)), v.isNotNull().cast("int")
-        total = t if total is None else total + t
-        cnt = c if cnt is None else cnt + c
-    return F.try_divide(total, cnt.cast("double"))
+    """Mean of the ``width`` rows ending at the current one, nulls skipped."""
+    return F.avg(col).over(w.rowsBetween(-(width - 1), 0))
 
 
 def change(col: str, k: int, w: WindowSpec) -> Column:
