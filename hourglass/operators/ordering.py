@@ -19,13 +19,13 @@ def sort_by_time(df: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
     return df.orderBy(*keys, ts)
 
 
-def top_k(df: DataFrame, by: str, k: int, tiebreak: str | None = None, ascending: bool = False,
+def top_k(df: DataFrame, by: str, k: int, tiebreak: Sequence[str] | str | None = None, ascending: bool = False,
           rank_name: str = "rank") -> DataFrame:
     """O2: the ``k`` rows with the largest ``by`` (ties by ``tiebreak``),
     numbered 1..k."""
     o = [F.col(by).asc() if ascending else F.col(by).desc()]
     if tiebreak:
-        o.append(F.col(tiebreak).asc())
+        o += [F.col(t).asc() for t in ([tiebreak] if isinstance(tiebreak, str) else tiebreak)]
     top = df.orderBy(*o).limit(k)
     return top.withColumn(rank_name, F.row_number().over(Window.orderBy(*o)))  # k rows only
 
