@@ -79,7 +79,9 @@ def point_in_time_join(entity_rows: DataFrame, view: DataFrame, keys: Sequence[s
     ts_type = view.schema[ts].dataType
 
     ent_b = entity_rows.withColumn("_b", F.floor(F.unix_micros(F.col(as_of).cast("timestamp")) / width))
-    view_b = view.select(*keys, *vcols).withColumn("_b", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / width))
+    view_b = (view.select(*keys, *vcols)
+                  .na.drop(subset=[*keys, ts])  # NULL keys never match, as in SQL
+                  .withColumn("_b", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / width)))
     payload = F.struct(*[F.col(c).alias(c) for c in vcols])
     v_type = view_b.select(payload.alias("_v")).schema["_v"].dataType
     e_cols = [c for c in entity_rows.columns]
@@ -91,7 +93,8 @@ def point_in_time_join(entity_rows: DataFrame, view: DataFrame, keys: Sequence[s
     # 2) carry: latest view row in any strictly earlier bucket, computed on the
     #    small (keys x bucket) table of entity buckets and view buckets.
     need = ent_b.select(*keys, "_b").distinct().withColumn("_v", F.lit(None).cast(v_type))
-    wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    # RANGE frame on the bucket number: strictly earlier buckets only.
+    wk = Window.partitionBy(*keys).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
     carry = (last_in_bucket.unionByName(need)
              .withColumn("_carry", F.last("_v", ignorenulls=True).over(wk))
              .groupBy(*keys, "_b").agg(F.max("_carry").alias("_carry"))
