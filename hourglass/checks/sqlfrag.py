@@ -53,7 +53,7 @@ RAW_HOURLY_CTE = _raw_hourly_cte()
 W = "PARTITION BY location_id ORDER BY timestamp"
 
 
-def features_select(spec: FeatureSpec = DEFAULT_SPEC, src: str = "raw", w: str = W) -> str:
+def features_select(spec: FeatureSpec = DEFAULT_SPEC, src: str = "raw", w: str = W, align: str = "target") -> str:
     """SELECT producing the feature table (before dropping incomplete rows)."""
     t = spec.target_source
     cols = ["*",
@@ -66,8 +66,16 @@ def features_select(spec: FeatureSpec = DEFAULT_SPEC, src: str = "raw", w: str =
     cols += [f"lead({t}, 1) OVER ({w}) AS {spec.target}"]
     cols += [f"lag({p}, {k}) OVER ({w}) AS {p}_lag_{k}" for p in spec.pollutants for k in spec.pollutant_lags]
     for name, c, width in spec.mean_cols():
-        cols.append(f"{prior_mean(c, width, w)} AS {name}")
-    cols += [f"{c} - lag({c}, {k}) OVER ({w}) AS {name}" for name, c, k in spec.change_cols()]
+        if align == "reference":
+            m = prior_mean(c, width - 1, w) if c == t and width > 1 else trailing_mean(c, width, w)
+        else:
+            m = prior_mean(c, width, w)
+        cols.append(f"{m} AS {name}")
+    for name, c, k in spec.change_cols():
+        if align == "reference" and c == t:
+            cols.append(f"lag({c}, 1) OVER ({w}) - lag({c}, {k + 1}) OVER ({w}) AS {name}")
+        else:
+            cols.append(f"{c} - lag({c}, {k}) OVER ({w}) AS {name}")
     return "SELECT " + ",\n  ".join(cols) + f"\nFROM {src}"
 
 
@@ -94,3 +102,55 @@ FEATURES_CTE = (RAW_HOURLY_CTE + ",\nfeat_all AS (\n" + features_select() + "\n)
 def rounded_select(columns_types: dict[str, str], src: str) -> str:
     parts = [r6(c, c) if t in ("double", "float") else c for c, t in columns_types.items()]
     return "SELECT " + ", ".join(parts) + f" FROM {src}"
+
+
+def dbl(v: float) -> str:
+    """A DOUBLE literal that parses to exactly the same IEEE value."""
+    return "%.17e" % float(v)
+
+
+def exog_sql(b0: float, beta: dict, spec: FeatureSpec = DEFAULT_SPEC) -> str:
+    from hourglass.plans.forecast import aqi_dependent
+
+    dep = set(aqi_dependent(spec))
+    e = dbl(b0)
+    for c in spec.feature_columns():
+        if c not in dep and beta.get(c, 0.0):
+            e = f"{e} + {dbl(beta[c])} * CAST({c} AS DOUBLE)"
+    return e
+
+
+def forecast_sql(b0: float, beta: dict, horizon: int = 72, align: str = "target",
+                 spec: FeatureSpec = DEFAULT_SPEC) -> str:
+    """DuckDB recursive-CTE twin of ``recursive_forecast_linear`` on the events
+    mapping (returns the CTE chain ending in ``fc``)."""
+    from hourglass.plans.forecast import offset_weights
+
+    gamma = offset_weights(beta, spec, align)
+    depth = max(gamma) if gamma else 1
+    v = "b.e[r.step + 1]"
+    for d, g in gamma.items():
+        v = f"{v} + {dbl(g)} * r.acc[-{d}]"
+    if align == "target":
+        ex_rows, ts_col = f"_rd >= 2 AND _rd <= {horizon + 1}", "_next_ts"
+    else:
+        ex_rows, ts_col = f"_rd <= {horizon}", "timestamp"
+    return f"""{RAW_HOURLY_CTE},
+f AS ({features_select(spec, align=align)}),
+pos AS (SELECT *, lead(timestamp) OVER ({W}) AS _next_ts,
+        row_number() OVER (PARTITION BY location_id ORDER BY timestamp DESC) AS _rd, {exog_sql(b0, beta, spec)} AS _exog FROM f),
+hist AS (SELECT location_id, list(CAST({spec.target_source} AS DOUBLE) ORDER BY timestamp) AS h FROM pos
+         WHERE _rd > {horizon} AND _rd <= {horizon + depth} GROUP BY 1),
+ex AS (SELECT location_id, list(_exog ORDER BY timestamp) AS e, list({ts_col} ORDER BY timestamp) AS t FROM pos
+       WHERE {ex_rows} GROUP BY 1),
+base AS (SELECT ex.location_id, ex.e, ex.t, hist.h FROM ex JOIN hist ON ex.location_id = hist.location_id),
+rec(location_id, step, acc) AS (
+  SELECT location_id, 0, h FROM base
+  UNION ALL
+  SELECT r.location_id, r.step + 1,
+         list_append(r.acc, CASE WHEN ({v}) < CAST(0 AS DOUBLE) THEN CAST(0 AS DOUBLE) ELSE ({v}) END)
+  FROM rec r JOIN base b ON r.location_id = b.location_id WHERE r.step < len(b.e)
+),
+fc AS (SELECT r.location_id, b.t[r.step] AS timestamp, CAST(r.step AS INTEGER) AS step,
+              CAST(floor((r.step - 1) / 24) + 1 AS INTEGER) AS forecast_day, r.acc[-1] AS predicted_aqi
+       FROM rec r JOIN base b ON r.location_id = b.location_id WHERE r.step > 0)"""

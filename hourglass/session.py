@@ -17,6 +17,9 @@ REQUIRED_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Feature plans are wide (80+ columns); constraint inference over them
+    # grows combinatorially in the optimizer and buys nothing here.
+    "spark.sql.constraintPropagation.enabled": "false",
 }
 
 
@@ -66,3 +69,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
+
+
+def materialize(df):
+    """Cut a long lineage with a reliable checkpoint in the shared
+    ``spark.checkpoint.dir`` (survives executor loss; never a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
