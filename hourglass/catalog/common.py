@@ -20,16 +20,20 @@ def round_col(c, digits: int = 6):
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round every double column (and drop negative zero) for exact compares."""
+    """Round every double column (and drop negative zero) for exact compares.
+    Built as SQL text in one ``selectExpr`` (one driver call for all columns)."""
+    scale = f"CAST({10 ** digits} AS DOUBLE)"
     out = []
     for name, typ in df.dtypes:
+        c = "`" + name.replace("`", "``") + "`"
         if typ in ("double", "float"):
-            out.append(round_col(F.col(name), digits).alias(name))
+            out.append(f"CASE WHEN abs({c}) < CAST(1e12 AS DOUBLE) THEN CAST(floor({c} * {scale} + CAST(0.5 AS DOUBLE)) "
+                       f"AS DOUBLE) / {scale} ELSE {c} END + CAST(0 AS DOUBLE) AS {c}")
         elif typ == "date":
-            out.append(F.date_format(F.col(name), "yyyy-MM-dd").alias(name))
+            out.append(f"date_format({c}, 'yyyy-MM-dd') AS {c}")
         else:
-            out.append(F.col(name))
-    return df.select(*out)
+            out.append(c)
+    return df.selectExpr(*out)
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:

@@ -27,20 +27,61 @@ from hourglass.operators.windows import (
 from hourglass.schema import DEFAULT_SPEC, FeatureSpec
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Spark orders NaN above numbers and ``avg`` propagates it; pandas skips it.
     Convert at ingest so windows behave like the reference."""
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in cols
-                           if dict(df.dtypes)[c] in ("double", "float")})
+    types = dict(df.dtypes)
+    conv = {c: F.when(~F.isnan(c), F.col(c)) for c in cols if types[c] in ("double", "float")}
+    return df.withColumns(conv)
 
 
-def feature_columns_expr(spec: FeatureSpec, keys: Sequence[str], ts: str, align: str = "target") -> dict:
-    """Column expressions of the lag/rolling/change/target families.
+def feature_sql(spec: FeatureSpec, keys: Sequence[str], ts: str, align: str = "target") -> dict[str, str]:
+    """Spark SQL text of every lag/lead/rolling/change column, keyed by name.
 
-    ``align="target"`` is the training form (W4 strict prior means, W6 changes).
-    ``align="reference"`` reproduces the forecast loop's form (W5 trailing
-    means with the current AQI unknown, W7 changes).
-    """
+    The same expressions as ``hourglass.operators.windows`` (W1-W7), written as
+    one ``selectExpr`` so the driver makes one call instead of hundreds; all
+    share ``PARTITION BY keys ORDER BY ts`` and land in one Window node."""
+    w = f"PARTITION BY {', '.join(_q(k) for k in keys)} ORDER BY {_q(ts)}"
+    src = _q(spec.target_source)
+
+    def lag(c, k):
+        return f"lag({c}, {k}) OVER ({w})"
+
+    def prior(c, n):
+        fr = f"({w} ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING)"
+        return f"CASE WHEN count({c}) OVER {fr} = {n} THEN avg({c}) OVER {fr} END"
+
+    def trailing(c, n):
+        return f"avg({c}) OVER ({w} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)"
+
+    out = {}
+    for k in spec.aqi_lags:
+        out[f"{spec.target_alias}_lag_{k}"] = lag(src, k)
+    out[spec.target] = f"lead({src}, 1) OVER ({w})"
+    for p in spec.pollutants:
+        for k in spec.pollutant_lags:
+            out[f"{p}_lag_{k}"] = lag(_q(p), k)
+    for name, col, width in spec.mean_cols():
+        c = _q(col)
+        if align == "reference":
+            out[name] = prior(c, width - 1) if col == spec.target_source and width > 1 else trailing(c, width)
+        else:
+            out[name] = prior(c, width)
+    for name, col, k in spec.change_cols():
+        c = _q(col)
+        if align == "reference" and col == spec.target_source:
+            out[name] = f"{lag(c, 1)} - {lag(c, k + 1)}"
+        else:
+            out[name] = f"{c} - {lag(c, k)}"
+    return out
+
+
+def feature_columns_expr(spec: FeatureSpec, keys: Sequence[str], ts: str, align: str = "target") -> dict:
+    """Column-API form of ``feature_sql`` (W1-W7 operators)."""
     w = series_window(keys, ts)
     src = spec.target_source
     out = {}
@@ -52,7 +93,6 @@ def feature_columns_expr(spec: FeatureSpec, keys: Sequence[str], ts: str, align:
             out[f"{p}_lag_{k}"] = lag_col(p, k, w)
     for name, col, width in spec.mean_cols():
         if align == "reference":
-            # the forecast loop averages AQI over w-1 known hours, pollutants incl. the current one
             out[name] = (rolling_mean_prior(col, width - 1, w) if col == src and width > 1
                          else rolling_mean_trailing(col, width, w))
         else:
@@ -73,11 +113,17 @@ def build_features(raw: DataFrame, keys: Sequence[str] = ("location_id",), ts: s
     """
     keys = list(keys)
     require_columns(raw, [*keys, ts, *spec.required_raw()], "raw")
-    df = nan_to_null(raw, spec.required_raw())
+    df = raw
     if dedup_order is not None:
         df = dedup_keep_last(df, keys, ts, dedup_order)
-    df = calendar_columns(df, ts)
-    df = df.withColumns(feature_columns_expr(spec, keys, ts, align))
+    types = dict(df.dtypes)
+    clean = set(c for c in spec.required_raw() if types[c] in ("double", "float"))
+    t = _q(ts)
+    first = [f"CASE WHEN NOT isnan({_q(c)}) THEN {_q(c)} END AS {_q(c)}" if c in clean else _q(c) for c in df.columns]
+    first += [f"hour({t}) AS hour", f"weekday({t}) AS day_of_week", f"dayofmonth({t}) AS day_of_month",
+              f"month({t}) AS month", f"CAST(weekday({t}) >= 5 AS INT) AS is_weekend"]
+    df = df.selectExpr(*first)
+    df = df.selectExpr("*", *[f"{e} AS {_q(n)}" for n, e in feature_sql(spec, keys, ts, align).items()])
     if drop_incomplete:
         df = df.na.drop(subset=spec.feature_columns() + [spec.target])
     return df
