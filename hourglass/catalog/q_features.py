@@ -33,6 +33,15 @@ def q_hourly_features(spark, sf):
     return rounded(features(spark, sf))
 
 
+@register("hourly_features_chunked", f"WITH {FEATURES_CTE}\n{_sel(ALL_FEATURE_TABLE, 'feat')}")
+def q_hourly_features_chunked(spark, sf):
+    """E1 through halo chunks (96-row chunks, 72-row halo): the long-series
+    plan, equal to ``hourly_features``."""
+    from hourglass.plans.features import build_features_chunked
+
+    return rounded(build_features_chunked(raw(spark, sf), chunk_rows=96).select(*ALL_FEATURE_TABLE))
+
+
 @register("raw_hourly", f"WITH {RAW_HOURLY_CTE}\n{_sel(['location_id', 'timestamp', *S.weather, 'us_aqi', *S.pollutants], 'raw')}")
 def q_raw_hourly(spark, sf):
     """J1 over the two hourly sides of events (E5 backfill join)."""

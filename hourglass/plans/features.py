@@ -133,3 +133,21 @@ def feature_matrix(features: DataFrame, keys: Sequence[str] = ("location_id",),
                    spec: FeatureSpec = DEFAULT_SPEC, extra: Sequence[str] = ()) -> DataFrame:
     """Keys, time, the ordered 70 features and the target (model order)."""
     return features.select(*keys, ts, *spec.feature_columns(), spec.target, *extra)
+
+
+def build_features_chunked(raw: DataFrame, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
+                           spec: FeatureSpec = DEFAULT_SPEC, chunk_rows: int = 24 * 7 * 8,
+                           drop_incomplete: bool = True, align: str = "target",
+                           bucket_seconds: int = 7 * 86400) -> DataFrame:
+    """``build_features`` for very long series: windows run per (keys, chunk)
+    with a halo of ``spec.max_lookback`` rows before and one row after each
+    chunk, so no task holds a whole series.  Output equals ``build_features``."""
+    from hourglass.operators.halo import CHUNK, drop_halo, halo_chunks
+
+    keys = list(keys)
+    h = halo_chunks(raw, keys, ts, chunk_rows, back=spec.max_lookback, ahead=1, bucket_seconds=bucket_seconds)
+    f = build_features(h, [*keys, CHUNK], ts, spec, drop_incomplete=False, align=align)
+    f = drop_halo(f)
+    if drop_incomplete:
+        f = f.na.drop(subset=spec.feature_columns() + [spec.target])
+    return f
