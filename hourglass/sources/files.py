@@ -12,13 +12,18 @@ from hourglass.functions.calendar import calendar_columns
 from hourglass.operators.guards import require_columns
 from hourglass.schema import RAW_HOURLY_SCHEMA, DEFAULT_SPEC
 
+# Timestamp text: written with an explicit offset; read with 'T' or space,
+# optional seconds, fraction and offset (ISO and pandas forms both parse).
+CSV_TS_WRITE = "yyyy-MM-dd HH:mm:ssxxx"
+CSV_TS_READ = "yyyy-MM-dd['T'][' ']HH:mm[:ss][.SSS][XXX]"
+
 
 def read_hourly_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_HOURLY_SCHEMA,
                     required: Sequence[str] | None = None) -> DataFrame:
     """Header CSV scan with an explicit schema (no inference pass); G1 on
     the required names.  Timestamps are read as UTC wall clock."""
     df = (spark.read.schema(schema).option("header", True).option("mode", "FAILFAST")
-               .option("timestampFormat", "yyyy-MM-dd[ HH:mm:ss][' 'HH:mm][XXX]").csv(path))
+               .option("timestampFormat", CSV_TS_READ).csv(path))
     return require_columns(df, required or ["timestamp", *DEFAULT_SPEC.required_raw()], "raw")
 
 
@@ -30,8 +35,9 @@ def read_features(spark: SparkSession, path: str, columns: Sequence[str] | None
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """S3: header CSV, overwrite."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """S3: header CSV, overwrite; timestamps as ``2024-01-01 00:00:00+00:00``,
+    which S1 reads back."""
+    df.write.mode("overwrite").option("header", True).option("timestampFormat", CSV_TS_WRITE).csv(path)
 
 
 def write_features(df: DataFrame, path: str, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
