@@ -30,6 +30,7 @@ from hourglass.plans import attribution as AT
 from hourglass.plans import forecast as FC
 from hourglass.plans import training as TR
 from hourglass.schema import DEFAULT_SPEC as S
+from hourglass.session import materialize
 
 # Fixed test model (a hand-set linear model, not fitted): intercept and
 # coefficients on unscaled features.  Used where SQL must repeat the math.
@@ -55,7 +56,10 @@ _SPLIT = (f"{FEATURES_CTE},\nsp AS (SELECT *, row_number() OVER ({W}) AS _rn, co
 
 
 def _split(spark, sf):
-    return chrono_split(features(spark, sf), KEYS, TS)
+    """Split feature table, written once to the shared checkpoint folder: every
+    model query reads it two or more times (train statistics, scoring), and the
+    checkpoint both avoids recomputing the window plan and cuts its lineage."""
+    return materialize(chrono_split(features(spark, sf), KEYS, TS))
 
 
 def _fixed_pred():
