@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.operators.guards import ContractError
+from hourglass.session import materialize
 
 
 def join_hourly(weather: DataFrame, air: DataFrame, on: Sequence[str] = ("location_id", "timestamp")) -> DataFrame:
@@ -63,56 +64,58 @@ def latest_features(view: DataFrame, entity_rows: DataFrame, keys: Sequence[str]
 
 def point_in_time_join(entity_rows: DataFrame, view: DataFrame, keys: Sequence[str], as_of: str, ts: str,
                        fields: Sequence[str], ttl_seconds: int | None = None,
-                       bucket_seconds: int = 86400) -> DataFrame:
+                       chunks: int | None = None) -> DataFrame:
     """As-of join.  For each entity row, the newest view row with
-    ``ts <= as_of`` (ties: the view row counts as known at ``as_of``), kept only
-    if ``as_of - ts <= ttl``.
-
-    No range join and no per-key global window: rows are bucketed by time, the
-    latest view row of each earlier bucket is carried forward on the small
-    (keys x bucket) table, and the exact pick runs inside (keys, bucket).  A
-    hot key is therefore split across its time buckets.
+    ``ts <= as_of`` (ties: the view row counts as known at ``as_of``; among view
+    rows at the same time the largest payload wins), kept only if
+    ``as_of - ts <= ttl``.
+
+    No range join and no window over a whole key: both sides are range-
+    partitioned together on (keys, time) into ``chunks`` parts of about equal
+    row count (default ``spark.sql.shuffle.partitions``), so a key holding a
+    third of all rows is cut into many time-ordered chunks.  Each (keys, chunk)
+    is matched on its own; the newest view row of earlier chunks of the same
+    key is carried forward on the small (keys x chunk) table.
     """
     keys = list(keys)
     vcols = [ts, *fields]
-    width = int(bucket_seconds) * 1_000_000
     ts_type = view.schema[ts].dataType
+    n = int(chunks or entity_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    ent_b = entity_rows.withColumn("_b", F.floor(F.unix_micros(F.col(as_of).cast("timestamp")) / width))
-    view_b = (view.select(*keys, *vcols)
-                  .na.drop(subset=[*keys, ts])  # NULL keys never match, as in SQL
-                  .withColumn("_b", F.floor(F.unix_micros(F.col(ts).cast("timestamp")) / width)))
     payload = F.struct(*[F.col(c).alias(c) for c in vcols])
-    v_type = view_b.select(payload.alias("_v")).schema["_v"].dataType
-    e_cols = [c for c in entity_rows.columns]
+    v_type = view.select(payload.alias("_v")).schema["_v"].dataType
+    e_cols = list(entity_rows.columns)
     e_payload = F.struct(*[F.col(c).alias(c) for c in e_cols])
     e_type = entity_rows.select(e_payload.alias("_e")).schema["_e"].dataType
 
-    # 1) latest view row per (keys, bucket): partial aggregation.
-    last_in_bucket = view_b.groupBy(*keys, "_b").agg(F.max_by(payload, F.col(ts)).alias("_v"))
-    # 2) carry: latest view row in any strictly earlier bucket, computed on the
-    #    small (keys x bucket) table of entity buckets and view buckets.
-    need = ent_b.select(*keys, "_b").distinct().withColumn("_v", F.lit(None).cast(v_type))
-    # RANGE frame on the bucket number: strictly earlier buckets only.
-    wk = Window.partitionBy(*keys).orderBy("_b").rangeBetween(Window.unboundedPreceding, -1)
-    carry = (last_in_bucket.unionByName(need)
-             .withColumn("_carry", F.last("_v", ignorenulls=True).over(wk))
-             .groupBy(*keys, "_b").agg(F.max("_carry").alias("_carry"))
-             .filter(F.col("_carry").isNotNull()))
-    # 3) inside each (keys, bucket): view rows, the carried row and entity rows;
-    #    ``last(ignorenulls)`` in time order, view before entity on ties.
-    null_e = F.lit(None).cast(e_type)
-    side_view = view_b.select(*keys, "_b", F.col(ts).alias("_t"), F.lit(0).alias("_side"),
-                              payload.alias("_v"), null_e.alias("_e"))
-    side_carry = carry.select(*keys, "_b", F.col("_carry").getField(ts).alias("_t"), F.lit(0).alias("_side"),
-                              F.col("_carry").alias("_v"), null_e.alias("_e"))
-    side_ent = ent_b.select(*keys, "_b", F.col(as_of).cast(ts_type).alias("_t"), F.lit(1).alias("_side"),
-                            F.lit(None).cast(v_type).alias("_v"), e_payload.alias("_e"))
-    wb = Window.partitionBy(*keys, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    matched = (side_view.unionByName(side_carry).unionByName(side_ent)
-               .withColumn("_m", F.last("_v", ignorenulls=True).over(wb))
-               .filter(F.col("_side") == 1))
-    m = F.col("_m")
+    side_view = (view.select(*keys, *vcols)
+                     .na.drop(subset=[*keys, ts])  # NULL keys never match, as in SQL
+                     .select(*keys, F.col(ts).alias("_t"), F.lit(0).alias("_side"), payload.alias("_v"),
+                             F.lit(None).cast(e_type).alias("_e")))
+    side_ent = entity_rows.select(*keys, F.col(as_of).cast(ts_type).alias("_t"), F.lit(1).alias("_side"),
+                                  F.lit(None).cast(v_type).alias("_v"), e_payload.alias("_e"))
+    # 1) balanced, time-ordered chunks: the range partition id is the chunk.
+    #    Range bounds are sampled anew on every execution, so the tagged rows
+    #    are written once (reliable checkpoint in the shared folder) and every
+    #    branch below reads the same chunk ids.
+    both = materialize(side_view.unionByName(side_ent)
+                                .repartitionByRange(n, *keys, "_t", "_side")
+                                .withColumn("_c", F.spark_partition_id()))
+    # 2) match inside each (keys, chunk): newest view row so far in time order.
+    wc = Window.partitionBy(*keys, "_c").orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
+    local = both.withColumn("_m", F.last("_v", ignorenulls=True).over(wc)).filter(F.col("_side") == 1)
+    # 3) carry: newest view row of any strictly earlier chunk of the same key,
+    #    on one row per (keys, chunk) (partial aggregation first).
+    ends = (both.filter(F.col("_side") == 0).groupBy(*keys, "_c")
+                .agg(F.max(F.struct(F.col("_t"), F.col("_v"))).getField("_v").alias("_end")))
+    need = local.select(*keys, "_c").distinct().withColumn("_end", F.lit(None).cast(v_type))
+    wk = Window.partitionBy(*keys).orderBy("_c").rangeBetween(Window.unboundedPreceding, -1)
+    carry = (ends.unionByName(need)
+                 .withColumn("_carry", F.last("_end", ignorenulls=True).over(wk))
+                 .groupBy(*keys, "_c").agg(F.max("_carry").alias("_carry"))
+                 .filter(F.col("_carry").isNotNull()))
+    matched = local.join(carry, [*keys, "_c"], "left")
+    m = F.when(F.col("_t").isNotNull(), F.coalesce(F.col("_m"), F.col("_carry")))
     if ttl_seconds is not None:
         age = (F.unix_micros(F.col("_t").cast("timestamp"))
                - F.unix_micros(m.getField(ts).cast("timestamp")))

@@ -8,7 +8,8 @@ from hourglass.operators import joins as J
 from hourglass.operators.guards import ContractError
 
 
-def test_point_in_time_join_matches_brute_force(spark):
+@pytest.mark.parametrize("chunks", [1, 7, 64])
+def test_point_in_time_join_matches_brute_force(spark, chunks):
     rng = np.random.default_rng(7)
     t0 = dt.datetime(2024, 1, 1)
     # user 0 is hot: a third of all view rows
@@ -21,17 +22,20 @@ def test_point_in_time_join_matches_brute_force(spark):
     ent += [(10_000, None, t0 + dt.timedelta(days=4))]
     # an entity exactly at a view time matches that view row
     ent += [(10_001, view[0][0], view[0][1])]
+    # two view rows at one time: the larger value wins; an entity with no time matches nothing
+    view += [(1, t0 + dt.timedelta(days=2, minutes=1), 5.0), (1, t0 + dt.timedelta(days=2, minutes=1), 6.0)]
+    ent += [(10_002, 1, t0 + dt.timedelta(days=2, minutes=1)), (10_003, 1, None)]
     vdf = spark.createDataFrame(view, "user_id long, ts timestamp_ntz, value double")
     edf = spark.createDataFrame(ent, "event_id long, user_id long, as_of timestamp_ntz")
     ttl = 3 * 86400
     got = J.point_in_time_join(edf, vdf, ["user_id"], "as_of", "ts", ["value"], ttl_seconds=ttl,
-                               bucket_seconds=86400).toPandas().sort_values("event_id").reset_index(drop=True)
+                               chunks=chunks).toPandas().sort_values("event_id").reset_index(drop=True)
     # brute force
     exp = []
     for eid, u, a in ent:
-        cands = [(t, v) for (vu, t, v) in view if vu is not None and u is not None and vu == u and t <= a]
+        cands = [(t, v) for (vu, t, v) in view if vu is not None and u is not None and a is not None and vu == u and t <= a]
         if cands:
-            t, v = max(cands, key=lambda x: x[0])
+            t, v = max(cands)  # newest; equal times: largest value
             if (a - t).total_seconds() <= ttl:
                 exp.append((eid, t, v))
                 continue
