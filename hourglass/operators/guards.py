@@ -86,19 +86,34 @@ def assert_shape(df: DataFrame, rows: int | None = None, cols: int | None = None
     return df
 
 
-def monotonic_report(df: DataFrame, keys: Sequence[str], ts: str, ordinal: str) -> DataFrame:
+def monotonic_report(df: DataFrame, keys: Sequence[str], ts: str, ordinal: str,
+                     chunks: int | None = None) -> DataFrame:
     """Per series, count rows whose ``ts`` is earlier than the previous
     row in arrival order (``ordinal``).  A DataFrame has no row order, so the
-    arrival ordinal must be a column."""
+    arrival ordinal must be a column.
+
+    Skew-safe: rows are range-partitioned on (keys, ordinal) into balanced
+    chunks; the previous row is found inside each (keys, chunk), and the first
+    row of a chunk is compared with the last row of the key's preceding chunk
+    on the small (keys x chunk) table.
+    """
     from pyspark.sql import Window
 
-    w = Window.partitionBy(*keys).orderBy(ordinal)
-    prev = F.lag(ts, 1).over(w)
-    return (df.select(*keys, ordinal, ts, prev.alias("_prev"))
-              .groupBy(*keys)
-              .agg(F.count_if(F.col(ts) < F.col("_prev")).alias("out_of_order"),
-                   F.count(F.lit(1)).alias("rows"))
-              .withColumn("is_monotonic", F.col("out_of_order") == 0))
+    from hourglass.operators.halo import RANGE_CHUNK as C
+    from hourglass.operators.halo import range_chunks
+
+    keys = list(keys)
+    t = range_chunks(df.select(*keys, ordinal, ts), keys, [ordinal], chunks)
+    prev = F.lag(ts, 1).over(Window.partitionBy(*keys, C).orderBy(ordinal))
+    per = (t.select(*keys, C, ordinal, ts, prev.alias("_prev"))
+            .groupBy(*keys, C)
+            .agg(F.count_if(F.col(ts) < F.col("_prev")).alias("_bad"), F.count(F.lit(1)).alias("_n"),
+                 F.min_by(ts, ordinal).alias("_first"), F.max_by(ts, ordinal).alias("_last")))
+    edge = F.col("_first") < F.lag("_last", 1).over(Window.partitionBy(*keys).orderBy(C))
+    per = per.withColumn("_bad", F.col("_bad") + F.coalesce(edge.cast("long"), F.lit(0)))
+    return (per.groupBy(*keys)
+               .agg(F.sum("_bad").cast("long").alias("out_of_order"), F.sum("_n").cast("long").alias("rows"))
+               .withColumn("is_monotonic", F.col("out_of_order") == 0))
 
 
 def all_true(df: DataFrame, predicates: dict[str, object]) -> DataFrame:

@@ -24,6 +24,21 @@ from pyspark.sql import functions as F
 CHUNK = "_chunk"
 HALO = "_halo"
 ORDINAL = "_ordinal"
+RANGE_CHUNK = "_rc"
+
+
+def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame:
+    """Rows tagged with ``_rc``: ``df`` range-partitioned on (keys, order) into
+    ``chunks`` parts of about equal row count (default
+    ``spark.sql.shuffle.partitions``).  Each chunk holds a contiguous run of
+    one or more series in ``order``; a key holding a third of all rows spans
+    many chunks, so per-(key, chunk) work stays bounded by the chunk size.
+
+    The range bounds are sampled on each execution: a plan that reads the
+    tagged rows more than once must write them once first (``materialize``).
+    """
+    n = int(chunks or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *keys, *order).withColumn(RANGE_CHUNK, F.spark_partition_id())
 
 
 def with_ordinal(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: int = 7 * 86400) -> DataFrame:

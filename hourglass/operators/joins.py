@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.operators.guards import ContractError
+from hourglass.operators.halo import RANGE_CHUNK, range_chunks
 from hourglass.session import materialize
 
 
@@ -80,7 +81,6 @@ def point_in_time_join(entity_rows: DataFrame, view: DataFrame, keys: Sequence[s
     keys = list(keys)
     vcols = [ts, *fields]
     ts_type = view.schema[ts].dataType
-    n = int(chunks or entity_rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     payload = F.struct(*[F.col(c).alias(c) for c in vcols])
     v_type = view.select(payload.alias("_v")).schema["_v"].dataType
@@ -94,13 +94,11 @@ def point_in_time_join(entity_rows: DataFrame, view: DataFrame, keys: Sequence[s
                              F.lit(None).cast(e_type).alias("_e")))
     side_ent = entity_rows.select(*keys, F.col(as_of).cast(ts_type).alias("_t"), F.lit(1).alias("_side"),
                                   F.lit(None).cast(v_type).alias("_v"), e_payload.alias("_e"))
-    # 1) balanced, time-ordered chunks: the range partition id is the chunk.
-    #    Range bounds are sampled anew on every execution, so the tagged rows
-    #    are written once (reliable checkpoint in the shared folder) and every
-    #    branch below reads the same chunk ids.
-    both = materialize(side_view.unionByName(side_ent)
-                                .repartitionByRange(n, *keys, "_t", "_side")
-                                .withColumn("_c", F.spark_partition_id()))
+    # 1) balanced, time-ordered chunks.  Two branches read the tagged rows, so
+    #    they are written once (reliable checkpoint in the shared folder) and
+    #    both see the same chunk ids.
+    both = materialize(range_chunks(side_view.unionByName(side_ent), keys, ["_t", "_side"], chunks)
+                       .withColumnRenamed(RANGE_CHUNK, "_c"))
     # 2) match inside each (keys, chunk): newest view row so far in time order.
     wc = Window.partitionBy(*keys, "_c").orderBy("_t", "_side", "_v").rowsBetween(Window.unboundedPreceding, 0)
     local = both.withColumn("_m", F.last("_v", ignorenulls=True).over(wc)).filter(F.col("_side") == 1)
