@@ -137,11 +137,9 @@ def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str]
     ``horizon`` times regardless of data size; lineage is cut with reliable
     checkpoints in ``spark.checkpoint.dir`` so a lost executor recomputes from
     the last checkpoint, never from the source."""
-    from hourglass.session import checkpoint_dir
+    from hourglass.session import materialize, write_table
 
     keys = list(keys)
-    spark = features.sparkSession
-    checkpoint_dir(spark)
     src = spec.target_source
     dep = aqi_dependent(spec)
     depth = max([*spec.aqi_lags, *[w for _, c, w in spec.mean_cols() if c == src],
@@ -159,8 +157,13 @@ def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str]
         rows = base.filter(F.col("_rd") <= horizon).withColumn("_ts", F.col(ts))
         rows = rows.withColumn("_step", (F.lit(horizon + 1) - F.col("_rd")).cast("int"))
     rows = rows.drop(*dep)
+    # Written once: every step reads its hour from these two small tables
+    # (horizon rows and one state row per series), never the window plan.
+    # The state keeps each prediction appended to its history array, so the
+    # loop is one chain of per-hour joins with no growing union of branches.
+    rows = materialize(rows)
+    state = materialize(state.withColumn("_n0", F.size("_acc")))
     shift = 1 if align == "target" else 0
-    preds = None
     for h in range(1, horizon + 1):
         cur = rows.filter(F.col("_step") == h).join(state, keys, "inner")
         a = lambda d: F.try_element_at(F.col("_acc"), F.lit(-d))
@@ -178,12 +181,14 @@ def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str]
             if col == src:
                 feats[name] = a(1) - a(k + 1)
         scored = fitted.predict(cur.withColumns(feats), "_p").withColumn("_p", _clamp(F.col("_p")))
-        step_out = scored.select(*keys, F.col("_ts").alias(ts), F.lit(h).alias("step"), F.col("_p").alias("predicted_aqi"))
-        state = scored.select(*keys, F.concat("_acc", F.array("_p")).alias("_acc"))
-        preds = step_out if preds is None else preds.unionByName(step_out)
+        state = scored.select(*keys, F.concat("_acc", F.array("_p")).alias("_acc"), "_n0")
         if h % checkpoint_every == 0 or h == horizon:
-            state = state.checkpoint(eager=True)
-            preds = preds.checkpoint(eager=True)
+            state = write_table(state)
+    # A series has either all ``horizon`` step rows or none (its state is
+    # empty when it is shorter), so one join reads every prediction back.
+    out = rows.select(*keys, "_ts", "_step").join(state, keys, "inner")
+    preds = out.select(*keys, F.col("_ts").alias(ts), F.col("_step").alias("step"),
+                       F.element_at("_acc", F.col("_n0") + F.col("_step")).alias("predicted_aqi"))
     return preds.withColumn("forecast_day", (F.floor((F.col("step") - 1) / BLOCK_HOURS) + 1).cast("int"))
 
 
@@ -223,6 +228,16 @@ def backtest_linear(raw: DataFrame, b0: float, beta: dict, keys: Sequence[str] =
     return attach_actuals(fc, raw, keys, ts, spec.target_source)
 
 
+def backtest_stepwise(raw: DataFrame, fitted, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
+                      horizon: int = FORECAST_HORIZON, align: str = "target", spec: FeatureSpec = DEFAULT_SPEC,
+                      checkpoint_every: int = 8) -> DataFrame:
+    """M15 for any fitted model (the tree champion): stepwise forecast of the
+    last ``horizon`` rows of every series, then the actuals attached."""
+    feats = build_features(raw, keys, ts, spec, drop_incomplete=False, align=align)
+    fc = recursive_forecast_stepwise(feats, fitted, keys, ts, horizon, align, spec, checkpoint_every)
+    return attach_actuals(fc, raw, keys, ts, spec.target_source)
+
+
 def horizon_grid(raw: DataFrame, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
                  horizon: int = FORECAST_HORIZON) -> DataFrame:
     """F10 per series: the ``horizon`` hours after its last observation, with

@@ -76,3 +76,17 @@ def materialize(df):
     ``spark.checkpoint.dir`` (survives executor loss; never a local checkpoint)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: a lineage cut whose plan is a plain file scan, with no link to the
+    plan that produced it.  Used inside driver loops (one table per step),
+    where a checkpointed relation would keep its origin plan alive."""
+    import uuid
+
+    base = checkpoint_dir(df.sparkSession).rstrip("/")
+    path = f"{base}/tables/{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
