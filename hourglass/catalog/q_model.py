@@ -516,3 +516,12 @@ def q_ridge_forecast(spark, sf):
     fm = TR.fit_ridge(train, FEATS)
     b0, beta = fm.linear_terms(spark)
     return rounded(FC.backtest_linear(raw(spark, sf), b0, beta, KEYS, TS, HORIZON))
+
+
+@register("boosted_forecast", None)
+def q_boosted_forecast(spark, sf):
+    """M14 + M15 for the tree champion (20 rounds): no closed recurrence, so
+    the forecast steps hour by hour over all series at once."""
+    _, train = _fit_inputs(spark, sf)
+    fm = TR.fit_boosted(train, FEATS, rounds=20)
+    return rounded(FC.backtest_stepwise(raw(spark, sf), fm, KEYS, TS, HORIZON))
