@@ -13,6 +13,7 @@ from hourglass.functions.numeric import aqi_category, round_half_even, safe_div
 from hourglass.operators import aggregates as A
 from hourglass.operators.guards import all_true, monotonic_report
 from hourglass.schema import AQI_CATEGORY_BOUNDS, DEFAULT_SPEC as S
+from hourglass.session import materialize
 
 RAW_COLS = ["location_id", "timestamp", *S.weather, "us_aqi", *S.pollutants]
 NUM_RAW = [*S.weather, "us_aqi", *S.pollutants]
@@ -88,8 +89,11 @@ def _describe_sql():
 
 @register("describe", _describe_sql())
 def q_describe(spark, sf):
-    """A4: count, mean, std, min, exact quartiles, max per series and column."""
-    return rounded(A.describe(raw(spark, sf), NUM_RAW, KEYS))
+    """A4: count, mean, std, min, exact quartiles, max per series and column.
+    The hourly table feeds about fifteen branches (moments, the range sort, its
+    per-partition counts, the picked order statistics), so it is written once
+    to the shared checkpoint folder instead of being re-aggregated per branch."""
+    return rounded(A.describe(materialize(raw(spark, sf)), NUM_RAW, KEYS))
 
 
 @register("target_stats", f"WITH {FEATURES_CTE}\nSELECT location_id, {r6('avg(target_aqi)', 'mean')}, "
