@@ -102,3 +102,20 @@ def test_stepwise_with_linear_model_equals_fold(spark, align):
     assert (m["_merge"] == "both").all() and len(m) == 26 * fold["location_id"].nunique()
     assert set(m["forecast_day"]) == {1, 2}
     np.testing.assert_allclose(m["predicted_aqi_step"], m["predicted_aqi_fold"], rtol=1e-9, atol=1e-7)
+
+
+def test_boosted_forecast_query_shape(spark):
+    """The registered tree backtest: every series gets steps 1..72 over three
+    forecast days, predictions are clamped at 0, and each hour's actual is the
+    observed value of that hour."""
+    import __spark_entry__ as E
+
+    sf = "/root/testdata/sf0.001"
+    out = E.queries()["boosted_forecast"](spark, sf).toPandas()
+    raw = raw_hourly_from_dir(spark, sf).select("location_id", "timestamp", "us_aqi").toPandas()
+    per = out.groupby("location_id")["step"].apply(lambda s: sorted(s) == list(range(1, 73)))
+    assert len(per) == raw["location_id"].nunique() and per.all()
+    assert set(out["forecast_day"]) == {1, 2, 3}
+    assert (out["predicted_aqi"] >= 0).all()
+    m = out.merge(raw, on=["location_id", "timestamp"], how="left")
+    np.testing.assert_allclose(m["future_us_aqi"], m["us_aqi"].round(6), atol=1e-6)
