@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, mixing, sharding, topk
+from hourglass.llm import archives, mixing, passages, sharding, topk
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -111,3 +111,9 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").filter(topk.valid(F.col("embedding")))
     return topk.top_k(rows.select("vec_id", topk.quantized(F.col("embedding")).alias("embedding")), F.col("vec_id") % 100 == 0, k=10)
+
+
+@register("op10_suffix")
+def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = passages.repeated_passages(table(spark, sf_dir, "documents"), length=200)
+    return out.select(F.col("doc_id").cast("long"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
