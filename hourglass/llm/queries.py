@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, mixing, passages, sharding, topk
+from hourglass.llm import archives, langid, mixing, passages, sharding, topk, toxicity
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -117,3 +117,33 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = passages.repeated_passages(table(spark, sf_dir, "documents"), length=200)
     return out.select(F.col("doc_id").cast("long"), "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+def _crc(mod: int):
+    return F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % mod
+
+
+def language_model(docs: DataFrame) -> langid.Model:
+    """A calibrated model of the documents whose id hash does not hold them out."""
+    train = docs.filter(_crc(3) != 1)
+    return langid.calibrate(langid.fit(train), train)
+
+
+@register("op5_langid")
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs, language_model(docs))
+    return out.select("doc_id", (_crc(3) == 1).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
+@register("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str, train_rows: int = 4000) -> DataFrame:
+    """Fitted on at most ``train_rows`` labelled documents of each label: the ones
+    with the least id hashes, found before any text is read."""
+    docs = table(spark, sf_dir, "documents")
+    held = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 4 == 2
+    labels = table(spark, sf_dir, "labels").filter("doc_id is not null and toxic in (0, 1)").filter(~held).groupBy("doc_id").agg(F.max("toxic").alias("label"))
+    ids = [labels.filter(F.col("label") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows) for k in (0, 1)]
+    train = docs.select("doc_id", "text").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")  # at most 2 * train_rows rows
+    out = toxicity.score(docs, toxicity.fit(train))
+    return out.select("doc_id", held.alias("held_out"), "score", "predicted", "worst_word")
