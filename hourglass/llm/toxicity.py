@@ -24,6 +24,7 @@ ignored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import unicodedata
 
@@ -39,116 +40,148 @@ BLOCK = 4 << 20
 CACHE = 400_000
 
 _SPACED = re.compile(r"(?<!\S)(?:[^\W\d_] ){2,}[^\W\d_](?!\S)")
+_SENTENCE = re.compile(r"(?<=[.!?])\s+|\n")
 
 
 class _Letters(dict):
-    """Maps a code point to itself if it is a letter, to a blank if it is one, else to nothing."""
+    """Maps a code point to itself if it is a letter or mark, to a blank if it is one, else to nothing."""
 
     def __missing__(self, c):
         x = chr(c)
-        self[c] = y = x if x.isalpha() or unicodedata.category(x) == "Mn" else " " if x.isspace() or x in "|/" else "\n" if x in ".!?" else None
+        self[c] = y = c if x.isalpha() or unicodedata.category(x) == "Mn" else " " if x.isspace() or x in "|/" else None
         return y
 
 
 _KEEP = _Letters()
-
-
-def sentences(text: str) -> list[list[str]]:
-    """The words of each sentence (or line)."""
-    out = []
-    # a full stop inside a word ("i.d.i.o.t") does not end a sentence
-    low = re.sub(r"(?<=\w)[.!?](?=\w)", "", text.lower())
-    for part in low.translate(_KEEP).split("\n"):
-        words = part.split()
-        if words:
-            out.append(words + _joined(part))
+for _c in range(128):
+    _KEEP[_c]
+
+
+def units(text: str) -> set[str]:
+    """The words of a text."""
+    low = text.lower().translate(_KEEP)
+    out = set(low.split())
+    out.update(m.group().replace(" ", "") for m in _SPACED.finditer(low))
+    for w in [w for w in out if len(w) > LONGEST]:
+        out.remove(w)
+        out.update(w[i : i + LONGEST] for i in range(0, len(w) - LONGEST // 2, LONGEST // 2))
     return out
 
 
-def _joined(part: str) -> list[str]:
-    return [m.group().replace(" ", "") for m in _SPACED.finditer(part)]
-
+def sentences(text: str) -> list[set[str]]:
+    """The words of each sentence (or line) that has any."""
+    return [u for part in _SENTENCE.split(text) if (u := units(part))]
 
-def units(word: str) -> list[str]:
-    if len(word) <= LONGEST:
-        return [word]
-    return [word[i : i + LONGEST] for i in range(0, len(word) - LONGEST // 2, LONGEST // 2)]
 
-
-def _matrix(words: list[str]) -> np.ndarray:
-    out = np.zeros((len(words), max(map(len, words), default=1)), np.uint32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le", "surrogatepass"), np.uint32)
-    return out
+def _triples(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of all subsequences of three letters of a word of n, and their weights."""
+    at = np.array(list(itertools.combinations(range(n), LENGTH)), np.int64).reshape(-1, LENGTH)
+    return at, DECAY ** (at[:, -1] - at[:, 0] + 1.0)
 
 
-def _spread(n: int) -> np.ndarray:
-    gap = np.arange(n)[None, :] - np.arange(n)[:, None]
-    return np.where(gap >= 0, DECAY ** np.maximum(gap, 0), 0.0)
+_TRIPLES = {n: _triples(n) for n in range(LONGEST + 1)}
 
 
-def subsequence_kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Kernel of row i of ``a`` with row i of ``b`` (or with the one row of ``b``);
-    letters are numbers, 0 pads."""
-    n = b.shape[1]
-    tri, d2 = _spread(n), DECAY * DECAY
-    total = np.zeros(len(a))
-    held = [np.ones((len(a), n + 1))] + [np.zeros((len(a), n + 1)) for _ in range(LENGTH - 1)]
-    for i in range(a.shape[1]):
-        same = ((a[:, i : i + 1] == b) & (b != 0)) * d2
-        total += (held[LENGTH - 1][:, :-1] * same).sum(1)
-        for k in range(LENGTH - 1, 0, -1):
-            held[k][:, 1:] = DECAY * held[k][:, 1:] + (held[k - 1][:, :-1] * same) @ tri
-    return total
+def _raw(words: list[str], n: int) -> np.ndarray:
+    return np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(len(words), n)
 
 
-def _counts(m: np.ndarray, size: int = 64) -> np.ndarray:
-    out = np.zeros((len(m), size), np.uint8)
-    for j in range(m.shape[1]):
-        on = np.flatnonzero(m[:, j])
-        np.add.at(out, (on, m[on, j] % size), 1)
+def _norms(words: list[str], n: int) -> np.ndarray:
+    """Root of the kernel of each word of n letters with itself."""
+    if n < LENGTH:
+        return np.ones(len(words))
+    at, weight = _TRIPLES[n]
+    out = np.full(len(words), np.sqrt((weight**2).sum()))
+    raw = _raw(words, n).astype(np.int64)
+    letters = np.sort(raw, axis=1)
+    twice = np.flatnonzero((letters[:, 1:] == letters[:, :-1]).any(1))
+    if len(twice):
+        x = raw[twice]
+        code = (x[:, at[:, 0]] << 42) | (x[:, at[:, 1]] << 21) | x[:, at[:, 2]]
+        order = np.argsort(code, axis=1)
+        code = np.take_along_axis(code, order, 1)
+        new = np.ones(code.shape, dtype=bool)
+        new[:, 1:] = code[:, 1:] != code[:, :-1]
+        first = np.flatnonzero(new)
+        square = np.add.reduceat(weight[order].ravel(), first) ** 2
+        out[twice] = np.sqrt(np.add.reduceat(square, np.searchsorted(first, np.arange(len(x)) * code.shape[1])))
     return out
 
 
 class Machine:
+    """The landmarks' subsequences as a table: a word's kernel with all landmarks is the
+    sum of the table's rows of its own subsequences, over its norm."""
+
     def __init__(self, landmarks: list[str]):
         self.landmarks = landmarks
-        self.rows = [_matrix([w]) for w in landmarks]
-        self.counts = _counts(_matrix(landmarks)).astype(np.int16)
-        self.norm = np.array([subsequence_kernel(r, r)[0] for r in self.rows])
+        self.letters = np.zeros(1 << 16, np.int64)
+        used = sorted({c for w in landmarks for c in w if ord(c) < 1 << 16})
+        self.letters[[ord(c) for c in used]] = np.arange(1, len(used) + 1)
+        self.size = len(used) + 1
+        self.which = np.full(self.size**LENGTH, -1, np.int32)
+        self.table = np.zeros((0, len(landmarks)))
+        found: dict[int, np.ndarray] = {}
+        for j, w in enumerate(landmarks):
+            codes, weight = self._codes([w], len(w))
+            for c, x in zip(codes[0].tolist(), (weight / _norms([w], len(w))[0]).tolist(), strict=True):
+                found.setdefault(c, np.zeros(len(landmarks)))[j] += x
+        if found:
+            self.which[list(found)] = np.arange(len(found))
+            self.table = np.array(list(found.values()))
         self.weight = np.zeros(len(landmarks))
         self.bias, self.slope, self.shift = 0.0, 1.0, 0.0
         k = self.kernel(landmarks)
         value, vector = np.linalg.eigh((k + k.T) / 2)
         self.root = vector / np.sqrt(np.maximum(value, 1e-6)) @ vector.T
 
+    def _codes(self, words: list[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of the subsequences of words of n letters; code 0 holds a letter that no landmark has."""
+        raw = _raw(words, n)
+        x = self.letters[np.where(raw < 1 << 16, raw, 0)]
+        at, weight = _TRIPLES[n]
+        code, known = np.zeros((len(words), len(at)), np.int64), np.ones((len(words), len(at)), dtype=bool)
+        for i in range(LENGTH):
+            code = code * self.size + x[:, at[:, i]]
+            known &= x[:, at[:, i]] > 0
+        return np.where(known, code, 0), weight
+
     def kernel(self, words: list[str]) -> np.ndarray:
-        """Normalised kernel of each word with each landmark.  A word without LENGTH
-        letters in common with a landmark has none, and is not computed."""
         out = np.zeros((len(words), len(self.landmarks)))
-        order = sorted(range(len(words)), key=lambda i: len(words[i]))
-        for at in range(0, len(order), 20_000):
-            part = order[at : at + 20_000]
-            m = _matrix([words[i] for i in part])
-            count = _counts(m)
-            size = (m != 0).sum(1)
-            own = np.full(len(part), np.nan)
-            for j, row in enumerate(self.rows):
-                on = np.flatnonzero(self.counts[j])
-                near = np.flatnonzero(np.minimum(count[:, on], self.counts[j, on]).sum(1) >= LENGTH)
-                if not len(near):
-                    continue
-                k = subsequence_kernel(m[near][:, : size[near].max()], row)
-                near, k = near[k > 0], k[k > 0]
-                todo = near[np.isnan(own[near])]
-                if len(todo):
-                    x = m[todo][:, : size[todo].max()]
-                    own[todo] = subsequence_kernel(x, x)
-                out[np.array(part)[near], j] = k / np.sqrt(own[near] * self.norm[j])
+        by_size: dict[int, list[int]] = {}
+        for i, w in enumerate(words):
+            if len(w) >= LENGTH:
+                by_size.setdefault(len(w), []).append(i)
+        for n, rows in by_size.items():
+            for at in range(0, len(rows), 8192):
+                part = np.array(rows[at : at + 8192])
+                codes, weight = self._codes([words[i] for i in part], n)
+                hit = self.which[codes]
+                r, c = np.nonzero(hit >= 0)
+                if len(r):
+                    first = np.flatnonzero(np.diff(r, prepend=-1))
+                    out[part[r[first]]] = np.add.reduceat(self.table[hit[r, c]] * weight[c][:, None], first, axis=0)
+                    out[part] /= _norms([words[i] for i in part], n)[:, None]
+        return out
+
+    def values(self, words: list[str]) -> np.ndarray:
+        """``kernel(words) @ root @ weight`` from one number a subsequence."""
+        w = self.table @ (self.root @ self.weight)
+        out = np.zeros(len(words))
+        by_size: dict[int, list[int]] = {}
+        for i, x in enumerate(words):
+            if len(x) >= LENGTH:
+                by_size.setdefault(len(x), []).append(i)
+        w = np.append(w, 0.0)
+        for n, rows in by_size.items():
+            for at in range(0, len(rows), 8192):
+                part = rows[at : at + 8192]
+                x = [words[i] for i in part]
+                codes, weight = self._codes(x, n)
+                out[part] = w[self.which[codes]] @ weight / _norms(x, n)
         return out
 
     def margin(self, words: list[str]) -> np.ndarray:
-        return self.kernel(words) @ (self.root @ self.weight) + self.bias if words else np.zeros(0)
+        return self.values(words) + self.bias
 
     def fit(self, positive: list[str], negative: list[str], cost: float = 30.0, rounds: int = 30) -> None:
         """The primal squared-hinge machine by Newton steps; both classes weigh the same."""
@@ -195,18 +228,14 @@ def _known(machine: Machine, cache: dict, words: set) -> None:
     cache.update(zip(new, machine.margin(new).tolist(), strict=True))
 
 
-def _split(texts) -> list[list[list[str]]]:
-    return [[[u for w in s for u in units(w)] for s in sentences(t)] if isinstance(t, str) else [] for t in texts]
-
-
 def _word_counts(docs: DataFrame) -> DataFrame:
     """unit, toxic, clean: documents of each label that hold it."""
 
     def run(batches):
         for pdf in batches:
             rows: dict[str, list[int]] = {}
-            for parts, label in zip(_split(pdf["text"]), pdf["label"], strict=True):
-                for u in {u for s in parts for u in s}:
+            for text, label in zip(pdf["text"], pdf["label"], strict=True):
+                for u in units(text):
                     rows.setdefault(u, [0, 0])[int(label)] += 1
             yield pd.DataFrame([(u, b, a) for u, (a, b) in rows.items()], columns=["unit", "toxic", "clean"])
 
@@ -221,8 +250,9 @@ def _worst(docs: DataFrame, machine: Machine, each: int) -> pd.DataFrame:
         cache: dict[str, float] = {}
         for pdf in batches:
             rows = []
-            for parts, label in zip(_split(pdf["text"]), pdf["label"], strict=True):
-                _known(shared.value, cache, {u for s in parts for u in s})
+            held = [sentences(t) for t in pdf["text"]]
+            _known(shared.value, cache, {u for parts in held for s in parts for u in s})
+            for parts, label in zip(held, pdf["label"], strict=True):
                 top = sorted(((cache[u], u) for u in {max(s, key=cache.__getitem__) for s in parts}), reverse=True)[:each]
                 rows += [(int(label), u, m, k) for k, (m, u) in enumerate(top)]
             yield pd.DataFrame(rows, columns=["label", "unit", "margin", "rank"])
@@ -243,13 +273,16 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "label", id_co
     hot = words.filter((F.length("unit") >= LENGTH) & (odds > 0)).orderBy(surprise.desc(), "unit").limit(12 * landmarks).collect()
     often = [r["unit"] for r in words.filter(F.length("unit") >= LENGTH).filter(F.col("clean") * have[1] >= F.col("toxic") * have[0]).orderBy(F.col("clean").desc(), "unit").limit(2000).collect()]
     strong = _cover(_holds(sample, [r["unit"] for r in hot]), {r["unit"]: r["clean"] for r in hot}, have, 4 * landmarks)
-    machine = Machine(_diverse(strong, often, landmarks))
+    base = _diverse(strong, often, landmarks)
+    machine = Machine(base)
     machine.fit(strong, often)
     for _ in range(rounds):
         worst = _worst(sample, machine, each=3)
         first = worst[worst["rank"] == 0]
         positive = first[(first["label"] == 1) & (first["margin"] > 0)]["unit"].tolist() + strong
-        negative = worst[worst["label"] == 0]["unit"].drop_duplicates().tolist()
+        negative = worst[worst["label"] == 0].sort_values(["margin", "unit"], ascending=False)["unit"].drop_duplicates().tolist()
+        # the clean words that come nearest to insults are landmarks too
+        machine = Machine(base + [u for u in negative if u not in base][: landmarks // 4])
         machine.fit(positive, negative + often)
     last = _worst(sample, machine, each=1)
     machine.calibrate(last["margin"].to_numpy(), last["label"].to_numpy())
@@ -262,7 +295,7 @@ def _holds(docs: DataFrame, hot: list[str]) -> list[set[str]]:
 
     def run(batches):
         for pdf in batches:
-            yield pd.DataFrame({"held": [sorted({u for s in d for u in s} & known) for d in _split(pdf["text"])]})
+            yield pd.DataFrame({"held": [sorted(units(t) & known) for t in pdf["text"]]})
 
     return [set(r["held"]) for r in docs.filter("label = 1").select("text").mapInPandas(run, "held array<string>").collect()]
 
@@ -315,7 +348,7 @@ def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, id_c
         for pdf in batches:
             texts = pdf["_text"].tolist()
             for a, b in _blocks(texts):
-                held = [{u for s in doc for u in s} for doc in _split(texts[a:b])]
+                held = [units(t) if isinstance(t, str) else set() for t in texts[a:b]]
                 _known(m, cache, set().union(*held))
                 top = [max(d, key=cache.__getitem__) if d else None for d in held]
                 margin = np.array([none if u is None else max(none, cache[u]) for u in top])
