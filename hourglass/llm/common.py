@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,3 +116,55 @@ def ngram_hashes(words: np.ndarray, n: int) -> np.ndarray:
     for i in range(n):
         h = mix64(h * np.uint64(0x100000001B3) + words[i : i + m])
     return h
+
+
+def salted(rows: DataFrame, keys: DataFrame, on: list[str], by: list[str], salts: int = 16, how: str = "inner") -> DataFrame:
+    """Join ``rows`` to ``keys`` (one row a key), where a key may hold a third of the
+    rows: each key is repeated per salt, the rows are dealt by key and a hash of ``by``."""
+    k = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return rows.withColumn("_salt", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int")).join(k, [*on, "_salt"], how).drop("_salt")
+
+
+def sorted_groups(batches, keys: list[str]):
+    """The groups of a partition that is sorted by ``keys``, one DataFrame each."""
+    held: list = []
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        k = pdf[keys].to_numpy()
+        new = np.flatnonzero((k[1:] != k[:-1]).any(1)) + 1
+        cuts = [0, *new.tolist(), len(pdf)]
+        for i, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            part = pdf.iloc[a:b]
+            if i == 0 and held and (held[-1][keys].iloc[-1].to_numpy() != k[0]).any():
+                yield pd.concat(held)
+                held = []
+            if i:
+                yield pd.concat(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pd.concat(held)
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node, label: the least node of each connected component of ``edges`` (u, v; longs).
+
+    Alternating stars: every node links its larger neighbours to its least one, then
+    its smaller ones; a round is two counts before the shuffle and two salted joins.
+    Nodes with very many neighbours are split by salt."""
+    cur = saved(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    before = None
+    while True:
+        both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        large = salted(both.filter("v > u"), least, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        large = saved(large)
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = salted(large, least, ["u"], ["v"]).select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        cur = saved(small.filter("u <> v").distinct())
+        now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if now == before:
+            break
+        before = now
+    return cur.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())

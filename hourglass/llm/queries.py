@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, langid, mixing, passages, sharding, topk, toxicity
+from hourglass.llm import archives, jaccard, langid, mixing, passages, sharding, topk, toxicity
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -147,3 +147,23 @@ def op6_toxicity(spark: SparkSession, sf_dir: str, train_rows: int = 4000) -> Da
     train = docs.select("doc_id", "text").join(F.broadcast(ids[0].unionByName(ids[1])), "doc_id")  # at most 2 * train_rows rows
     out = toxicity.score(docs, toxicity.fit(train))
     return out.select("doc_id", held.alias("held_out"), "score", "predicted", "worst_word")
+
+
+@register(
+    "op8_jaccard",
+    r"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(text), '[0-9a-z_\x{80}-\x{10FFFF}]+') AS w FROM documents),
+    s AS (SELECT doc_id, CASE WHEN len(w) >= 5 THEN list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))
+                              WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END AS s FROM w),
+    z AS (SELECT doc_id, len(s)::BIGINT AS n FROM s),
+    g AS (SELECT doc_id, unnest(s) AS g FROM s),
+    p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM g a JOIN g b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+    e AS (SELECT a, b FROM p JOIN z x ON x.doc_id = a JOIN z y ON y.doc_id = b WHERE c >= 0.8 * (x.n + y.n - c) - 1e-9),
+    r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+    SELECT z.doc_id, least(z.doc_id, (SELECT min(b) FROM r WHERE r.a = z.doc_id)) AS class_id, (SELECT count(*) FROM e WHERE e.a = z.doc_id) AS n_links, n AS n_grams
+    FROM z
+    """,
+)
+def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard.jaccard_join(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
+    return out.select("doc_id", "class_id", "n_links", "n_grams")
