@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, jaccard, langid, mixing, passages, sharding, topk, toxicity
+from hourglass.llm import archives, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -167,3 +167,28 @@ def op6_toxicity(spark: SparkSession, sf_dir: str, train_rows: int = 4000) -> Da
 def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard.jaccard_join(table(spark, sf_dir, "documents"), n=5, threshold=0.8)
     return out.select("doc_id", "class_id", "n_links", "n_grams")
+
+
+@register(
+    "op1_linededup",
+    r"""
+    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM documents WHERE text IS NOT NULL),
+    f AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+    d AS (SELECT line, min((doc_id, place)) AS pos, length(line) AS n FROM f GROUP BY line),
+    k AS (SELECT *, m, unnest([(m, 'p' || left(line, m // 2)), (m, 's' || right(line, m - m // 2))]) AS key FROM d, LATERAL (SELECT unnest([n, n - 1]) AS m) WHERE n >= 16),
+    p AS (SELECT DISTINCT x.line AS line, y.line AS other FROM k x JOIN k y ON x.key = y.key AND y.pos < x.pos AND abs(x.n - y.n) <= 1),
+    near AS (SELECT DISTINCT line FROM p WHERE levenshtein(line, other) <= 1),
+    g AS (SELECT f.doc_id, f.place FROM f JOIN d USING (line) WHERE d.pos <> (f.doc_id, f.place) OR line IN (SELECT line FROM near)),
+    r AS (SELECT doc_id, count(*) AS n_removed, string_agg(place::VARCHAR, ',' ORDER BY place) AS removed FROM g GROUP BY doc_id)
+    SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
+    FROM documents LEFT JOIN r USING (doc_id)
+    """,
+)
+def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = linededup.line_decisions(table(spark, sf_dir, "documents"), edits=1, min_chars=16)
+    return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
+
+
+@register("op9_decontam")
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
