@@ -23,7 +23,8 @@ import unicodedata
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hourglass.llm.common import mix64
@@ -246,32 +247,45 @@ def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: s
     return model
 
 
-def identify(docs: DataFrame, model: Model, reject: float = 12.0, id_col: str = "doc_id", text_col: str = "text", keep: list[Column] | None = None) -> DataFrame:
-    """doc_id, lang_pred, score (0 to 1), cross_entropy, rejected; ``keep`` adds columns."""
+def _judged(model: Model, text: list, reject: float):
+    """Language, score, cross-entropy and rejection of each text."""
+    if not model.langs:
+        zero = np.zeros(len(text))
+        return np.full(len(text), "und", dtype=object), zero, zero, np.ones(len(text), dtype=bool)
+    names = np.array([*model.langs, "und"], dtype=object)
+    h, n = model.entropies(text)
+    best = h.argmin(1)
+    low = h[np.arange(len(h)), best]
+    odds = np.exp2(-(h - low[:, None]) * np.minimum(n, 100)[:, None])
+    score = np.where(n > 0, 1 / odds.sum(1), 0.0)
+    over = low - model.mean[best] > reject * (model.spread[best] / np.sqrt(np.maximum(n, 1)) + model.floor)
+    return names[np.where(n > 0, best, len(model.langs))], score, low, (n == 0) | over
+
+
+def accepted(docs: DataFrame, model: Model, reject: float = 12.0, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text is not rejected, as they are."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches):
+        for batch in batches:
+            text = batch.column(text_col).to_pylist()
+            out = [~_judged(shared.value, text[a:b], reject)[3] for a, b in _blocks(text)]
+            yield batch.filter(pa.array(np.concatenate(out) if out else np.zeros(0, dtype=bool)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def identify(docs: DataFrame, model: Model, reject: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred, score (0 to 1), cross_entropy, rejected."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    keep = keep or []
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"), *keep)
-    extra = [f for f in src.schema.fields if f.name not in ("_text",)]
+    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("_text"))
 
     def run(batches):
-        m: Model = shared.value
-        names = np.array([*m.langs, "und"], dtype=object)
         for pdf in batches:
             text = pdf["_text"].tolist()
             for a, b in _blocks(text):
-                out = pdf.iloc[a:b].drop(columns="_text")
-                if m.langs:
-                    h, n = m.entropies(text[a:b])
-                    best = h.argmin(1)
-                    low = h[np.arange(len(h)), best]
-                    odds = np.exp2(-(h - low[:, None]) * np.minimum(n, 100)[:, None])
-                    score = np.where(n > 0, 1 / odds.sum(1), 0.0)
-                    over = low - m.mean[best] > reject * (m.spread[best] / np.sqrt(np.maximum(n, 1)) + m.floor)
-                    lang = names[np.where(n > 0, best, len(m.langs))]
-                else:
-                    low = score = np.zeros(b - a)
-                    n, over, lang = np.zeros(b - a), np.ones(b - a, dtype=bool), names[[0] * (b - a)]
-                yield out.assign(lang_pred=lang, score=score, cross_entropy=low, rejected=(n == 0) | over)
-
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in extra)
-    return src.mapInPandas(run, f"{ddl}, lang_pred string, score double, cross_entropy double, rejected boolean")
+                lang, score, low, over = _judged(shared.value, text[a:b], reject)
+                yield pdf.iloc[a:b].drop(columns="_text").assign(lang_pred=lang, score=score, cross_entropy=low, rejected=over)
+
+    out = src.mapInPandas(run, "doc_id string, lang_pred string, score double, cross_entropy double, rejected boolean")
+    return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))

@@ -100,17 +100,35 @@ def thresholds(rows: DataFrame, goals: DataFrame, bits: int = 12) -> DataFrame:
         state = state.select("source", "rest", "lo", "below")
 
 
-def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies,
-    taken.  ``copies`` is how often the mix repeats it."""
-    rows = saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h")))
+def plan(rows: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bits: int = 12) -> DataFrame:
+    """source, source_size, target, whole, threshold of written rows (source, size, h):
+    a document is taken ``whole`` times, and once more if its hash is below the threshold."""
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     t = targets(totals, weights, cap, share)
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     t = saved(t.withColumn("whole", whole).withColumn("rest", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size"))))
-    cut = thresholds(rows.select("source", "h", "size"), t.select("source", "rest"), bits)
-    c = cut.withColumnRenamed("source", "_s")
-    t = t.join(c, t["source"].eqNullSafe(c["_s"]), "left").drop("_s")
-    copies = F.col("whole") + F.when(F.col("h") < F.coalesce(F.col("threshold"), F.lit(0).cast("long")), 1).otherwise(0)
-    out = join_small(rows, saved(t), "source").withColumn("copies", copies)
+    cut = thresholds(rows.select("source", "h", "size"), t.select("source", "rest"), bits).withColumnRenamed("source", "_s")
+    t = t.join(cut, t["source"].eqNullSafe(cut["_s"]), "left")
+    return saved(t.select("source", "source_size", "target", "whole", F.coalesce("threshold", F.lit(0).cast("long")).alias("threshold")))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    return saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h")))
+
+
+def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, copies,
+    taken.  ``copies`` is how often the mix repeats it."""
+    rows = _rows(docs, id_col, text_col, source_col)
+    copies = F.col("whole") + F.when(F.col("h") < F.col("threshold"), 1).otherwise(0)
+    out = join_small(rows, plan(rows, weights, cap, share, bits), "source").withColumn("copies", copies)
     return out.select("doc_id", "source", "size", "source_size", "target", "copies", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+def mixed(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """``docs`` with each row as often as the mix takes it; the rows stay where they are,
+    only the sources' thresholds travel."""
+    p = plan(_rows(docs, id_col, text_col, source_col), weights, cap, share, bits).select(F.col("source").alias("_source"), F.struct("whole", "threshold").alias("_plan"))
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).withColumn("_source", F.col(f"_doc.{source_col}"))
+    out = join_small(whole, p, "_source").withColumn("_copies", (F.col("_plan.whole") + F.when(id_hash(F.col(f"_doc.{id_col}")) < F.col("_plan.threshold"), 1).otherwise(0)).cast("int"))
+    return out.filter("_copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_doc.*")

@@ -43,16 +43,23 @@ def communication_matrix(block_rows: list[int], shards: int, seed: int) -> np.nd
 def shard(docs: DataFrame, shards: int = 8, seed: int = 20_24, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, size, text_crc32, shard, slot: shard sizes at most one row apart,
     slots gapless from 0 within a shard."""
-    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = saved(
-        docs.select(
-            F.col(id_col).alias("doc_id"),
-            (F.octet_length(text) + 1).cast("long").alias("size"),
-            F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-            F.monotonically_increasing_id().alias("_row"),
-        )
-    ).withColumn("_block", F.pmod(F.shiftright("_row", 33), F.lit(MAX_BLOCKS)).cast("int"))
+    size, crc = (F.octet_length(text) + 1).cast("long"), F.crc32(F.encode(text, "UTF-8"))
+    rows = saved(docs.select(F.col(id_col).alias("doc_id"), size.alias("size"), crc.alias("text_crc32"), F.monotonically_increasing_id().alias("_row")))
+    return rows.join(places(rows, shards, seed), "_row").select("doc_id", "size", "text_crc32", "shard", "slot")
+
+
+def sharded(docs: DataFrame, shards: int = 8, seed: int = 20_24) -> DataFrame:
+    """``docs`` with shard and slot (columns of these names are replaced)."""
+    whole = docs.drop("shard", "slot")
+    rows = saved(whole.select(F.struct(*[F.col(f"`{c}`") for c in whole.columns]).alias("_doc"), F.monotonically_increasing_id().alias("_row")))
+    return rows.join(places(rows, shards, seed), "_row").select("_doc.*", "shard", "slot")
+
+
+def places(rows: DataFrame, shards: int, seed: int) -> DataFrame:
+    """_row, shard, slot of written rows that hold their place in ``_row``."""
+    spark = rows.sparkSession
+    rows = rows.select("_row").withColumn("_block", F.pmod(F.shiftright("_row", 33), F.lit(MAX_BLOCKS)).cast("int"))
     counts = {r[0]: r[1] for r in rows.groupBy("_block").count().collect()}
     blocks = sorted(counts)
     matrix = communication_matrix([counts[b] for b in blocks], shards, seed)
@@ -74,4 +81,4 @@ def shard(docs: DataFrame, shards: int = 8, seed: int = 20_24, id_col: str = "do
     # unsigned order of _key within a piece: the sign bit is part of the piece
     within = F.row_number().over(W.partitionBy("shard", "_piece").orderBy("_key", "_row")) - 1
     out = piece.withColumn("_within", within).join(first, ["shard", "_piece"])
-    return out.select("doc_id", "size", "text_crc32", "shard", (F.col("_first") + F.col("_within")).cast("long").alias("slot"))
+    return out.select("_row", "shard", (F.col("_first") + F.col("_within")).cast("long").alias("slot"))

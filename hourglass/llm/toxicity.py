@@ -334,11 +334,11 @@ def _diverse(hot: list[str], often: list[str], many: int) -> list[str]:
 
 def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, predicted, worst_word of every document."""
-    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text"))
-    kind = src.schema["doc_id"].dataType.simpleString()
-    ddl = f"doc_id {kind}, score double, predicted int, worst_word string"
+    kind = docs.schema[id_col].dataType
+    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("_text"))
+    ddl = "doc_id string, score double, predicted int, worst_word string"
     if machine is None:
-        return src.select("doc_id", F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(None).cast("string").alias("worst_word"))
+        return src.select(F.col("doc_id").cast(kind).alias("doc_id"), F.lit(0.0).alias("score"), F.lit(0).alias("predicted"), F.lit(None).cast("string").alias("worst_word"))
     shared = docs.sparkSession.sparkContext.broadcast(machine)
 
     def run(batches):
@@ -355,7 +355,7 @@ def score(docs: DataFrame, machine: Machine | None, threshold: float = 0.3, id_c
                 p = m.probability(margin)
                 yield pd.DataFrame({"doc_id": pdf["doc_id"].iloc[a:b], "score": p, "predicted": (p >= threshold).astype(int), "worst_word": top})
 
-    return src.mapInPandas(run, ddl)
+    return src.mapInPandas(run, ddl).withColumn("doc_id", F.col("doc_id").cast(kind))
 
 
 def _blocks(texts):
