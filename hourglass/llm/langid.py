@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import mix64
+from hourglass.llm.common import mix64, saved
 
 ORDER = 4
 SLOTS = 1 << 20
@@ -110,7 +110,7 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
 def slot_counts(docs: DataFrame, order: int = ORDER, slots: int = SLOTS) -> DataFrame:
     """lang, order, slot, n: raw counts at the highest order, and below it the number
     of different characters seen before (the continuation count)."""
-    top = count_grams(docs, order)
+    top = saved(count_grams(docs, order))  # read once, then by every order
     top = top.withColumn("order", F.lit(order))
     levels, cur = [top], top
     for k in range(order - 1, 0, -1):
