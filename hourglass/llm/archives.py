@@ -208,6 +208,7 @@ def to_warc(records: DataFrame, path: str, min_bytes: int = 0) -> None:
                             "WARC-IP-Address": r.ip,
                             "WARC-Payload-Digest": f"sha1:{r.digest}",
                             "WARC-Block-Digest": f"sha1:{sha1_base32(block)}",
+                            "Payload-Length": len(r.payload),
                             "WARC-Refers-To": r.refers_to_id if revisit else None,
                             "WARC-Profile": "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest" if revisit else None,
                             "Content-Type": "application/http; msgtype=response" if r.http else r.content_type,
@@ -251,7 +252,7 @@ def read_warc(spark: SparkSession, *paths: str) -> DataFrame:
             if not revisit and sha1_base32(payload) != digest:
                 raise ValueError(f"payload of {h['warc-record-id']} does not match its digest")
             page = _header(http, "X-Page-Id")
-            n = int(_header(http, "Content-Length")) if revisit else len(payload)
+            n = int(h["payload-length"]) if revisit else len(payload)
             yield h["warc-record-id"], h["warc-type"], h.get("warc-target-uri"), h["warc-date"], digest, h.get("warc-refers-to"), http, payload, page, n
 
     text = WARC_SCHEMA.replace("page_id long", "page_id string")

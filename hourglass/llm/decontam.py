@@ -3,9 +3,9 @@
 1. The word n-grams of all items are seeds.  One pass over all documents finds their
    occurrences: a fixed bit table passes every seed (and few others), a join by hash
    keeps exactly the seeds.  Occurrences are counted over the whole corpus.
-2. Each item keeps its ``rare`` rarest seeds (rarest relative to its others, so an item
-   that was copied everywhere keeps seeds too).  Their occurrences join documents to
-   items.
+2. An item's ``rare`` rarest seeds of those that occur join documents to it at one
+   occurrence; its other seeds join where two of them lie about as far apart as in the
+   item (so the seeds that survive an edit count although copies make them frequent).
 3. Around the occurrences of a document and an item, Smith-Waterman aligns the words of
    both (match 2, mismatch and gap -1).  The score is divided by that of a whole copy.
 
@@ -123,12 +123,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int =
     sizes = sorted({min(n, r[0]) for r in items.select(F.least("size", F.lit(n))).distinct().collect()})
     hits = saved(_occurrences(src, _bits(seeds), sizes).join(seeds.select("seed").distinct(), "seed", "left_semi"))
     counts = hits.groupBy("seed").agg(F.count("*").alias("hits"))
-    w = W.partitionBy("item").orderBy(F.coalesce("hits", F.lit(0)), "at")
-    chosen = seeds.dropDuplicates(["item", "seed"]).join(counts, "seed", "left").withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= rare).select("item", "at", "seed", "size")
+    rank = F.row_number().over(W.partitionBy("item").orderBy("hits", "at"))
+    occur = seeds.join(counts, "seed").withColumn("rare", rank <= rare)
     # A seed may lie in a third of all documents: its rows are dealt by salt.
-    by_seed = chosen.groupBy("seed").agg(F.collect_list(F.struct("item", "at", "size")).alias("of"))
+    by_seed = occur.groupBy("seed").agg(F.collect_list(F.struct("item", "at", "size", "rare")).alias("of"))
     met = salted(hits, by_seed, ["seed"], ["t", "place"]).select("doc_id", "t", "place", F.explode("of").alias("o"))
-    spans = met.groupBy("doc_id", "t", "o.item").agg(F.collect_set(F.col("place") - F.col("o.at")).alias("starts"), F.max("o.size").alias("size"))
+    found = met.groupBy("doc_id", "t", "o.item").agg(F.sort_array(F.collect_set(F.struct((F.col("place") - F.col("o.at")).alias("d"), "o.at", "o.rare"))).alias("f"), F.max("o.size").alias("size"))
+    near = lambda x, y: (F.abs(x["d"] - y["d"]) <= F.col("size") / 4 + 2) & (x["at"] != y["at"])
+    beside = lambda x, i: x["rare"] | ((i > 0) & near(x, F.get("f", i - 1))) | ((i < F.size("f") - 1) & near(x, F.get("f", i + 1)))
+    spans = found.withColumn("starts", F.transform(F.filter("f", beside), lambda x: x["d"])).filter("size(starts) > 0").select("doc_id", "t", "item", "size", F.array_distinct("starts").alias("starts"))
     asks = spans.groupBy("doc_id", "t").agg(F.collect_list(F.struct("item", "size", "starts")).alias("asks")).withColumn("key", F.coalesce("doc_id", F.lit("-"))).drop("doc_id")
     texts = src.withColumn("key", F.coalesce("doc_id", F.lit("-"))).join(asks, ["t", "key"]).select("doc_id", "text", "asks")
 

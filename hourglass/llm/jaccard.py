@@ -118,7 +118,7 @@ def linked(a: list[np.ndarray], b: list[np.ndarray], threshold: float) -> np.nda
         m[row[lo:hi], col[lo:hi] - c] = 1
         both += m[: len(a)] @ (m.T if b is a else m[len(a) :].T)
     x, y = size[: len(a), None], size[None, :] if b is a else size[None, len(a) :]
-    return both * (1 + threshold) >= threshold * (x + y) - 1e-6
+    return both.astype(np.float64) * (1 + threshold) >= threshold * (x + y) - 1e-9
 
 
 def _labels(link: np.ndarray, name: np.ndarray) -> np.ndarray:

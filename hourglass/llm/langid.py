@@ -243,7 +243,7 @@ def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: s
     mids = got.groupBy("lang").agg(F.expr("percentile_approx(h, 0.5)").alias("mid"))
     for row in got.join(F.broadcast(mids), "lang").groupBy("lang", "mid").agg(F.expr("percentile_approx(abs(h - mid) * sqrt(n), 0.95)").alias("s"), F.avg(r * r).alias("v")).collect():
         model.mean[row["lang"]], model.spread[row["lang"]] = row["mid"], max(1.0, row["s"] / 2)
-    model.floor = 0.05
+    model.floor = 0.25
     return model
 
 

@@ -83,7 +83,10 @@ def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
 
 
 def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, row, n_lines, removed (places from 0, in order): the lines of each document that go."""
+    """doc_id, row, n_lines, removed (places from 0, in order): the lines of each document that go.
+
+    ``docs`` is read more than once and its rows are told apart by their place, so it
+    must be a table read from files; anything else goes through ``saved`` first."""
     if edits not in (0, 1):
         raise ValueError("edits must be 0 or 1")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", F.monotonically_increasing_id())
@@ -105,6 +108,7 @@ def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col:
 
 def dedup_lines(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that go taken out of the text."""
+    docs = saved(docs)
     rows = docs.withColumn("_row", F.monotonically_increasing_id())
     gone = line_decisions(docs, edits, min_chars, id_col, text_col).filter("size(removed) > 0").select(F.col("row").alias("_row"), F.col("removed").alias("_gone"))
     kept = F.array_join(F.filter(F.split(text_col, "\n"), lambda x, i: ~F.array_contains("_gone", i)), "\n")

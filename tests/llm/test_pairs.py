@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from hourglass.llm import decontam, jaccard, linededup
-from hourglass.llm.common import components, word_hashes
+from hourglass.llm.common import components, saved, word_hashes
 
 
 def vocabulary(rng, n=200):
@@ -35,6 +35,7 @@ def test_line_decisions_against_brute_force(spark):
     docs = [(i, "\n".join([*(edited(rng, str(x)) for x in rng.choice(base, 6)), "", "  ", "short"])) for i in range(40)]
     docs += [(40, None), (41, ""), (42, "a" * 3000 + "\n" + "a" * 3001)]
     df = spark.createDataFrame([(i, t, 5, "x") for i, t in docs], "doc_id long, text string, id int, line string").repartition(3)
+    df = saved(df)
     got = {r.doc_id: (r.n_lines, r.removed) for r in linededup.line_decisions(df).collect()}
     seen: list[str] = []
     for i, text in docs:
