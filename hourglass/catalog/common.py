@@ -27,8 +27,8 @@ def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     for name, typ in df.dtypes:
         c = "`" + name.replace("`", "``") + "`"
         if typ in ("double", "float"):
-            out.append(f"CASE WHEN abs({c}) < CAST(1e12 AS DOUBLE) THEN CAST(floor({c} * {scale} + CAST(0.5 AS DOUBLE)) "
-                       f"AS DOUBLE) / {scale} ELSE {c} END + CAST(0 AS DOUBLE) AS {c}")
+            out.append(f"CASE WHEN abs({c}) < CAST(9007199254740992 AS DOUBLE) THEN rint({c} * {scale}) / {scale} ELSE {c} END "
+                       f"+ CAST(0 AS DOUBLE) AS {c}")
         elif typ == "date":
             out.append(f"date_format({c}, 'yyyy-MM-dd') AS {c}")
         else:

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from hourglass.catalog import register
 from hourglass.catalog.common import KEYS, TS, events, features, raw, rounded
 from hourglass.sources.events import read_table
-from hourglass.checks.sqlfrag import FEATURES_CTE, RAW_HOURLY_CTE, W, features_select, r6
+from hourglass.checks.sqlfrag import FEATURES_CTE, RAW_HOURLY_CTE, W, errors_sql, features_select, r6
 from hourglass.functions import calendar as C
 from hourglass.functions.numeric import aqi_category, round_half_even, safe_div
 from hourglass.operators import aggregates as A
 from hourglass.operators.guards import all_true, monotonic_report
 from hourglass.schema import AQI_CATEGORY_BOUNDS, DEFAULT_SPEC as S
-from hourglass.session import materialize
+from hourglass.session import write_table
 
 RAW_COLS = ["location_id", "timestamp", *S.weather, "us_aqi", *S.pollutants]
 NUM_RAW = [*S.weather, "us_aqi", *S.pollutants]
@@ -93,7 +93,7 @@ def q_describe(spark, sf):
     The hourly table feeds about fifteen branches (moments, the range sort, its
     per-partition counts, the picked order statistics), so it is written once
     to the shared checkpoint folder instead of being re-aggregated per branch."""
-    return rounded(A.describe(materialize(raw(spark, sf)), NUM_RAW, KEYS))
+    return rounded(A.describe(write_table(raw(spark, sf)), NUM_RAW, KEYS))
 
 
 @register("target_stats", f"WITH {FEATURES_CTE}\nSELECT location_id, {r6('avg(target_aqi)', 'mean')}, "
@@ -102,7 +102,7 @@ def q_describe(spark, sf):
                           "FROM feat GROUP BY 1")
 def q_target_stats(spark, sf):
     """A5: mean, median, min, max, std of the target per series."""
-    return rounded(A.target_stats(features(spark, sf), "target_aqi", KEYS))
+    return rounded(A.target_stats(write_table(features(spark, sf).select(*KEYS, "target_aqi")), "target_aqi", KEYS))
 
 
 @register("hours_per_day", f"WITH {RAW_HOURLY_CTE}\nSELECT location_id, CAST(CAST(timestamp AS DATE) AS VARCHAR) AS date, count(*) AS hours "
@@ -115,7 +115,9 @@ def q_hours_per_day(spark, sf):
 @register("day_completeness",
           f"WITH {RAW_HOURLY_CTE}, d AS (SELECT location_id, CAST(timestamp AS DATE) AS date, count(*) AS hours FROM raw GROUP BY 1, 2)\n"
           "SELECT location_id, count(*) AS days, count_if(hours < 24) AS incomplete_days, count_if(hours = 24) AS complete_days, "
-          f"min(hours) AS min_hours, max(hours) AS max_hours, {r6('avg(hours)', 'mean_hours')} FROM d GROUP BY 1")
+          f"min(hours) AS min_hours, max(hours) AS max_hours, {r6('avg(hours)', 'mean_hours')}, {r6('stddev_samp(hours)', 'std_hours')}, "
+          f"{r6('quantile_cont(hours, 0.25)', 'p25_hours')}, {r6('quantile_cont(hours, 0.5)', 'p50_hours')}, "
+          f"{r6('quantile_cont(hours, 0.75)', 'p75_hours')} FROM d GROUP BY 1")
 def q_day_completeness(spark, sf):
     """Days, days with fewer than 24 hours, full days."""
     return rounded(A.day_completeness(raw(spark, sf), TS, KEYS))
@@ -151,10 +153,7 @@ def _category_sql(col="us_aqi"):
 def q_category_distribution(spark, sf):
     """A9 + F7: AQI band counts and percent share per series."""
     r = raw(spark, sf).withColumn("aqi_category", aqi_category("us_aqi"))
-    c = r.groupBy(*KEYS, "aqi_category").agg(F.count(F.lit(1)).alias("count"))
-    from pyspark.sql import Window
-    share = round_half_even(F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy(*KEYS)), 2)
-    return rounded(c.withColumn("percent", share))
+    return rounded(A.category_distribution(r, "aqi_category", KEYS))
 
 
 _HIST_SQL = f"""WITH {RAW_HOURLY_CTE},
@@ -178,15 +177,8 @@ _SPLIT_FEAT = (f"{FEATURES_CTE},\nsp AS (SELECT *, row_number() OVER ({W}) AS _r
                "WHEN _rn <= floor(_n * 0.85::DOUBLE) THEN 'val' ELSE 'test' END AS split FROM sp)")
 
 
-def _metrics_sql(actual, pred, group):
-    e = f"({actual} - {pred})"
-    return (f"count(*) AS n, {r6(f'avg(abs({e}))', 'mae')}, {r6(f'sqrt(avg({e} * {e}))', 'rmse')}, "
-            f"{r6(f'CASE WHEN var_pop({actual}) > 0 THEN 1.0 - sum({e} * {e}) / (count(*) * var_pop({actual})) END', 'r2')}")
-
-
 @register("regression_metrics",
-          f"WITH {_SPLIT_FEAT}\nSELECT location_id, split, {_metrics_sql('target_aqi', 'us_aqi', None)} "
-          "FROM spl WHERE target_aqi IS NOT NULL AND us_aqi IS NOT NULL GROUP BY 1, 2")
+          f"WITH {_SPLIT_FEAT}\nSELECT location_id, split, {errors_sql('target_aqi', 'us_aqi')} FROM spl GROUP BY 1, 2")
 def q_regression_metrics(spark, sf):
     """MAE, RMSE, R^2 of the persistence prediction (next hour = this hour)
     per series and split."""

@@ -11,17 +11,19 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from hourglass.catalog import register
-from hourglass.catalog.common import KEYS, TS, features, raw, rounded
+from hourglass.catalog.common import KEYS, TS, events, features, raw, rounded
 from hourglass.checks.sqlfrag import (
     FEATURES_CTE,
     RAW_HOURLY_CTE,
     W,
     dbl,
+    errors_sql,
     exog_sql,
     features_select,
     forecast_sql,
     r6,
 )
+from hourglass.functions import calendar as C
 from hourglass.functions.numeric import aqi_category
 from hourglass.operators import aggregates as A
 from hourglass.operators import ordering as O
@@ -30,7 +32,7 @@ from hourglass.plans import attribution as AT
 from hourglass.plans import forecast as FC
 from hourglass.plans import training as TR
 from hourglass.schema import DEFAULT_SPEC as S
-from hourglass.session import materialize
+from hourglass.session import materialize, write_table
 
 # Fixed test model (a hand-set linear model, not fitted): intercept and
 # coefficients on unscaled features.  Used where SQL must repeat the math.
@@ -116,29 +118,24 @@ _BASELINES = {"persistence": "us_aqi", "mean_3h": "aqi_3h_mean", "mean_24h": "aq
 
 
 def _baseline_metrics(spark, sf):
-    s = _split(spark, sf)
-    out = None
-    for name, col in _BASELINES.items():
-        m = TR.evaluate_splits(s.withColumn("prediction", F.col(col)), "target_aqi", "prediction", "split")
-        m = m.withColumn("model", F.lit(name))
-        out = m if out is None else out.unionByName(m)
-    return out
+    """All baselines in one pass: their predictions unpivoted from the split table's
+    few columns, one aggregate by model and split."""
+    cols = ["split", "target_aqi", *_BASELINES.values()]
+    s = chrono_split(features(spark, sf), KEYS, TS).select(*cols)
+    models = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).cast("double").alias("prediction")) for n, c in _BASELINES.items()]))
+    long = s.select("split", "target_aqi", models.alias("m")).select("split", "target_aqi", "m.*")
+    return TR.evaluate_splits(long, "target_aqi", "prediction", "split", ["model"])
 
 
 def _baseline_sql_rows():
-    parts = []
-    for name, col in _BASELINES.items():
-        e = f"(target_aqi - {col})"
-        parts.append(f"SELECT '{name}' AS model, split, count(*) AS n, avg(abs({e})) AS mae, sqrt(avg({e} * {e})) AS rmse, "
-                     f"CASE WHEN var_pop(target_aqi) > 0 THEN 1.0 - sum({e} * {e}) / (count(*) * var_pop(target_aqi)) END AS r2 "
-                     f"FROM spl WHERE target_aqi IS NOT NULL AND {col} IS NOT NULL GROUP BY split")
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(f"SELECT '{name}' AS model, split, {errors_sql('target_aqi', col, rounded=False)} FROM spl GROUP BY split"
+                              for name, col in _BASELINES.items())
 
 
 _MET = f"{_SPLIT},\nmet AS ({_baseline_sql_rows()})"
 
 
-@register("evaluate_splits", f"WITH {_MET}\nSELECT model, split, n, {r6('mae', 'mae')}, {r6('rmse', 'rmse')}, {r6('r2', 'r2')} FROM met")
+@register("evaluate_splits", f"WITH {_MET}\nSELECT model, split, n, skipped, {r6('mae', 'mae')}, {r6('rmse', 'rmse')}, {r6('r2', 'r2')} FROM met")
 def q_evaluate_splits(spark, sf):
     """M7: MAE/RMSE/R^2 per split for four baseline predictors (persistence,
     3 h and 24 h prior means, 24 h lag)."""
@@ -187,6 +184,25 @@ def q_run_ledger(spark, sf):
 
 
 # --------------------------------------------------------------------------- M14, M15
+#: Hours before the horizon that the target's features read.
+_NEED = {**{f"aqi_lag_{k}": k + 1 for k in S.aqi_lags}, **{n: w + 1 for n, c, w in S.mean_cols() if c == "us_aqi"},
+         **{n: k + 1 for n, c, k in S.change_cols() if c == "us_aqi"}}
+
+
+@register("forecast_status",
+          f"WITH {RAW_HOURLY_CTE},\nk AS (SELECT user_id % 200 AS g, date_trunc('hour', ts) AS h, avg(value) AS v FROM events WHERE user_id IS NOT NULL GROUP BY 1, 2),\n"
+          "p AS (SELECT CAST(g AS VARCHAR) AS location_id, row_number() OVER (PARTITION BY g ORDER BY h DESC) - 72 AS d FROM k),\n"
+          "s AS (SELECT location_id, count(*) AS rows, greatest(0, max(d)) AS history FROM p GROUP BY 1)\n"
+          "SELECT location_id, rows, history, CAST(0 AS BIGINT) AS null_history, CASE WHEN history < 73 THEN 'short' ELSE 'ok' END AS status, "
+          "array_to_string(list_transform(list_filter([" + ", ".join(f"{{'n': '{n}', 'd': {d}}}" for n, d in sorted(_NEED.items())) + "], lambda x: x.d > history), lambda x: x.n), ',') AS missing_features FROM s")
+def q_forecast_status(spark, sf):
+    """M14's contract: series (here one per user group) that lack the history for the
+    target's features, and which features."""
+    ev = events(spark, sf).filter("user_id is not null").withColumn("g", (F.col("user_id") % 200).cast("string"))
+    hourly = ev.groupBy(F.col("g").alias("location_id"), C.hour_trunc("ts").alias(TS)).agg(F.avg("value").alias("us_aqi"))
+    return FC.forecast_status(hourly, KEYS, TS, HORIZON).withColumn("history", F.col("history").cast("long"))
+
+
 _FC_SQL = forecast_sql(FIXED_B0, FIXED_BETA, HORIZON, "target")
 
 
@@ -227,33 +243,27 @@ def q_backtest(spark, sf):
     return rounded(_backtest(spark, sf))
 
 
-def _metrics_sql(a, p):
-    e = f"({a} - {p})"
-    return (f"{r6(f'avg(abs({e}))', 'mae')}, {r6(f'sqrt(avg({e} * {e}))', 'rmse')}, "
-            f"{r6(f'CASE WHEN var_pop({a}) > 0 THEN 1.0 - sum({e} * {e}) / (count(*) * var_pop({a})) END', 'r2')}")
-
-
-@register("forecast_metrics", f"{_BT}\nSELECT location_id, count(*) AS n, {_metrics_sql('future_us_aqi', 'predicted_aqi')} "
-                              "FROM bt WHERE future_us_aqi IS NOT NULL AND predicted_aqi IS NOT NULL GROUP BY 1")
+@register("forecast_metrics", f"{_BT}\nSELECT location_id, {errors_sql('future_us_aqi', 'predicted_aqi')} FROM bt GROUP BY 1")
 def q_forecast_metrics(spark, sf):
     """A12 on the 72-hour backtest per series."""
     return rounded(A.regression_metrics(_backtest(spark, sf), "future_us_aqi", "predicted_aqi", KEYS))
 
 
 @register("block_metrics",
-          f"{_BT}\nSELECT location_id, forecast_day, min(timestamp) AS start, max(timestamp) AS \"end\", count(*) AS hours, "
+          f"{_BT}\nSELECT location_id, forecast_day, min(timestamp) AS start, max(timestamp) AS \"end\", "
           f"{r6('avg(predicted_aqi)', 'predicted_avg')}, {r6('avg(future_us_aqi)', 'actual_avg')}, "
-          f"{_metrics_sql('future_us_aqi', 'predicted_aqi')}, "
+          f"{errors_sql('future_us_aqi', 'predicted_aqi', 'hours')}, "
           f"{r6('avg(predicted_aqi) - avg(future_us_aqi)', 'average_error')}, "
           f"{r6('abs(avg(predicted_aqi) - avg(future_us_aqi))', 'absolute_error')}, "
           f"{r6('CASE WHEN avg(future_us_aqi) = 0 THEN NULL ELSE abs(avg(predicted_aqi) - avg(future_us_aqi)) * 100.0 / avg(future_us_aqi) END', 'percentage_error')} "
-          "FROM bt WHERE future_us_aqi IS NOT NULL AND predicted_aqi IS NOT NULL GROUP BY 1, 2")
+          "FROM (SELECT location_id, forecast_day, CASE WHEN ok THEN timestamp END AS timestamp, CASE WHEN ok THEN future_us_aqi END AS future_us_aqi, "
+          "CASE WHEN ok THEN predicted_aqi END AS predicted_aqi FROM (SELECT *, future_us_aqi IS NOT NULL AND predicted_aqi IS NOT NULL AS ok FROM bt)) GROUP BY 1, 2")
 def q_block_metrics(spark, sf):
     """A12 per 24-hour block plus mean-level errors."""
     return rounded(A.block_metrics(_backtest(spark, sf), "future_us_aqi", "predicted_aqi", KEYS))
 
 
-_A14_SQL = (f"{_BT},\nblk AS (SELECT location_id, forecast_day, count(*) AS hours, "
+_A14_SQL = (f"{_BT},\nblk AS (SELECT location_id, forecast_day, count(predicted_aqi) AS hours, "
             "avg(predicted_aqi) AS predicted_mean, min(predicted_aqi) AS predicted_min, max(predicted_aqi) AS predicted_max, "
             "avg(future_us_aqi) AS actual_mean, min(future_us_aqi) AS actual_min, max(future_us_aqi) AS actual_max FROM bt GROUP BY 1, 2),\n"
             "blk2 AS (SELECT *, abs(predicted_mean - actual_mean) AS abs_error, "
@@ -270,8 +280,8 @@ def q_block_actual_vs_pred(spark, sf):
 
 
 @register("metrics_of_block_means",
-          f"{_A14_SQL}\nSELECT location_id, count(*) AS n, {_metrics_sql('actual_mean', 'predicted_mean')} FROM blk2 "
-          "WHERE actual_mean IS NOT NULL AND predicted_mean IS NOT NULL GROUP BY 1")
+          f"{_A14_SQL},\nblk3 AS (SELECT location_id, round_even(actual_mean, 2) AS a, round_even(predicted_mean, 2) AS p FROM blk2)\n"
+          f"SELECT location_id, {errors_sql('a', 'p')} FROM blk3 GROUP BY 1")
 def q_metrics_of_block_means(spark, sf):
     """A12 over the three daily block means per series."""
     blocks = A.block_actual_vs_pred(_backtest(spark, sf), "future_us_aqi", "predicted_aqi", KEYS)
@@ -279,7 +289,7 @@ def q_metrics_of_block_means(spark, sf):
 
 
 @register("block_completeness",
-          f"{_BT},\nper AS (SELECT location_id, forecast_day, count(*) AS n FROM bt GROUP BY 1, 2)\n"
+          f"{_BT},\nper AS (SELECT location_id, forecast_day, count(predicted_aqi) AS n FROM bt GROUP BY 1, 2)\n"
           "SELECT location_id, count(*) AS blocks, sum(n) AS total_hours, bool_and(n = 24) AS all_full, "
           "bool_and(n = 24) AND count(*) = 3 AND sum(n) = 72 AS complete FROM per GROUP BY 1")
 def q_block_completeness(spark, sf):
@@ -463,12 +473,27 @@ def q_temporal_leakage_report(spark, sf):
         c: (("us_aqi" if c.startswith("aqi") or c == "target_aqi" else "pm2_5"), k) for c, k in _AUDIT.items()})
 
 
-@register("structural_leakage_report", None)
+_M16_NULLS = " + ".join(f"count_if({c} IS NULL)" for c in FEATS)
+
+
+@register("structural_leakage_report",
+          f"WITH {FEATURES_CTE},\na AS (SELECT event_type AS location_id, date_trunc('hour', ts) AS timestamp, min(event_id) AS arrival FROM events GROUP BY 1, 2),\n"
+          "o AS (SELECT count_if(timestamp < prev) AS bad FROM (SELECT f.timestamp, lag(f.timestamp) OVER (PARTITION BY f.location_id ORDER BY arrival) AS prev "
+          "FROM feat f JOIN a ON f.location_id = a.location_id AND f.timestamp = a.timestamp))\n"
+          f"SELECT {r6('min(target_aqi)', 'target_min')}, {r6('max(target_aqi)', 'target_max')}, {r6('avg(target_aqi)', 'target_mean')}, "
+          f"CAST({_M16_NULLS} AS BIGINT) AS feature_nulls, count_if(target_aqi IS NULL) AS target_nulls, count(*) AS rows, "
+          "(SELECT CAST(bad AS BIGINT) FROM o) AS order_violations, true AS current_value_excluded, true AS no_future_like_inputs, "
+          f"CAST({sum('_lag_' in c for c in FEATS)} AS INTEGER) AS lag_features, CAST({sum('_mean' in c for c in FEATS)} AS INTEGER) AS mean_features, "
+          f"CAST({sum('_change_' in c for c in FEATS)} AS INTEGER) AS change_features, (SELECT bad FROM o) = 0 AND {_M16_NULLS} = 0 AND count_if(target_aqi IS NULL) = 0 AS passed FROM feat")
 def q_structural_leakage_report(spark, sf):
-    """Order check, target summary, null counts and name-family guards in one row."""
+    """Arrival order (an hour arrives with its first event), target summary, null
+    counts and name-family guards in one row."""
     from hourglass.plans.leakage import structural_leakage_report
 
-    return structural_leakage_report(features(spark, sf), KEYS, TS, FEATS, "target_aqi")
+    ev = events(spark, sf)
+    first = ev.groupBy(F.col("event_type").alias("location_id"), C.hour_trunc("ts").alias(TS)).agg(F.min("event_id").alias("arrival"))
+    f = write_table(features(spark, sf).select(*KEYS, TS, "target_aqi", *FEATS).join(first, [*KEYS, TS]))
+    return rounded(structural_leakage_report(f, KEYS, TS, FEATS, "target_aqi", ordinal="arrival"))
 
 
 # --------------------------------------------------------------------------- fitted models (rows-only)

@@ -11,8 +11,8 @@ from hourglass.schema import DEFAULT_SPEC, FeatureSpec
 def qz(expr: str, digits: int) -> str:
     """SQL twin of ``hourglass.functions.numeric.quantize``."""
     s = f"CAST({10 ** digits} AS DOUBLE)"
-    return (f"(CASE WHEN abs({expr}) < CAST(1e12 AS DOUBLE) THEN floor(({expr}) * {s} + CAST(0.5 AS DOUBLE)) / {s} "
-            f"ELSE ({expr}) END + CAST(0 AS DOUBLE))")
+    x = f"CAST({expr} AS DOUBLE)"
+    return f"(CASE WHEN abs({x}) < CAST(9007199254740992 AS DOUBLE) THEN round_even({x} * {s}, 0) / {s} ELSE {x} END + CAST(0 AS DOUBLE))"
 
 
 def r6(expr: str, alias: str | None = None) -> str:
@@ -20,6 +20,14 @@ def r6(expr: str, alias: str | None = None) -> str:
     return qz(expr, 6) + (f" AS {alias}" if alias else "")
 
 
+def errors_sql(actual: str, pred: str, n: str = "n", rounded: bool = True) -> str:
+    """n, skipped, mae, rmse, r2 over the rows of a group that have both sides."""
+    e, own = f"({actual} - {pred})", f"CASE WHEN {pred} IS NOT NULL THEN {actual} END"
+    f = r6 if rounded else (lambda x, a: f"{x} AS {a}")
+    return (f"count({e}) AS {n}, count(*) - count({e}) AS skipped, {f(f'avg(abs({e}))', 'mae')}, {f(f'sqrt(avg({e} * {e}))', 'rmse')}, "
+            f"{f(f'CASE WHEN var_pop({own}) > 0 THEN 1.0 - sum({e} * {e}) / (count({e}) * var_pop({own})) END', 'r2')}")
+
+
 # events -> raw hourly table (see hourglass.sources.events)
 def _raw_hourly_cte() -> str:
     def q(e):

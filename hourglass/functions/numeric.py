@@ -42,10 +42,8 @@ def clamp_nonneg(col) -> Column:
 
 
 def quantize(col, digits: int) -> Column:
-    """``floor(x * 10^d + 0.5) / 10^d`` (half up), the same IEEE steps in any
-    engine, so equal inputs give bit-equal outputs.  Magnitudes that would
-    overflow the intermediate long are passed through.  No negative zero."""
-    c = _c(col)
-    scale = float(10 ** digits)
-    q = F.floor(c * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
-    return F.when(F.abs(c) < F.lit(1e12), q).otherwise(c) + F.lit(0.0)
+    """``rint(x * 10^d) / 10^d`` (half even), the same IEEE steps in any engine, so
+    equal inputs give bit-equal outputs.  From 2^53 on a double is an integer and
+    stays as it is.  No negative zero."""
+    c, scale = _c(col), F.lit(float(10 ** digits))
+    return F.when(F.abs(c) < F.lit(2.0 ** 53), F.rint(c * scale) / scale).otherwise(c) + F.lit(0.0)

@@ -13,9 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.calendar import date_of
-from hourglass.functions.numeric import safe_div
-
-_POS_BITS = 33  # monotonically_increasing_id = partition id << 33 | position
+from hourglass.functions.numeric import round_half_even, safe_div
+from hourglass.session import write_table
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -54,10 +53,11 @@ def duplicate_count(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas/DuckDB ``quantile_cont``).
 
-    Distributed selection, no group is collected: values are unpivoted to
-    (keys, column, value), range-sorted, given a global ordinal from per-
-    partition counts (a table with one row per partition), and only the two
-    order statistics around each requested position are kept.
+    Equal values are counted before the shuffle, so a value that fills a group is
+    one row.  The counts are range-sorted and written once (range bounds are
+    sampled per execution; every branch must see the same pieces), given their
+    first ordinal by a running sum per piece and a prefix sum over the pieces of a
+    group, and only the values around each requested position are kept.
     Output: keys, column, p, value.
     """
     keys = list(keys)
@@ -65,30 +65,24 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], keys:
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v")) for c in cols])).alias("_x")) \
         .select(*keys, "_x.column_name", "_x.v").filter(F.col("v").isNotNull() & ~F.isnan("v"))
     grp = [*keys, "column_name"]
-    srt = long.orderBy(*grp, "v").select(*grp, "v", F.spark_partition_id().alias("_pid"),
-                                          F.monotonically_increasing_id().alias("_mid"))
-    srt = srt.withColumn("_pos", F.col("_mid").bitwiseAND(F.lit((1 << _POS_BITS) - 1)))
-    # per-partition sizes -> exclusive prefix sums (one row per partition: bounded)
-    part = srt.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    part = part.withColumn("_start", F.coalesce(F.sum("_cnt").over(
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    ordered = srt.join(F.broadcast(part.select("_pid", "_start")), "_pid").withColumn("_g", F.col("_start") + F.col("_pos"))
-    # per-group start ordinal and size
-    gstat = ordered.groupBy(*grp).agg(F.min("_g").alias("_g0"), F.count(F.lit(1)).alias("_n"))
-    plist = F.array(*[F.lit(float(p)) for p in probs])
-    wanted = gstat.select(*grp, "_g0", "_n", F.explode(plist).alias("p")) \
-        .withColumn("_h", F.col("p") * (F.col("_n") - 1)) \
-        .withColumn("_lo", F.floor("_h").cast("long")) \
-        .withColumn("_hi", F.ceil("_h").cast("long")) \
-        .withColumn("_frac", F.col("_h") - F.col("_lo"))
-    need = wanted.select(*grp, (F.col("_g0") + F.col("_lo")).alias("_g")).unionByName(
-        wanted.select(*grp, (F.col("_g0") + F.col("_hi")).alias("_g"))).distinct()
-    picked = ordered.join(need, [*grp, "_g"], "left_semi").select(*grp, "_g", "v")
-    lo = picked.select(*grp, F.col("_g").alias("_glo"), F.col("v").alias("_vlo"))
-    hi = picked.select(*grp, F.col("_g").alias("_ghi"), F.col("v").alias("_vhi"))
-    w2 = wanted.withColumn("_glo", F.col("_g0") + F.col("_lo")).withColumn("_ghi", F.col("_g0") + F.col("_hi"))
-    out = w2.join(lo, [*grp, "_glo"]).join(hi, [*grp, "_ghi"])
-    return out.select(*grp, "p", (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("value"))
+    counts = long.groupBy(*grp, "v").agg(F.count(F.lit(1)).alias("_c"))
+    srt = write_table(counts.orderBy(*grp, "v").withColumn("_pid", F.spark_partition_id()))
+    grp_w = Window.partitionBy(*grp)
+    part = srt.groupBy(*grp, "_pid").agg(F.sum("_c").alias("_s"))
+    part = part.withColumns({
+        "_before": F.coalesce(F.sum("_s").over(grp_w.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "_n": F.sum("_s").over(grp_w)}).drop("_s")
+    same = [F.col(f"srt.{c}").eqNullSafe(F.col(f"part.{c}")) for c in [*grp, "_pid"]]
+    run = F.sum("_c").over(Window.partitionBy(*grp, "_pid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
+    ordered = (srt.withColumn("_run", run).alias("srt").join(part.alias("part"), same)
+                  .select(*[f"srt.{c}" for c in grp], "v", "_c", "_n", (F.col("_before") + F.col("_run")).alias("_end")))
+    h = F.col("p") * (F.col("_n") - 1)
+    holds = lambda at: (F.col("_end") - F.col("_c") <= at) & (at < F.col("_end"))
+    wanted = ordered.withColumn("p", F.explode(F.array(*[F.lit(float(x)) for x in probs])))
+    picked = wanted.filter(holds(F.floor(h)) | holds(F.ceil(h)))
+    lo, hi = (F.max(F.when(holds(f(h)), F.col("v"))) for f in (F.floor, F.ceil))
+    out = picked.groupBy(*grp, "p").agg(lo.alias("_lo"), hi.alias("_hi"), F.first(h - F.floor(h)).alias("_frac"))
+    return out.select(*grp, "p", (F.col("_lo") + (F.col("_hi") - F.col("_lo")) * F.col("_frac")).alias("value"))
 
 
 def describe(df: DataFrame, cols: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -125,13 +119,18 @@ def hours_per_day(df: DataFrame, ts: str, keys: Sequence[str] = ()) -> DataFrame
 
 
 def day_completeness(df: DataFrame, ts: str, keys: Sequence[str] = (), full: int = 24) -> DataFrame:
-    """Number of days, days below ``full`` hours, days at ``full``."""
+    """Number of days, days below ``full`` hours, days at ``full``, and the
+    spread of the daily counts (sample standard deviation, exact quartiles)."""
+    keys = list(keys)
     d = hours_per_day(df, ts, keys)
-    return d.groupBy(*keys).agg(F.count(F.lit(1)).alias("days"),
+    q = quantiles(d, ["hours"], [0.25, 0.5, 0.75], keys).groupBy(*keys).pivot("p", [0.25, 0.5, 0.75]).agg(F.first("value"))
+    q = q.withColumnsRenamed({"0.25": "p25_hours", "0.5": "p50_hours", "0.75": "p75_hours"})
+    counts = d.groupBy(*keys).agg(F.stddev_samp("hours").alias("std_hours"), F.count(F.lit(1)).alias("days"),
                                 F.count_if(F.col("hours") < full).alias("incomplete_days"),
                                 F.count_if(F.col("hours") == full).alias("complete_days"),
                                 F.min("hours").alias("min_hours"), F.max("hours").alias("max_hours"),
                                 F.avg("hours").alias("mean_hours"))
+    return counts.join(q, keys, "left") if keys else attach_scalars(counts, q)
 
 
 def daily_summary(df: DataFrame, ts: str, keys: Sequence[str], means: Sequence[str],
@@ -148,7 +147,7 @@ def category_distribution(df: DataFrame, cat: str, keys: Sequence[str] = (), dig
     keys = list(keys)
     c = df.groupBy(*keys, cat).agg(F.count(F.lit(1)).alias("count"))
     tot = F.sum("count").over(Window.partitionBy(*keys)) if keys else F.sum("count").over(Window.partitionBy())
-    return c.withColumn("percent", F.round(F.col("count") * 100.0 / tot, digits))
+    return c.withColumn("percent", round_half_even(F.col("count") * 100.0 / tot, digits))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -168,56 +167,64 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
                         F.coalesce("count", F.lit(0)).cast("long").alias("count")))
 
 
-def regression_metrics(df: DataFrame, actual: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
-    """MAE, RMSE and R^2 (``1 - SSE / SST``; NULL when the actuals have no
-    variance).  One aggregate; rows with a NULL on either side are skipped."""
-    keys = list(keys)
-    both = df.filter(F.col(actual).isNotNull() & F.col(pred).isNotNull())
-    e = F.col(actual) - F.col(pred)
-    aggs = [F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-            F.sum(e * e).alias("_sse"), F.var_pop(actual).alias("_var")]
-    g = both.groupBy(*keys).agg(*aggs) if keys else both.agg(*aggs)
+def _error_aggs(actual: str, pred: str) -> list[Column]:
+    """Counts, error sums and the actuals' variance over the rows with both sides."""
+    e = F.col(actual) - F.col(pred)  # NULL where a side is
+    return [F.count(e).alias("n"), (F.count(F.lit(1)) - F.count(e)).alias("skipped"), F.avg(F.abs(e)).alias("mae"),
+            F.sqrt(F.avg(e * e)).alias("rmse"), F.sum(e * e).alias("_sse"),
+            F.var_pop(F.when(e.isNotNull(), F.col(actual))).alias("_var")]
+
+
+def _r2(g: DataFrame) -> DataFrame:
     r2 = F.lit(1.0) - safe_div(F.col("_sse"), F.col("n") * F.col("_var"))
     return g.withColumn("r2", F.when(F.col("_var") > 0, r2)).drop("_sse", "_var")
 
 
+def regression_metrics(df: DataFrame, actual: str, pred: str, keys: Sequence[str] = ()) -> DataFrame:
+    """MAE, RMSE and R^2 (``1 - SSE / SST``; NULL when the actuals have no
+    variance).  One aggregate; rows with a NULL on either side are counted in
+    ``skipped``."""
+    aggs = _error_aggs(actual, pred)
+    return _r2(df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs))
+
+
 def block_metrics(df: DataFrame, actual: str, pred: str, keys: Sequence[str], block: str = "forecast_day",
                   ts: str = "timestamp") -> DataFrame:
     """A12 per block plus predicted/actual means, signed, absolute and
-    percentage error of the means (``try_divide``: NULL for a zero mean)."""
-    keys = list(keys)
-    e = F.col(actual) - F.col(pred)
-    g = df.filter(F.col(actual).isNotNull() & F.col(pred).isNotNull()).groupBy(*keys, block).agg(
-        F.min(ts).alias("start"), F.max(ts).alias("end"), F.count(F.lit(1)).alias("hours"),
-        F.avg(pred).alias("predicted_avg"), F.avg(actual).alias("actual_avg"),
-        F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        F.sum(e * e).alias("_sse"), F.var_pop(actual).alias("_var"))
+    percentage error of the means (``try_divide``: NULL for a zero mean).  Rows with
+    a NULL on either side are counted in ``skipped`` only."""
+    both = F.col(actual).isNotNull() & F.col(pred).isNotNull()
+    of = lambda c: F.when(both, F.col(c))
+    g = df.groupBy(*keys, block).agg(
+        F.min(of(ts)).alias("start"), F.max(of(ts)).alias("end"),
+        F.avg(of(pred)).alias("predicted_avg"), F.avg(of(actual)).alias("actual_avg"), *_error_aggs(actual, pred))
+    g = _r2(g).withColumnRenamed("n", "hours")
     return (g.withColumn("average_error", F.col("predicted_avg") - F.col("actual_avg"))
              .withColumn("absolute_error", F.abs(F.col("average_error")))
-             .withColumn("percentage_error", safe_div(F.col("absolute_error") * 100.0, F.col("actual_avg")))
-             .withColumn("r2", F.when(F.col("_var") > 0, F.lit(1.0) - safe_div(F.col("_sse"), F.col("hours") * F.col("_var"))))
-             .drop("_sse", "_var"))
+             .withColumn("percentage_error", safe_div(F.col("absolute_error") * 100.0, F.col("actual_avg"))))
 
 
 def block_actual_vs_pred(df: DataFrame, actual: str, pred: str, keys: Sequence[str], block: str = "forecast_day",
                          digits: int | None = None) -> DataFrame:
-    """mean/min/max of both sides per block, hours, abs and pct error."""
+    """mean/min/max of both sides per block, hours (predictions that are not
+    NULL), abs and pct error."""
     keys = list(keys)
     g = df.groupBy(*keys, block).agg(
-        F.count(F.lit(1)).alias("hours"),
+        F.count(pred).alias("hours"),
         F.avg(pred).alias("predicted_mean"), F.min(pred).alias("predicted_min"), F.max(pred).alias("predicted_max"),
         F.avg(actual).alias("actual_mean"), F.min(actual).alias("actual_min"), F.max(actual).alias("actual_max"))
     g = g.withColumn("abs_error", F.abs(F.col("predicted_mean") - F.col("actual_mean"))) \
          .withColumn("pct_error", safe_div(F.col("abs_error") * 100.0, F.col("actual_mean")))
     if digits is not None:
-        g = g.withColumns({c: F.round(c, digits) for c in g.columns
+        g = g.withColumns({c: round_half_even(c, digits) for c in g.columns
                            if c not in (*keys, block, "hours")})
     return g
 
 
-def metrics_of_block_means(blocks: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """A12 over the per-block means produced by A14."""
-    return regression_metrics(blocks, "actual_mean", "predicted_mean", keys)
+def metrics_of_block_means(blocks: DataFrame, keys: Sequence[str] = (), digits: int = 2) -> DataFrame:
+    """A12 over the per-block means produced by A14, rounded (half even) first."""
+    means = {c: round_half_even(c, digits) for c in ("actual_mean", "predicted_mean")}
+    return regression_metrics(blocks.withColumns(means), "actual_mean", "predicted_mean", keys)
 
 
 def distinct_values(df: DataFrame, col: str) -> DataFrame:
@@ -236,9 +243,10 @@ def champion(metrics: DataFrame, by: str = "rmse") -> DataFrame:
 
 
 def block_completeness(df: DataFrame, keys: Sequence[str], block: str = "forecast_day", hours: int = 24,
-                       blocks: int = 3) -> DataFrame:
-    """Every block has ``hours`` rows, ``blocks`` blocks, total = product."""
-    per = df.groupBy(*keys, block).agg(F.count(F.lit(1)).alias("n"))
+                       blocks: int = 3, pred: str = "predicted_aqi") -> DataFrame:
+    """Every block has ``hours`` predictions (NULLs do not count), ``blocks``
+    blocks, total = product."""
+    per = df.groupBy(*keys, block).agg(F.count(pred).alias("n"))
     return per.groupBy(*keys).agg(F.count(F.lit(1)).alias("blocks"), F.sum("n").alias("total_hours"),
                                   F.bool_and(F.col("n") == hours).alias("all_full")) \
               .withColumn("complete", F.col("all_full") & (F.col("blocks") == blocks)

@@ -39,12 +39,27 @@ def duplicate_keys(df: DataFrame, on: Sequence[str]) -> DataFrame:
     return df.groupBy(*on).count().filter("count > 1")
 
 
-def attach_one_to_one(left: DataFrame, right: DataFrame, on: Sequence[str], cols: Sequence[str] | None = None) -> DataFrame:
-    """J2 that refuses duplicate keys on either side (checked by a
-    distributed aggregate before the join)."""
+def _unique(df: DataFrame, on: Sequence[str], side: str) -> DataFrame:
+    """``df`` with a check in the plan that no key occurs twice (a window on the keys
+    the join is hashed on, so the join needs no shuffle of its own)."""
+    n = F.count(F.lit(1)).over(Window.partitionBy(*on))
+    found = F.concat_ws(", ", *[F.coalesce(F.col(c).cast("string"), F.lit("NULL")) for c in on])
+    fail = F.raise_error(F.concat(F.lit(f"duplicate join keys on the {side} side for {list(on)}: "), found))
+    return df.withColumn("_n", n).filter(F.when(F.col("_n") == 1, F.lit(True)).otherwise(fail.cast("boolean"))).drop("_n")
+
+
+def attach_one_to_one(left: DataFrame, right: DataFrame, on: Sequence[str], cols: Sequence[str] | None = None,
+                      check: str = "eager") -> DataFrame:
+    """J2 that refuses duplicate keys on either side.  ``check="eager"`` runs the
+    check before it returns (for sides that are tables); ``check="plan"`` makes it part
+    of the join's plan, so that sides with long plans are computed once and the job
+    itself fails, naming a key."""
+    on = list(on)
+    if check == "plan":
+        return attach(_unique(left, on, "left"), _unique(right, on, "right"), on, cols)
     for name, side in (("left", left), ("right", right)):
         if not duplicate_keys(side, on).isEmpty():
-            raise ContractError(f"duplicate join keys on the {name} side for {list(on)}")
+            raise ContractError(f"duplicate join keys on the {name} side for {on}")
     return attach(left, right, on, cols)
 
 

@@ -81,12 +81,54 @@ def _clamp(v: Column) -> Column:
     return F.when(v < F.lit(0.0), F.lit(0.0)).otherwise(v)
 
 
+# --------------------------------------------------------------------------- series that cannot be forecast
+def needed_hours(spec: FeatureSpec = DEFAULT_SPEC, align: str = "target") -> dict[str, int]:
+    """How many hours before the horizon each feature of the target series reads."""
+    shift = 1 if align == "target" else 0
+    src = spec.target_source
+    out = {f"{spec.target_alias}_lag_{k}": k + shift for k in spec.aqi_lags}
+    out |= {n: (w if align == "target" else w - 1) + shift for n, c, w in spec.mean_cols() if c == src}
+    return out | {n: k + 1 for n, c, k in spec.change_cols() if c == src}
+
+
+def forecast_status(features: DataFrame, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
+                    horizon: int = FORECAST_HORIZON, align: str = "target", spec: FeatureSpec = DEFAULT_SPEC,
+                    used: Sequence[str] | None = None) -> DataFrame:
+    """One row per series: rows, history (hours before the horizon), null_history (those
+    without a value), status (``ok``, ``short`` or ``nulls``) and the features (``used``;
+    all by default) that cannot be computed at the first horizon hour."""
+    need = {n: d for n, d in needed_hours(spec, align).items() if used is None or n in used}
+    depth = max(need.values(), default=1)
+    rd = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
+    pos = features.select(*keys, F.col(spec.target_source).alias("_v"), (rd - horizon).alias("_d"))
+    g = pos.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("rows"), F.greatest(F.lit(0), F.max("_d")).cast("long").alias("history"),
+        F.count_if(F.col("_d").between(1, depth) & F.col("_v").isNull()).alias("null_history"),
+        F.min(F.when((F.col("_d") >= 1) & F.col("_v").isNull(), F.col("_d"))).alias("_hole"))
+    reach = F.least(F.col("history"), F.coalesce(F.col("_hole") - 1, F.col("history")))
+    names = F.array(*[F.struct(F.lit(n).alias("n"), F.lit(d).alias("d")) for n, d in sorted(need.items())])
+    missing = F.transform(F.filter(names, lambda x: x["d"] > reach), lambda x: x["n"])
+    status = F.when(F.col("history") < depth, "short").when(F.col("null_history") > 0, "nulls").otherwise("ok")
+    return g.select(*keys, "rows", "history", "null_history", status.alias("status"), F.array_join(missing, ",").alias("missing_features"))
+
+
+def _refuse(keys: Sequence[str], predicted: Column, missing: Column) -> Column:
+    """``predicted``, or a failure that names the series and the features it lacks."""
+    name = F.concat_ws("/", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])
+    fail = F.raise_error(F.concat(F.lit("NULL features in the forecast of series "), name, F.lit(": "), missing))
+    return F.when(predicted.isNotNull(), predicted).otherwise(fail.cast("double"))
+
+
 # --------------------------------------------------------------------------- M14 (linear)
 def recursive_forecast_linear(features: DataFrame, b0: float, beta: dict, keys: Sequence[str] = ("location_id",),
                               ts: str = "timestamp", horizon: int = FORECAST_HORIZON, align: str = "target",
-                              spec: FeatureSpec = DEFAULT_SPEC, clamp: bool = True) -> DataFrame:
+                              spec: FeatureSpec = DEFAULT_SPEC, clamp: bool = True, on_null: str = "raise") -> DataFrame:
     """Roll a linear model ``horizon`` rows past each series' boundary.
 
+    A series whose features are NULL (too short a history, or holes in it) fails the
+    job, naming it and them; with ``on_null="keep"`` its hours come back without a
+    prediction (``forecast_status`` lists such series).  No series is left out.
+
     ``features``: full feature table (``build_features(..., drop_incomplete=False)``)
     holding history *and* the ``horizon`` rows to forecast, whose exogenous
     inputs are known (observed in a backtest, provider forecasts live).  The
@@ -117,12 +159,19 @@ def recursive_forecast_linear(features: DataFrame, b0: float, beta: dict, keys:
             v = v + F.lit(float(gv)) * F.try_element_at(acc, F.lit(-d))
         return F.concat(acc, F.array(_clamp(v) if clamp else v))
 
-    folded = ex.join(hist, keys, "inner").select(
+    none = F.array().cast("array<double>")
+    folded = ex.join(hist, keys, "left").withColumn("_hist", F.coalesce("_hist", none)).select(
         *keys, "_e", F.size("_hist").alias("_n0"),
         F.aggregate("_e", F.col("_hist"), step).alias("_acc"))
     out = folded.select(*keys, F.posexplode(F.arrays_zip(
         F.transform("_e", lambda s: s["_ts"]).alias("t"),
-        F.slice("_acc", F.col("_n0") + 1, F.size("_e")).alias("p"))).alias("_i", "_z"))
+        F.slice("_acc", F.col("_n0") + 1, F.size("_e")).alias("p"))).alias("_i", "_z"), "_n0")
+    if on_null == "raise":
+        used = {n: d for n, d in needed_hours(spec, align).items() if beta.get(n)}
+        short = F.filter(F.array(*[F.struct(F.lit(n).alias("n"), F.lit(d).alias("d")) for n, d in used.items()]), lambda x: x["d"] > F.col("_n0")) if used else None
+        names = F.array_join(F.transform(short, lambda x: x["n"]), ", ") if used else F.lit("")
+        lack = F.concat(F.lit("history of "), F.col("_n0").cast("string"), F.lit(" hours; "), names)
+        out = out.withColumn("_z", F.struct(F.col("_z.t").alias("t"), _refuse(keys, F.col("_z.p"), lack).alias("p")))
     return out.select(*keys, F.col("_z.t").alias(ts), (F.col("_i") + 1).cast("int").alias("step"),
                       (F.floor(F.col("_i") / BLOCK_HOURS) + 1).cast("int").alias("forecast_day"),
                       F.col("_z.p").alias("predicted_aqi"))
@@ -131,12 +180,15 @@ def recursive_forecast_linear(features: DataFrame, b0: float, beta: dict, keys:
 # --------------------------------------------------------------------------- M14 (any model)
 def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str] = ("location_id",),
                                 ts: str = "timestamp", horizon: int = FORECAST_HORIZON, align: str = "target",
-                                spec: FeatureSpec = DEFAULT_SPEC, checkpoint_every: int = 8) -> DataFrame:
+                                spec: FeatureSpec = DEFAULT_SPEC, checkpoint_every: int = 8,
+                                on_null: str = "raise") -> DataFrame:
     """M14 for models without a closed recurrence (trees): one distributed
     ``transform`` per horizon hour over *all* series at once.  The loop runs
     ``horizon`` times regardless of data size; lineage is cut with reliable
     checkpoints in ``spark.checkpoint.dir`` so a lost executor recomputes from
-    the last checkpoint, never from the source."""
+    the last checkpoint, never from the source.  Series with NULL features are
+    treated as in the linear form: named in a failure, or kept without predictions."""
+    from hourglass.operators.guards import ContractError
     from hourglass.session import materialize, write_table
 
     keys = list(keys)
@@ -163,6 +215,20 @@ def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str]
     # loop is one chain of per-hour joins with no growing union of branches.
     rows = materialize(rows)
     state = materialize(state.withColumn("_n0", F.size("_acc")))
+    # A model scores complete rows only: enough known hours, no NULL in the other inputs.
+    other = [c for c in spec.feature_columns() if c not in dep]
+    holes = rows.groupBy(*keys).agg(F.count_if(F.greatest(*[F.col(c).isNull().cast("int") for c in other]) > 0).alias("_holes"))
+    judged = holes.join(state, keys, "left").withColumn("_ok", F.coalesce(
+        (F.col("_n0") >= depth) & ~F.exists("_acc", lambda v: v.isNull()) & (F.col("_holes") == 0), F.lit(False)))
+    if on_null == "raise":
+        bad = judged.filter(~F.col("_ok")).select(*keys, "_n0", "_holes").take(5)
+        if bad:
+            names = sorted(n for n, d in needed_hours(spec, align).items() if any((r["_n0"] or 0) < d for r in bad))
+            raise ContractError(f"NULL features in the forecast of series {[tuple(r[k] for k in keys) for r in bad]}: {names or 'exogenous inputs'}")
+    whole = rows
+    ok = judged.filter("_ok").select(*keys)
+    rows, state = rows.join(ok, keys, "left_semi"), state.join(ok, keys, "left_semi")
+    rows, state = materialize(rows), materialize(state)
     shift = 1 if align == "target" else 0
     for h in range(1, horizon + 1):
         cur = rows.filter(F.col("_step") == h).join(state, keys, "inner")
@@ -186,7 +252,7 @@ def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str]
             state = write_table(state)
     # A series has either all ``horizon`` step rows or none (its state is
     # empty when it is shorter), so one join reads every prediction back.
-    out = rows.select(*keys, "_ts", "_step").join(state, keys, "inner")
+    out = whole.select(*keys, "_ts", "_step").join(state, keys, "left")
     preds = out.select(*keys, F.col("_ts").alias(ts), F.col("_step").alias("step"),
                        F.element_at("_acc", F.col("_n0") + F.col("_step")).alias("predicted_aqi"))
     return preds.withColumn("forecast_day", (F.floor((F.col("step") - 1) / BLOCK_HOURS) + 1).cast("int"))
@@ -215,7 +281,7 @@ def attach_actuals(forecast: DataFrame, observed: DataFrame, keys: Sequence[str]
                    ts: str = "timestamp", target: str = "us_aqi") -> DataFrame:
     """Attach the observed value of each forecast hour one-to-one."""
     obs = observed.select(*keys, ts, F.col(target).alias("future_us_aqi"))
-    return attach_one_to_one(forecast, obs, [*keys, ts], ["future_us_aqi"])
+    return attach_one_to_one(forecast, obs, [*keys, ts], ["future_us_aqi"], check="plan")
 
 
 def backtest_linear(raw: DataFrame, b0: float, beta: dict, keys: Sequence[str] = ("location_id",),

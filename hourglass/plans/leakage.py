@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.operators.guards import name_families
+from hourglass.operators.aggregates import attach_scalars
+from hourglass.operators.guards import monotonic_report, name_families
 from hourglass.operators.windows import series_window
 
 
@@ -33,18 +34,20 @@ def temporal_leakage_report(df: DataFrame, keys: Sequence[str], ts: str, checks:
 
 
 def structural_leakage_report(df: DataFrame, keys: Sequence[str], ts: str, features: Sequence[str],
-                              target: str, source: str = "us_aqi") -> DataFrame:
-    """One row: time order per series holds, target min/max/mean, total
-    NULLs in features and target, the current value excluded from inputs (G2),
-    no future-like names among inputs (G3)."""
+                              target: str, source: str = "us_aqi", ordinal: str | None = None) -> DataFrame:
+    """One row: rows of each series arrive in time order (P16; ``ordinal`` is the
+    arrival order, without it the places of the rows as read), target min/max/mean, total NULLs in
+    features and target, the current value excluded from inputs (G2), no future-like
+    names among inputs (G3)."""
     fam = name_families(features)
-    w = Window.partitionBy(*keys).orderBy(ts)
-    x = df.select(*keys, ts, target, *features, F.lag(ts).over(w).alias("_prev"))
+    if ordinal is None:
+        ordinal, df = "_arrival", df.withColumn("_arrival", F.monotonically_increasing_id())
     nulls = sum((F.col(c).isNull().cast("long") for c in features), F.lit(0))
-    rep = x.agg(F.count_if(F.col(ts) <= F.col("_prev")).alias("order_violations"),
-                F.min(target).alias("target_min"), F.max(target).alias("target_max"), F.avg(target).alias("target_mean"),
-                F.sum(nulls).alias("feature_nulls"), F.count_if(F.col(target).isNull()).alias("target_nulls"),
-                F.count(F.lit(1)).alias("rows"))
+    order = monotonic_report(df, keys, ts, ordinal).agg(F.coalesce(F.sum("out_of_order"), F.lit(0)).cast("long").alias("order_violations"))
+    rep = df.agg(F.min(target).alias("target_min"), F.max(target).alias("target_max"), F.avg(target).alias("target_mean"),
+                 F.coalesce(F.sum(nulls), F.lit(0)).cast("long").alias("feature_nulls"),
+                 F.count_if(F.col(target).isNull()).alias("target_nulls"), F.count(F.lit(1)).alias("rows"))
+    rep = attach_scalars(rep, order)
     return rep.select("*", F.lit(source not in features).alias("current_value_excluded"),
                       F.lit(len(fam["future_like"]) == 0).alias("no_future_like_inputs"),
                       F.lit(len(fam["lag"])).alias("lag_features"), F.lit(len(fam["mean"])).alias("mean_features"),
