@@ -40,6 +40,7 @@ def load_all() -> None:
     from hourglass.catalog import (  # noqa: F401
         q_aggregates,
         q_features,
+        q_files,
         q_joins,
         q_model,
         q_ordering,

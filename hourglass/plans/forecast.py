@@ -294,6 +294,18 @@ def backtest_linear(raw: DataFrame, b0: float, beta: dict, keys: Sequence[str] =
     return attach_actuals(fc, raw, keys, ts, spec.target_source)
 
 
+def backtest_origins(raw: DataFrame, b0: float, beta: dict, origins: Sequence[int], keys: Sequence[str] = ("location_id",),
+                     ts: str = "timestamp", horizon: int = FORECAST_HORIZON, align: str = "target",
+                     spec: FeatureSpec = DEFAULT_SPEC) -> DataFrame:
+    """M15 from several origins: ``origin`` o (an extra key) backtests each series without
+    its last o rows."""
+    keys = list(keys)
+    rd = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
+    each = raw.withColumn("_rd", rd).withColumn("origin", F.explode(F.array(*[F.lit(int(o)) for o in origins])))
+    cut = each.filter(F.col("_rd") > F.col("origin")).drop("_rd")
+    return backtest_linear(cut, b0, beta, [*keys, "origin"], ts, horizon, align, spec)
+
+
 def backtest_stepwise(raw: DataFrame, fitted, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
                       horizon: int = FORECAST_HORIZON, align: str = "target", spec: FeatureSpec = DEFAULT_SPEC,
                       checkpoint_every: int = 8) -> DataFrame:

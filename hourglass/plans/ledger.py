@@ -39,6 +39,26 @@ def assign_alias(latest: DataFrame, metric: str = "rmse", alias: str = "champion
     return j.withColumn("alias", F.when(F.col("model") == F.col("_best"), F.lit(alias))).drop("_best")
 
 
+ALIAS_SCHEMA = "alias string, model string, version int, run_id string, set_at timestamp"
+
+
+def record_alias(ledger: DataFrame, path: str, metric: str = "rmse", alias: str = "champion") -> None:
+    """Append who holds ``alias`` (the latest version with the lowest ``metric``) to the
+    alias table at ``path``; the ledger itself is never rewritten."""
+    won = assign_alias(latest_versions(ledger).drop("alias"), metric, alias).filter("alias is not null")
+    won.select("alias", "model", F.col("version").cast("int").alias("version"), "run_id", F.current_timestamp().alias("set_at")).write.mode("append").parquet(path)
+
+
+def read_aliases(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(ALIAS_SCHEMA).parquet(path)
+
+
+def resolve_alias(ledger: DataFrame, aliases: DataFrame, alias: str) -> DataFrame:
+    """The run that holds ``alias`` by its newest record."""
+    last = aliases.filter(F.col("alias") == alias).agg(F.max_by(F.struct("alias", "run_id"), "set_at").alias("_a")).select("_a.*")
+    return ledger.drop("alias").join(last, "run_id")
+
+
 def lookup_alias(ledger: DataFrame, alias: str) -> DataFrame:
     """Rows of the latest versions carrying ``alias``."""
     return ledger.filter(F.col("alias") == alias)

@@ -87,3 +87,28 @@ def build_payloads(hourly: DataFrame, keys: Sequence[str], ts: str, variables: S
     body = F.struct(latitude.alias("latitude"), longitude.alias("longitude"), unit_map.alias("hourly_units"),
                     hourly_struct.alias("hourly"))
     return g.select(*keys, "period", F.to_json(body).alias("payload"))
+
+
+# --------------------------------------------------------------------------- second provider
+def list_schema(variables: Sequence[str]) -> T.StructType:
+    record = T.StructType([T.StructField("dt", T.LongType())] + [T.StructField(v, T.DoubleType()) for v in variables])
+    coord = T.StructType([T.StructField("lat", T.DoubleType()), T.StructField("lon", T.DoubleType())])
+    return T.StructType([T.StructField("coord", coord), T.StructField("list", T.ArrayType(record))])
+
+
+def list_profile(df: DataFrame, col: str, variables: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """S6 for payloads whose ``list`` holds the records: their number (0 without a
+    list), first and last time, coordinates."""
+    p = df.withColumn("_p", F.from_json(F.col(col), list_schema(variables)))
+    at = lambda f: F.timestamp_seconds(f(F.transform("_p.list", lambda r: r["dt"]))).cast("timestamp_ntz")
+    return p.select(*keep, F.coalesce(F.size("_p.list"), F.lit(0)).alias("records"), at(F.array_min).alias("first_ts"),
+                    at(F.array_max).alias("last_ts"), F.col("_p.coord.lat").alias("latitude"), F.col("_p.coord.lon").alias("longitude"))
+
+
+def build_list_payloads(hourly: DataFrame, keys: Sequence[str], ts: str, variables: Sequence[str], latitude: Column,
+                        longitude: Column, period: str = "day") -> DataFrame:
+    """One ``list`` payload per (keys, period); at most a period of hours each."""
+    grp = [*keys, F.date_trunc(period, F.col(ts)).cast("timestamp_ntz").alias("period")]
+    rec = F.struct(F.unix_seconds(F.col(ts).cast("timestamp")).alias("dt"), *[F.col(v).cast("double").alias(v) for v in variables])
+    g = hourly.groupBy(*grp).agg(F.sort_array(F.collect_list(rec)).alias("list"))
+    return g.select(*keys, "period", F.to_json(F.struct(F.struct(latitude.alias("lat"), longitude.alias("lon")).alias("coord"), "list")).alias("payload"))
