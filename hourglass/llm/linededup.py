@@ -17,6 +17,9 @@ no pairs are listed, however many lines meet.
 3. Equal hashes are joined, the earliest line of each bucket is fetched, and its edit
    distance is verified.
 
+The joins are plain: one side has a row a key, and Spark splits the partition of a line
+or variant that fills many rows (adaptive skew joins).
+
 All of it is DataFrame functions.  The edit bound is 0 or 1: the variants of two
 edits grow with the square of the length.
 
@@ -32,7 +35,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import salted, saved
+from hourglass.llm.common import saved
 
 PARTS = 8
 
@@ -47,7 +50,7 @@ def _shared(states: DataFrame, key: list[Column]) -> DataFrame:
     """The states (id, size, a, b) whose key another line has too."""
     keyed = states.withColumn("key", F.xxhash64("size", "a", "b", *key)).select("id", "size", "a", "b", "key")
     many = keyed.groupBy("key").agg(F.min("id").alias("_x"), F.max("id").alias("_y")).filter("_x <> _y").select("key")
-    return salted(keyed, many, ["key"], ["id"]).drop("key")
+    return keyed.join(many, "key").drop("key")
 
 
 def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
@@ -75,7 +78,7 @@ def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
     variants = saved(replaced.unionByName(whole).unionByName(longer))
     mine = lambda r: F.min(F.when(F.col("role") == r, F.struct("pos", "id")))
     buckets = variants.groupBy("key").agg(mine(0).alias("r"), mine(1).alias("w"), mine(2).alias("l"), F.min("id").alias("_x"), F.max("id").alias("_y")).filter("_x <> _y").drop("_x", "_y")
-    met = salted(variants, buckets, ["key"], ["id"])
+    met = variants.join(buckets, "key")
     other = F.when(F.col("role") == 0, F.col("r")).when(F.col("role") == 1, F.col("l")).otherwise(F.col("w"))
     asked = met.select("id", "pos", other.alias("o")).filter("o is not null and o.pos < pos").groupBy("id").agg(F.min("o").alias("o"))
     pair = asked.select("id", F.col("o.id").alias("earlier")).join(src.select("id", "line"), "id").join(src.select(F.col("id").alias("earlier"), F.col("line").alias("other")), "earlier")
@@ -99,7 +102,7 @@ def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col:
         named = named.join(near_lines(lines, min_chars), "id", "left").withColumn("gone", F.col("earlier").isNotNull()).drop("earlier")
     else:
         named = named.withColumn("gone", F.lit(False))
-    judged = salted(found.filter("full").drop("full", "doc_id"), saved(named.drop("id")), ["h", "g"], ["row", "place"])
+    judged = found.filter("full").drop("full", "doc_id").join(named.drop("id"), ["h", "g"])
     gone = judged.filter(F.col("gone") | (F.col("pos.row") != F.col("row")) | (F.col("pos.place") != F.col("place"))).groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("removed"))
     count = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("n_lines"))
     empty = rows.filter("text is null").select("row", "doc_id", F.lit(0).cast("long").alias("n_lines"))
