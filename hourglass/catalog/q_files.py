@@ -13,6 +13,7 @@ from hourglass.catalog.common import KEYS, TS, events, features, raw, rounded
 from hourglass.catalog.q_model import _SPLIT, FIXED_B0, FIXED_BETA, HORIZON, _ledger, _MET, _split
 from hourglass.checks.sqlfrag import FEATURES_CTE, RAW_HOURLY_CTE, forecast_sql, r6, rounded_select
 from hourglass.functions.calendar import format_date, parse_ts_utc
+from hourglass.operators.aggregates import attach_scalars
 from hourglass.operators.guards import assert_no_nulls, assert_shape
 from hourglass.operators.joins import latest_features
 from hourglass.plans import forecast as FC
@@ -131,3 +132,41 @@ def q_ledger_alias(spark, sf):
     L.record_alias(L.read_ledger(spark, runs), aliases, "rmse", "champion")
     found = L.resolve_alias(L.read_ledger(spark, runs), L.read_aliases(spark, aliases), "champion")
     return rounded(found.select("alias", "model", "version", F.col("metrics")["rmse"].alias("rmse")))
+
+
+@register("model_selection", f"WITH {RAW_HOURLY_CTE}, n AS (SELECT count(DISTINCT location_id) * {HORIZON} AS hours FROM raw)\n"
+                             "SELECT CAST(3 AS BIGINT) AS models, true AS ranked_by_rmse, true AS alias_is_rank_one, hours AS forecast_hours, hours AS predictions FROM n")
+def q_model_selection(spark, sf, trees: int = 20, rounds: int = 20, max_depth: int = 12):
+    """Fit ridge, forest and boosted trees, rank, save, record, load by alias, and forecast
+    with the winner (sizes cut for this entry; the functions default to the full ones)."""
+    from pyspark.sql import Window
+
+    from hourglass.plans import selection as SE
+
+    path = _path(spark, "selection")
+    ranked = SE.select_model(_split(spark, sf), SE.candidates(_VIEW, trees=trees, rounds=rounds, max_depth=max_depth), path)
+    best = SE.load_selected(spark, path)
+    w = Window.orderBy("rank")
+    table = ranked.withColumn("_up", F.coalesce(F.col("rmse") >= F.lag("rmse").over(w), F.lit(True))).agg(
+        F.count(F.lit(1)).alias("models"), F.bool_and("_up").alias("ranked_by_rmse"),
+        (F.min_by("model", "rank") == F.lit(best.name)).alias("alias_is_rank_one"))
+    hourly = raw(spark, sf)
+    if best.kind == "linear":
+        b0, beta = best.linear_terms(spark)
+        fc = FC.backtest_linear(hourly, b0, beta, KEYS, TS, HORIZON)
+    else:
+        fc = FC.backtest_stepwise(hourly, best, KEYS, TS, HORIZON)
+    hours = fc.agg(F.count(F.lit(1)).alias("forecast_hours"), F.count("predicted_aqi").alias("predictions"))
+    return attach_scalars(table, hours)
+
+
+@register("leakage_flags", f"WITH {FEATURES_CTE},\no AS (SELECT count_if(timestamp < prev) = 0 AS ok FROM (SELECT timestamp, lag(timestamp) OVER (PARTITION BY location_id ORDER BY timestamp) AS prev FROM feat))\n"
+                           "SELECT 'inputs' AS inputs, false AS target_in_inputs, false AS current_in_inputs, '' AS suspicious_inputs, ok AS time_ordered, ok AS passed FROM o UNION ALL "
+                           "SELECT 'inputs and leaks', true, true, 'target_aqi', ok, false FROM o")
+def q_leakage_flags(spark, sf):
+    """M17's flags for the 70 inputs, and for the same with the target and the current value added."""
+    from hourglass.plans.leakage import leakage_flags
+
+    f = features(spark, sf).select(*KEYS, TS).withColumn("arrival", F.unix_micros(F.col(TS).cast("timestamp")))
+    clean = leakage_flags(f, KEYS, TS, _VIEW).withColumn("inputs", F.lit("inputs"))
+    return clean.unionByName(leakage_flags(f, KEYS, TS, [*_VIEW, "us_aqi", "target_aqi"]).withColumn("inputs", F.lit("inputs and leaks")))

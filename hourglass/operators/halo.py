@@ -25,19 +25,20 @@ CHUNK = "_chunk"
 HALO = "_halo"
 ORDINAL = "_ordinal"
 RANGE_CHUNK = "_rc"
+CHUNK_ROWS = 2_000_000
 
 
 def range_chunks(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunks: int | None = None) -> DataFrame:
     """Rows tagged with ``_rc``: ``df`` range-partitioned on (keys, order) into
-    ``chunks`` parts of about equal row count (default
-    ``spark.sql.shuffle.partitions``).  Each chunk holds a contiguous run of
+    ``chunks`` parts of about equal row count (by default as many as keep a chunk
+    at ``CHUNK_ROWS`` rows, and at least ``spark.sql.shuffle.partitions``).  Each chunk holds a contiguous run of
     one or more series in ``order``; a key holding a third of all rows spans
     many chunks, so per-(key, chunk) work stays bounded by the chunk size.
 
     The range bounds are sampled on each execution: a plan that reads the
     tagged rows more than once must write them once first (``materialize``).
     """
-    n = int(chunks or df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = int(chunks or max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // CHUNK_ROWS)))
     return df.repartitionByRange(n, *keys, *order).withColumn(RANGE_CHUNK, F.spark_partition_id())
 
 
@@ -51,9 +52,9 @@ def with_ordinal(df: DataFrame, keys: Sequence[str], ts: str, bucket_seconds: in
     wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, "_b", F.coalesce(F.sum("_n").over(wk), F.lit(0)).alias("_start"))
     pos = F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(ts)) - 1
-    return (x.join(starts, [*keys, "_b"], "inner")
-             .withColumn(ORDINAL, (F.col("_start") + pos).cast("long"))
-             .drop("_b", "_start"))
+    on = [F.col(f"x.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*keys, "_b"]]  # NULL keys and times are a bucket too
+    return (x.withColumn("_p", pos).alias("x").join(starts.alias("s"), on)
+             .select(*[f"x.{c}" for c in df.columns], (F.col("_start") + F.col("_p")).cast("long").alias(ORDINAL)))
 
 
 def halo_chunks(df: DataFrame, keys: Sequence[str], ts: str, chunk_rows: int, back: int, ahead: int = 1,

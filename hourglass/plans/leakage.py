@@ -33,6 +33,18 @@ def temporal_leakage_report(df: DataFrame, keys: Sequence[str], ts: str, checks:
     return g.unionByName(verdict)
 
 
+def leakage_flags(df: DataFrame, keys: Sequence[str], ts: str, features: Sequence[str], target: str = "target_aqi",
+                  source: str = "us_aqi", ordinal: str = "arrival") -> DataFrame:
+    """M17's verdict on the inputs: the target or the current value among them, their
+    suspicious names (G3), and rows that arrive in time order (P16)."""
+    odd = sorted(name_families(features)["future_like"])
+    order = monotonic_report(df, keys, ts, ordinal).agg((F.coalesce(F.sum("out_of_order"), F.lit(0)) == 0).alias("time_ordered"))
+    flags = order.select(F.lit(target in features).alias("target_in_inputs"), F.lit(source in features).alias("current_in_inputs"),
+                         F.lit(",".join(odd)).alias("suspicious_inputs"), "time_ordered")
+    return flags.withColumn("passed", ~F.col("target_in_inputs") & ~F.col("current_in_inputs")
+                            & (F.col("suspicious_inputs") == "") & F.col("time_ordered"))
+
+
 def structural_leakage_report(df: DataFrame, keys: Sequence[str], ts: str, features: Sequence[str],
                               target: str, source: str = "us_aqi", ordinal: str | None = None) -> DataFrame:
     """One row: rows of each series arrive in time order (P16; ``ordinal`` is the
