@@ -88,5 +88,20 @@ def write_table(df):
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
+    WRITTEN.append(path)
     return df.sparkSession.read.parquet(path)
 
+
+#: Tables that ``write_table`` has written and ``release_tables`` has not removed yet.
+WRITTEN: list[str] = []
+
+
+def release_tables(spark: SparkSession) -> int:
+    """Remove the tables written by ``write_table`` so far, through Spark's own file
+    system layer; call it when the results that read them have been written."""
+    gone = 0
+    while WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(WRITTEN.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
+

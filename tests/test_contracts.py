@@ -138,3 +138,33 @@ def test_tree_forecast_keeps_short_series_too(spark):
     assert {r.location_id: (r.n, r.p) for r in out} == {"s60": (4, 0), "s73": (4, 0 if max(FC.needed_hours().values()) > 69 else 4), "s90": (4, 4), "s140": (4, 4), "s200": (4, 4)}
     with pytest.raises(ValueError, match="max_depth"):
         fit_forest(train, S.feature_columns(), trees=2, max_depth=31)
+
+
+def test_written_tables_are_released(spark):
+    from hourglass.session import WRITTEN, release_tables, write_table
+
+    release_tables(spark)
+    df = write_table(spark.range(5).toDF("v"))
+    assert df.count() == 5 and len(WRITTEN) == 1
+    path = WRITTEN[0]
+    assert release_tables(spark) == 1 and not WRITTEN
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path)
+
+
+def test_halo_ordinals_keep_null_keys(spark):
+    from hourglass.operators.halo import with_ordinal
+
+    rows = [(k, T0 + timedelta(hours=h * 50)) for k in ("a", None) for h in range(9)] + [("a", None)]
+    got = with_ordinal(spark.createDataFrame(rows, "k string, t timestamp_ntz"), ["k"], "t").collect()
+    assert len(got) == len(rows)
+    assert sorted(r._ordinal for r in got if r.k is None) == list(range(9))
+
+
+def test_list_payloads(spark):
+    from hourglass.sources.payloads import list_profile
+
+    df = spark.createDataFrame([(1, '{"coord":{"lat":1.5,"lon":2.0},"list":[{"dt":3600,"x":1},{"dt":0,"x":null}]}'), (2, "{}"), (3, None)], "i long, p string")
+    got = {r.i: r for r in list_profile(df, "p", ["x"], ["i"]).collect()}
+    assert (got[1].records, got[1].first_ts, got[1].latitude) == (2, datetime(1970, 1, 1), 1.5)
+    assert got[2].records == got[3].records == 0
