@@ -118,27 +118,36 @@ def dbl(v: float) -> str:
 
 
 def exog_sql(b0: float, beta: dict, spec: FeatureSpec = DEFAULT_SPEC) -> str:
-    from hourglass.plans.forecast import aqi_dependent
-
-    dep = set(aqi_dependent(spec))
+    """The part of the prediction that does not read the target's own series (whose
+    features start with its alias)."""
     e = dbl(b0)
     for c in spec.feature_columns():
-        if c not in dep and beta.get(c, 0.0):
+        if not c.startswith(f"{spec.target_alias}_") and beta.get(c, 0.0):
             e = f"{e} + {dbl(beta[c])} * CAST({c} AS DOUBLE)"
     return e
 
 
+def recurrent_sql(name: str, align: str, spec: FeatureSpec, acc: str = "r.acc") -> str:
+    """A feature of the target's own series from the values before the hour that is
+    predicted (``acc[-1]`` is the hour before it), stated apart from the engine."""
+    kind, _, size = name.removeprefix(f"{spec.target_alias}_").rpartition("_")
+    at = 1 if align == "target" else 0  # the feature row is the hour before, or the hour itself
+    if kind == "lag":
+        return f"{acc}[-{int(size) + at}]"
+    if kind == "change":
+        return f"({acc}[-1] - {acc}[-{int(size.removesuffix('h')) + 1}])"
+    w = int(name.removeprefix(f"{spec.target_alias}_").split("h_")[0]) - (align != "target")
+    return "((" + " + ".join(f"{acc}[-{i + at}]" for i in range(1, w + 1)) + f") / CAST({w} AS DOUBLE))"
+
+
 def forecast_sql(b0: float, beta: dict, horizon: int = 72, align: str = "target",
                  spec: FeatureSpec = DEFAULT_SPEC) -> str:
     """DuckDB recursive-CTE twin of ``recursive_forecast_linear`` on the events
-    mapping (returns the CTE chain ending in ``fc``)."""
-    from hourglass.plans.forecast import offset_weights
-
-    gamma = offset_weights(beta, spec, align)
-    depth = max(gamma) if gamma else 1
-    v = "b.e[r.step + 1]"
-    for d, g in gamma.items():
-        v = f"{v} + {dbl(g)} * r.acc[-{d}]"
+    mapping (returns the CTE chain ending in ``fc``).  It rebuilds the target's
+    lags, means and changes from the array at each step."""
+    own = [c for c in spec.feature_columns() if c.startswith(f"{spec.target_alias}_") and beta.get(c, 0.0)]
+    depth = 1 + max([*spec.aqi_lags, *spec.aqi_windows, *spec.aqi_changes])
+    v = " + ".join(["b.e[r.step + 1]", *[f"{dbl(beta[c])} * {recurrent_sql(c, align, spec)}" for c in own]])
     if align == "target":
         ex_rows, ts_col = f"_rd >= 2 AND _rd <= {horizon + 1}", "_next_ts"
     else:
@@ -151,7 +160,7 @@ hist AS (SELECT location_id, list(CAST({spec.target_source} AS DOUBLE) ORDER BY
          WHERE _rd > {horizon} AND _rd <= {horizon + depth} GROUP BY 1),
 ex AS (SELECT location_id, list(_exog ORDER BY timestamp) AS e, list({ts_col} ORDER BY timestamp) AS t FROM pos
        WHERE {ex_rows} GROUP BY 1),
-base AS (SELECT ex.location_id, ex.e, ex.t, hist.h FROM ex JOIN hist ON ex.location_id = hist.location_id),
+base AS (SELECT ex.location_id, ex.e, ex.t, coalesce(hist.h, []) AS h FROM ex LEFT JOIN hist ON ex.location_id = hist.location_id),
 rec(location_id, step, acc) AS (
   SELECT location_id, 0, h FROM base
   UNION ALL
