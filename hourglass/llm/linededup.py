@@ -40,6 +40,11 @@ from hourglass.llm.common import saved
 PARTS = 8
 
 
+def _hashes(line: str) -> list[Column]:
+    """96 bits that stand for a line."""
+    return [F.xxhash64(line).alias("h"), F.hash(line, F.lit(1)).alias("g")]
+
+
 def _rest(line: Column, size: Column, a: Column, b: Column) -> list[Column]:
     """The line without what lies between ``a`` and ``size - b`` from its end."""
     keep = size - b
@@ -54,7 +59,7 @@ def _shared(states: DataFrame, key: list[Column]) -> DataFrame:
 
 
 def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
-    """id, earlier: for each line the id of the earliest line (by ``pos``) within one
+    """id, earlier, h, g: for each line the id of the earliest line (by ``pos``) within one
     edit, if that is earlier.  ``lines``: id, line, pos, all lines different."""
     src = lines.filter(F.char_length("line") >= min_chars).select("id", "line", "pos")
     size = F.char_length("line")
@@ -82,7 +87,7 @@ def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
     other = F.when(F.col("role") == 0, F.col("r")).when(F.col("role") == 1, F.col("l")).otherwise(F.col("w"))
     asked = met.select("id", "pos", other.alias("o")).filter("o is not null and o.pos < pos").groupBy("id").agg(F.min("o").alias("o"))
     pair = asked.select("id", F.col("o.id").alias("earlier")).join(src.select("id", "line"), "id").join(src.select(F.col("id").alias("earlier"), F.col("line").alias("other")), "earlier")
-    return pair.filter(F.levenshtein("line", "other", 1).between(0, 1)).select("id", "earlier")
+    return pair.filter(F.levenshtein("line", "other", 1).between(0, 1)).select("id", "earlier", *_hashes("line"))
 
 
 def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -94,15 +99,15 @@ def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col:
         raise ValueError("edits must be 0 or 1")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).withColumn("row", F.monotonically_increasing_id())
     split = rows.select("doc_id", "row", F.posexplode(F.split("text", "\n")).alias("place", "line")).withColumn("full", F.col("line").rlike(r"[^\x20\x09-\x0D]"))
-    found = saved(split.select("doc_id", "row", "place", "full", F.when(F.col("full"), F.xxhash64("line")).alias("h"), F.when(F.col("full"), F.hash("line", F.lit(1))).alias("g")))
+    found = saved(split.select("doc_id", "row", "place", "full", *[F.when(F.col("full"), x).alias(n) for x, n in zip(_hashes("line"), "hg", strict=True)]))
     pos = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row", "place").alias("pos")
-    lines = saved(split.filter("full").groupBy("line").agg(F.min(pos).alias("pos")).withColumn("id", F.monotonically_increasing_id()))
-    named = lines.select("id", F.xxhash64("line").alias("h"), F.hash("line", F.lit(1)).alias("g"), "pos")
+    lines = saved(split.filter("full").groupBy("line").agg(F.min(pos).alias("pos"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()))
+    # Only lines that repeat or go have anything to say to their places.
+    named = lines.filter("n > 1").select(*_hashes("line"), "pos", F.lit(False).alias("gone"))
     if edits:
-        named = named.join(near_lines(lines, min_chars), "id", "left").withColumn("gone", F.col("earlier").isNotNull()).drop("earlier")
-    else:
-        named = named.withColumn("gone", F.lit(False))
-    judged = found.filter("full").drop("full", "doc_id").join(named.drop("id"), ["h", "g"])
+        near = near_lines(lines, min_chars).select("h", "g", F.lit(None).cast(named.schema["pos"].dataType).alias("pos"), F.lit(True).alias("gone"))
+        named = named.unionByName(near).groupBy("h", "g").agg(F.max("pos").alias("pos"), F.max("gone").alias("gone"))
+    judged = found.filter("full").drop("full", "doc_id").join(named, ["h", "g"])
     gone = judged.filter(F.col("gone") | (F.col("pos.row") != F.col("row")) | (F.col("pos.place") != F.col("place"))).groupBy("row").agg(F.sort_array(F.collect_list("place")).alias("removed"))
     count = found.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.count("*").alias("n_lines"))
     empty = rows.filter("text is null").select("row", "doc_id", F.lit(0).cast("long").alias("n_lines"))
