@@ -6,13 +6,13 @@ returns a DataFrame; all but the last return the columns of ``documents``.
 1. ``language_id``: Kneser-Ney character models of the labelled documents; documents
    that the calibrated rejection refuses (no letter, or unlike every language) go.
 2. ``near_duplicates``: of every group joined by word 5-gram Jaccard links of 0.8 or
-   more, the document with the least id stays.
+   more, the row with the least id (nulls last, then the first row) stays.
 3. ``decontaminate``: documents that align with a benchmark item go.
 4. ``mix``: sources to target weights; a document is repeated as often as the mix takes it.
 5. ``shard``: a uniform shuffle into 8 shards of equal row counts; adds shard and slot.
 
-Rows of one id are one document; documents without an id are only judged by their text
-(stages 1 and 4) and stay in 2 and 3.
+Stages 2 and 3 judge each row by its text under a row key of its own, so rows without an
+id, with one id or with one id and text are documents of their own.
 """
 
 from __future__ import annotations
@@ -30,14 +30,21 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.accepted(docs, model)
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """``docs`` written once with a key of each row: _doc, _row."""
+    return saved(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.monotonically_increasing_id().alias("_row")))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = jaccard.jaccard_join(docs).filter("doc_id <> class_id").select("doc_id").distinct()
-    return docs.join(saved(gone), "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    gone = jaccard.jaccard_join(rows.select("_doc.*", "_row"), row_col="_row").filter("_row <> class_row").select("_row")
+    return rows.join(saved(gone), "_row", "left_anti").select("_doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = decontam.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(saved(gone), "doc_id", "left_anti").select(docs.columns)
+    rows = keyed(docs)
+    gone = decontam.contaminated(rows.select("_doc.*", "_row"), table(spark, sf_dir, "benchmark"), row_col="_row").select("_row").distinct()
+    return rows.join(saved(gone), "_row", "left_anti").select("_doc.*")
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

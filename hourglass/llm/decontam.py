@@ -111,15 +111,20 @@ def _occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFra
     return docs.mapInPandas(run, "doc_id string, t long, place int, seed long")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int = 16, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int = 16, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """doc_id, item_id, score (1: a whole copy), last_word (one past the aligned words)
-    of documents and items with a score of at least ``threshold``; one row per pair."""
+    of documents and items with a score of at least ``threshold``; one row per pair.
+
+    With ``row_col`` (a long, different in every row) each row is a document of its own,
+    whatever its id, and the result has that column too."""
     items = saved(_items(benchmark, n, item_id_col, item_text_col))
     # null ids of items stay apart by a key of their own
     items = items.withColumn("item", F.xxhash64(F.coalesce("item_id", F.lit("-")), "words"))
     seeds = saved(items.select("item", F.posexplode("seeds").alias("at", "seed"), "size"))
-    out = "doc_id string, item long, score double, last_word int"
-    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text")).withColumn("t", F.xxhash64(F.coalesce("doc_id", F.lit("-")), "text"))
+    out = "doc_id string, t long, item long, score double, last_word int"
+    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(row_col).alias("t")] if row_col else []))
+    if not row_col:
+        src = src.withColumn("t", F.xxhash64(F.coalesce("doc_id", F.lit("-")), "text"))
     sizes = sorted({min(n, r[0]) for r in items.select(F.least("size", F.lit(n))).distinct().collect()})
     hits = saved(_occurrences(src, _bits(seeds), sizes).join(seeds.select("seed").distinct(), "seed", "left_semi"))
     counts = hits.groupBy("seed").agg(F.count("*").alias("hits"))
@@ -133,7 +138,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int =
     beside = lambda x, i: x["rare"] | ((i > 0) & near(x, F.get("f", i - 1))) | ((i < F.size("f") - 1) & near(x, F.get("f", i + 1)))
     spans = found.withColumn("starts", F.transform(F.filter("f", beside), lambda x: x["d"])).filter("size(starts) > 0").select("doc_id", "t", "item", "size", F.array_distinct("starts").alias("starts"))
     asks = spans.groupBy("doc_id", "t").agg(F.collect_list(F.struct("item", "size", "starts")).alias("asks")).withColumn("key", F.coalesce("doc_id", F.lit("-"))).drop("doc_id")
-    texts = src.withColumn("key", F.coalesce("doc_id", F.lit("-"))).join(asks, ["t", "key"]).select("doc_id", "text", "asks")
+    texts = src.withColumn("key", F.coalesce("doc_id", F.lit("-"))).join(asks, ["t", "key"]).select("doc_id", "t", "text", "asks")
 
     def windows(batches):
         """The words around the likely places of each item, overlapping ones joined."""
@@ -148,13 +153,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int =
                         for s in [*sorted(ask["starts"]), None]:
                             x = None if s is None else max(0, s - pad)
                             if lo is not None and (x is None or x > hi):
-                                rows.append((pdf["doc_id"].iloc[i], ask["item"], lo, own[lo:hi].view(np.int64)))
+                                rows.append((pdf["doc_id"].iloc[i], pdf["t"].iloc[i], ask["item"], lo, own[lo:hi].view(np.int64)))
                                 lo = None
                             if x is not None:
                                 lo, hi = x if lo is None else lo, min(len(own), s + ask["size"] + pad)
-            yield pd.DataFrame(rows, columns=["doc_id", "item", "lo", "window"])
+            yield pd.DataFrame(rows, columns=["doc_id", "t", "item", "lo", "window"])
 
-    spread = texts.mapInPandas(windows, "doc_id string, item long, lo int, window array<long>")
+    spread = texts.mapInPandas(windows, "doc_id string, t long, item long, lo int, window array<long>")
 
     def score(batches):
         for g in sorted_groups(batches, ["item"]):
@@ -163,11 +168,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int =
             for at in range(0, len(g), 256):
                 part = g.iloc[at : at + 256]
                 best, end = align(item, [np.asarray(x, np.int64).view(np.uint64) for x in part["window"]])
-                yield pd.DataFrame({"doc_id": part["doc_id"], "item": part["item"], "score": best / (MATCH * len(item)), "last_word": part["lo"].to_numpy() + end})
+                yield pd.DataFrame({"doc_id": part["doc_id"], "t": part["t"], "item": part["item"], "score": best / (MATCH * len(item)), "last_word": part["lo"].to_numpy() + end})
 
-    both = salted(spread, items.select("item", "words").dropDuplicates(["item"]), ["item"], ["doc_id", "lo"])
+    both = salted(spread, items.select("item", "words").dropDuplicates(["item"]), ["item"], ["t", "lo"])
     scored = both.sortWithinPartitions("item").mapInPandas(score, out).filter(F.col("score") >= threshold)
-    best = scored.groupBy("doc_id", "item").agg(F.max(F.struct("score", "last_word")).alias("b"))
+    rows = [F.col("t").alias(row_col)] if row_col else []
+    best = scored.groupBy("doc_id", "item", *(["t"] if row_col else [])).agg(F.max(F.struct("score", "last_word")).alias("b"))
     back = items.select("item", "item_id")
     kind, ikind = docs.schema[id_col].dataType, benchmark.schema[item_id_col].dataType
-    return best.join(back, "item").select(F.col("doc_id").cast(kind), F.col("item_id").cast(ikind), F.col("b.score").alias("score"), F.col("b.last_word").alias("last_word"))
+    return best.join(back, "item").select(F.col("doc_id").cast(kind), F.col("item_id").cast(ikind), F.col("b.score").alias("score"), F.col("b.last_word").alias("last_word"), *rows)

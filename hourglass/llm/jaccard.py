@@ -163,17 +163,21 @@ def _verify(batches, threshold: float):
         yield pd.DataFrame({"c": name, "label": label, "links": count})
 
 
-def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: float = 0.9999, block: int = BLOCK, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """doc_id, class_id, n_links, n_grams, copies: for every document the least id of the
-    documents that links join it with, and the number of documents it is linked to."""
+    documents that links join it with, and the number of documents it is linked to.
+
+    With ``row_col`` (a long, different in every row) also that column and class_row: the
+    row with the least id, nulls last, then the least ``row_col``, among those joined."""
     bands, rows = banding(threshold, recall)
     kind = docs.schema[id_col].dataType
-    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"))
-    src = src.withColumn("t", F.xxhash64(F.coalesce("doc_id", F.lit("-")), "text"))
+    src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(row_col).alias("t")] if row_col else []))
+    if not row_col:
+        src = src.withColumn("t", F.xxhash64(F.coalesce("doc_id", F.lit("-")), "text"))
     sketches = saved(sketch(src, n, bands, rows))
     # A class is named by a number of its key; its least document stands for it.
     number = F.xxhash64("k1", "k2").alias("c")
-    classes = saved(sketches.filter("k1 is not null").groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min(F.col("doc_id").cast(kind)).alias("first"), F.min(F.struct("t", "doc_id")).alias("r"), F.first("bands").alias("bands")).withColumn("c", number))
+    classes = saved(sketches.filter("k1 is not null").groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min(F.col("doc_id").cast(kind)).alias("first"), F.min(F.struct("t", "doc_id")).alias("r"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").cast(kind).alias("id"), "t")).alias("head"), F.first("bands").alias("bands")).withColumn("c", number))
     heads = classes.select("c", "copies", F.col("r.t").alias("t"), F.coalesce("r.doc_id", F.lit("-")).alias("key"))
     buckets = classes.select("c", F.posexplode("bands").alias("b", "h")).select("c", F.xxhash64("b", "h").alias("h"))
     centre = buckets.groupBy("h").agg(F.min("c").alias("m"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
@@ -197,10 +201,11 @@ def jaccard_join(docs: DataFrame, n: int = 5, threshold: float = 0.8, recall: fl
     found = saved(tasks.repartition(parts, "family", "i", "j").sortWithinPartitions("family", "i", "j").mapInPandas(lambda b: _verify(b, threshold), "c long, label long, links long"))
     links = found.groupBy("c").agg(F.sum("links").alias("links"))
     group = components(found.select(F.col("c").alias("u"), F.col("label").alias("v")))
-    named = classes.select("c", "k1", "k2", "copies", "first").join(links, "c", "left").join(group.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
+    named = classes.select("c", "k1", "k2", "copies", "first", "head").join(links, "c", "left").join(group.withColumnRenamed("node", "c"), "c", "left").withColumn("label", F.coalesce("label", "c"))
     named = saved(named)
-    least = named.groupBy("label").agg(F.min("first").alias("class_id"))
-    classed = salted(named, least, ["label"], ["c"]).select("k1", "k2", "class_id", "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    least = named.groupBy("label").agg(F.min("first").alias("class_id"), F.min("head").alias("least"))
+    classed = salted(named, least, ["label"], ["c"]).select("k1", "k2", "class_id", F.col("least.t").alias("class_row"), "copies", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     out = salted(sketches.drop("bands"), classed, ["k1", "k2"], ["t", "doc_id"], how="left")
     own = F.col("doc_id").cast(kind)
-    return out.select(own.alias("doc_id"), F.when(F.col("k1").isNull(), own).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.col("grams").cast("long").alias("n_grams"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"))
+    rows = [F.col("t").alias(row_col), F.coalesce("class_row", "t").alias("class_row")] if row_col else []
+    return out.select(own.alias("doc_id"), F.when(F.col("k1").isNull(), own).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"), F.col("grams").cast("long").alias("n_grams"), F.coalesce("copies", F.lit(1).cast("long")).alias("copies"), *rows)

@@ -38,3 +38,18 @@ def test_empty_documents_pass_every_stage(spark):
 def test_run_keeps_each_document_at_most_three_times(spark):
     got = P.run(spark, SF).groupBy("doc_id").count().toPandas()
     assert len(got) > 50 and got["count"].max() <= 3
+
+
+def test_rows_are_judged_by_their_own_key(spark):
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet").first().text
+    rows = [(None, english(1)), (None, english(1)), (None, english(1) + " extra"), (7, english(1))]  # three copies without an id
+    rows += [(8, english(2)), (8, english(2))]  # id and text repeated
+    rows += [(None, english(3)), (None, english(3))]  # no id in the group
+    rows += [(9, english(4)), (9, english(5) + "\n" + bench)]  # one id, one of two texts unclean
+    rows += [(None, english(6) + "\n" + bench), (10, english(5)), (3, english(4)), (None, None), (None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    count = lambda d: collections.Counter((r.doc_id, r.text) for r in d.collect())
+    two = saved(P.near_duplicates(spark, docs, SF))
+    assert count(two) == collections.Counter([(7, english(1)), (8, english(2)), (None, english(3)), (3, english(4)), *rows[9:12], (None, None), (None, None)])
+    three = P.decontaminate(spark, saved(docs), SF)
+    assert count(three) == collections.Counter(r for r in rows if not (r[1] or "").endswith(bench))
