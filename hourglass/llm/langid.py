@@ -1,11 +1,13 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 Training counts the character n-grams of every labelled text in one Spark job
-(counted per batch before the shuffle).  A model holds, for each order, the
-sorted 64-bit hashes of its n-grams and a table of counts by language next to
-them; its size is bounded by ``slots`` hashes an order, whatever the corpus: an
-n-gram's hash is taken modulo ``slots``, so n-grams share a slot rather than fall
-out.  A text gets the language of the lowest cross-entropy per character.
+(counted per batch before the shuffle).  A model holds, for each order, every
+n-gram by its full 64-bit code and its counts by language, and grows with the
+corpus.  While an order has at most ``slots`` counts (n-grams times languages), they
+are sorted arrays that tasks share.  Beyond that they stay tables: the texts to score
+are cut into blocks, each block's different n-grams are joined to the tables order by
+order, and the bits of each n-gram go back to its blocks.  Both ways give the same
+probabilities.  A text gets the language of the lowest cross-entropy per character.
 
 Rejection is calibrated on the training texts: a text is rejected when its
 cross-entropy under the best language lies above that language's mean by more than
@@ -24,14 +26,18 @@ import unicodedata
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hourglass.llm.common import mix64, saved
+from hourglass.llm.common import saved
 
 ORDER = 4
 SLOTS = 1 << 20
 PIECE = 1 << 20
+BLOCK = 1 << 22
 SPACE = 32
 
 
@@ -88,10 +94,6 @@ def _blocks(texts, size: int = PIECE):
         yield at, len(texts)
 
 
-def slot(code: np.ndarray, slots: int) -> np.ndarray:
-    return (mix64(code) % np.uint64(slots)).astype(np.int64)
-
-
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """lang, code, n over all texts, for n-grams of the highest order."""
 
@@ -107,65 +109,77 @@ def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
     return docs.mapInPandas(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
 
 
-def slot_counts(docs: DataFrame, order: int = ORDER, slots: int = SLOTS) -> DataFrame:
-    """lang, order, slot, n: raw counts at the highest order, and below it the number
-    of different characters seen before (the continuation count)."""
-    top = saved(count_grams(docs, order))  # read once, then by every order
-    top = top.withColumn("order", F.lit(order))
-    levels, cur = [top], top
+def orders(top: DataFrame, order: int) -> list[DataFrame]:
+    """lang, code, n for each order from 1: raw counts at the highest, and below it the
+    number of different characters seen before (the continuation count)."""
+    levels = [top]
     for k in range(order - 1, 0, -1):
-        mask = (1 << (16 * k)) - 1
-        cur = cur.withColumn("code", F.col("code").bitwiseAND(F.lit(mask))).groupBy("lang", "code").agg(F.count("*").alias("n")).withColumn("order", F.lit(k))
-        levels.append(cur)
-    out = levels[0]
-    for d in levels[1:]:
-        out = out.unionByName(d)
-
-    def run(batches):
-        for pdf in batches:
-            code = pdf["code"].to_numpy().view(np.uint64)
-            yield pd.DataFrame({"lang": pdf["lang"], "order": pdf["order"], "slot": slot(code, slots), "ctx": slot(code >> np.uint64(16), slots), "n": pdf["n"]})
-
-    return out.select("lang", "order", "code", "n").mapInPandas(run, "lang string, order int, slot long, ctx long, n long")
+        low = F.col("code").bitwiseAND(F.lit((1 << (16 * k)) - 1))
+        levels.insert(0, levels[0].withColumn("code", low).groupBy("lang", "code").agg(F.count("*").alias("n")))
+    return levels
 
 
 class Model:
-    """Sorted slots and counts of each order, for all languages."""
+    """Counts of each order, for all languages: sorted arrays, or else ``tables``."""
 
-    def __init__(self, langs: list[str], order: int, slots: int):
-        self.langs, self.order, self.slots = langs, order, slots
+    def __init__(self, langs: list[str], order: int):
+        self.langs, self.order = langs, order
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
         self.ctx_keys: list[np.ndarray] = []
         self.ctx_total: list[np.ndarray] = []
         self.ctx_kinds: list[np.ndarray] = []
+        #: per order: (code, n) and (ctx, total, kinds), each number an array by language
+        self.tables: list[tuple[DataFrame, DataFrame]] = []
         self.discount: list[np.ndarray] = []
         self.mean = np.zeros(len(langs))
         self.spread = np.ones(len(langs))
         self.floor = 0.0
 
+    def __getstate__(self):
+        return self.__dict__ | {"tables": []}  # tables stay on the driver
+
     def log_probability(self, code: np.ndarray) -> np.ndarray:
         """Bits of the last character of each n-gram given those before it, by language."""
         p = np.full((len(code), len(self.langs)), 1.0 / 1024)
         for k in range(1, self.order + 1):
             part = code if k == 4 and self.order == 4 else code & np.uint64((1 << (16 * k)) - 1)
-            n = _lookup(self.keys[k - 1], self.counts[k - 1], slot(part, self.slots))
-            ctx = slot(part >> np.uint64(16), self.slots)
+            n = _lookup(self.keys[k - 1], self.counts[k - 1], part)
+            ctx = part >> np.uint64(16)
             total = _lookup(self.ctx_keys[k - 1], self.ctx_total[k - 1], ctx)
             kinds = _lookup(self.ctx_keys[k - 1], self.ctx_kinds[k - 1], ctx)
             d, seen = self.discount[k - 1], total > 0
             whole = np.where(seen, total, 1.0)
             q = (np.maximum(n - d, 0) + d * kinds * p) / whole
             p = np.where(seen, q, p)
-        return -np.log2(np.minimum(p, 1.0))
-
-    def entropies(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        return -np.log2(p)
+
+    def table_bits(self, asked: DataFrame) -> DataFrame:
+        """code, bits (by language) of the codes of ``asked``: ``log_probability`` by joins.
+        No key has more than 2**16 rows, as many as a code unit has values."""
+        asks = [asked.select("code").distinct()]
+        for k in range(self.order - 1, 0, -1):
+            asks.insert(0, asks[0].select(F.col("code").bitwiseAND(F.lit((1 << (16 * k)) - 1)).alias("code")).distinct())
+        p = None
+        for k in range(1, self.order + 1):
+            grams_k, ctx_k = self.tables[k - 1]
+            at = asks[k - 1].withColumn("ctx", F.shiftrightunsigned("code", 16)).join(grams_k, "code", "left").join(ctx_k, "ctx", "left")
+            if p is None:
+                at = at.withColumn("p", F.array(*[F.lit(1.0 / 1024)] * len(self.langs)))
+            else:
+                at = at.withColumn("low", F.col("code").bitwiseAND(F.lit((1 << (16 * (k - 1))) - 1))).join(p.withColumnRenamed("code", "low"), "low")
+            d = "array(" + ",".join(f"{float(x)!r}D" for x in self.discount[k - 1]) + ")"
+            q = f"(greatest(coalesce(n[i], 0D) - {d}[i], 0D) + {d}[i] * kinds[i] * x) / total[i]"
+            p = saved(at.select("code", F.expr(f"transform(p, (x, i) -> if(coalesce(total[i], 0D) > 0, {q}, x))").alias("p")))
+        return p.select("code", F.expr("transform(p, x -> -log2(x))").alias("bits"))
+
+    def entropies(self, texts, bits_of=None) -> tuple[np.ndarray, np.ndarray]:
         """Bits a character of each text under each language, and its number of characters
         (spaces between words included); texts without a letter have none."""
         x, s = letters(texts)
         code, back = np.unique(grams(x, s, self.order), return_inverse=True)
         n = np.diff(s) - 1
-        bits = self.log_probability(code).astype(np.float32)[back]
+        bits = (bits_of or self.log_probability)(code).astype(np.float32)[back]
         bits[s[:-1]] = 0  # the space before a text is given
         sums = np.add.reduceat(bits.astype(np.float64), s[:-1], axis=0) if len(n) else np.zeros((0, len(self.langs)))
         letter = np.add.reduceat((x != SPACE).astype(np.int64), s[:-1]) if len(n) else n
@@ -182,40 +196,102 @@ def _lookup(keys: np.ndarray, values: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
-def _grid(pdf: pd.DataFrame, key: str, value: str, langs: list[str]):
-    keys, at = np.unique(pdf[key].to_numpy(), return_inverse=True)
-    out = np.zeros((len(keys), len(langs)), np.float32)
-    np.add.at(out, (at, pd.Index(langs).get_indexer(pdf["lang"])), pdf[value].to_numpy())
+def _grid(code: np.ndarray, lang: np.ndarray, value, langs: int):
+    keys, at = np.unique(code, return_inverse=True)
+    out = np.zeros((len(keys), langs))
+    np.add.at(out, (at, lang), value)
     return keys, out
 
 
-def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, slots: int = SLOTS) -> Model:
-    """Models of all languages of ``lang_col``.  ``docs`` holds the training rows."""
-    if not 2 <= order <= 4:
-        raise ValueError("order must be 2, 3 or 4")
-    train = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
-    counts = slot_counts(train, order, slots)
-    # Slots, not n-grams, come to the driver: at most ``slots`` a language and order.
-    by_slot = counts.groupBy("lang", "order", "slot").agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos"))
-    by_ctx = counts.groupBy("lang", "order", "ctx").agg(F.sum("n").alias("total"), F.count("*").alias("kinds"))
-    both = by_slot.select("lang", "order", F.lit(0).alias("kind"), F.col("slot").alias("key"), "n", "ones", "twos").unionByName(by_ctx.select("lang", "order", F.lit(1).alias("kind"), F.col("ctx").alias("key"), F.col("total").alias("n"), F.col("kinds").alias("ones"), F.lit(0).cast("long").alias("twos")))
-    pdf = both.toPandas()
-    langs = sorted(pdf["lang"].unique())
-    m = Model(langs, order, slots)
+def _by_lang(value, langs: list[str]):
+    return F.array(*[F.coalesce(F.sum(F.when(F.col("lang") == x, value)), F.lit(0)).cast("double") for x in langs])
+
+
+def model_of(top: DataFrame, order: int, slots: int) -> Model:
+    """The model of written counts (lang, code, n) of the highest order."""
+    levels = orders(top, order)
+    sums = levels[0].withColumn("k", F.lit(1))
+    for k, d in enumerate(levels[1:], 2):
+        sums = sums.unionByName(d.withColumn("k", F.lit(k)))
+    stats = sums.groupBy("lang", "k").agg(F.count_if(F.col("n") == 1).alias("ones"), F.count_if(F.col("n") == 2).alias("twos")).toPandas()
+    langs = sorted(stats["lang"].unique())
+    m = Model(langs, order)
+    for k in range(1, order + 1):
+        ones, twos = (stats[stats["k"] == k].set_index("lang")[x].reindex(langs, fill_value=0).to_numpy(np.float64) for x in ("ones", "twos"))
+        m.discount.append(np.clip(ones / np.maximum(ones + 2 * twos, 1), 0.1, 0.95))
+    if top.select("code").distinct().count() * len(langs) > slots:
+        for d in levels:
+            ctx = d.groupBy(F.shiftrightunsigned("code", 16).alias("ctx")).agg(_by_lang(F.col("n"), langs).alias("total"), _by_lang(F.lit(1), langs).alias("kinds"))
+            m.tables.append((saved(d.groupBy("code").agg(_by_lang(F.col("n"), langs).alias("n"))), saved(ctx)))
+        return m
+    pdf = sums.toPandas()  # at most ``slots`` rows an order
     for k in range(1, order + 1):
-        a, c = pdf[(pdf["order"] == k) & (pdf["kind"] == 0)], pdf[(pdf["order"] == k) & (pdf["kind"] == 1)]
-        keys, grid = _grid(a, "key", "n", langs)
+        a = pdf[pdf["k"] == k]
+        code, lang, n = a["code"].to_numpy(np.int64).view(np.uint64), pd.Index(langs).get_indexer(a["lang"]), a["n"].to_numpy()
+        keys, grid = _grid(code, lang, n, len(langs))
         m.keys.append(keys)
         m.counts.append(grid)
-        ones, twos = (a.groupby("lang")[x].sum().reindex(langs, fill_value=0).to_numpy(np.float64) for x in ("ones", "twos"))
-        m.discount.append(np.clip(ones / np.maximum(ones + 2 * twos, 1), 0.1, 0.95))
-        keys, grid = _grid(c, "key", "n", langs)
+        keys, grid = _grid(code >> np.uint64(16), lang, n, len(langs))
         m.ctx_keys.append(keys)
         m.ctx_total.append(grid)
-        m.ctx_kinds.append(_grid(c, "key", "ones", langs)[1])
+        m.ctx_kinds.append(_grid(code >> np.uint64(16), lang, 1, len(langs))[1])
     return m
 
 
+def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, slots: int = SLOTS) -> Model:
+    """Models of all languages of ``lang_col``.  ``docs`` holds the training rows; an order
+    of more than ``slots`` n-grams times languages is kept in tables."""
+    if not 2 <= order <= 4:
+        raise ValueError("order must be 2, 3 or 4")
+    train = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
+    return model_of(saved(count_grams(train, order)), order, slots)  # read once, then by every order
+
+
+def scored(docs: DataFrame, model: Model, run, schema: T.StructType, text_col: str = "text") -> DataFrame:
+    """``run(model, rows, h, n)`` over Arrow tables of ``docs`` and the entropies and lengths of their texts."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def held(batches):
+        for batch in batches:
+            text = batch.column(text_col).to_pylist()
+            for a, b in _blocks(text):
+                yield from run(shared.value, pa.Table.from_batches([batch.slice(a, b - a)]), *shared.value.entropies(text[a:b])).to_batches()
+
+    if not model.tables:
+        return docs.mapInArrow(held, schema)
+
+    def cut(batches):
+        """Each row's block: about BLOCK characters of one task."""
+        block, size = TaskContext.get().partitionId() << 33, 0
+        for batch in batches:
+            out = []
+            for t in batch.column(text_col).to_pylist():
+                out.append(block)
+                size += len(t or "") + 1
+                if size >= BLOCK:
+                    block, size = block + 1, 0
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], [*batch.schema.names, "_block"])
+
+    def ask(batches):
+        for pdf in batches:
+            for block, part in pdf.groupby("_block"):
+                x, s = letters(part["text"].tolist())
+                yield pd.DataFrame({"_block": block, "code": np.unique(grams(x, s, shared.value.order)).view(np.int64)})
+
+    def judge(rows, bits):
+        code = bits.column("code").to_numpy().view(np.uint64)
+        value = pc.list_flatten(bits.column("bits")).to_numpy().reshape(len(code), -1)
+        sort = np.argsort(code)
+        code, value = code[sort], value[sort]
+        h, n = shared.value.entropies(rows.column(text_col).to_pylist(), lambda c: value[np.searchsorted(code, c)])
+        return run(shared.value, rows.drop_columns("_block"), h, n)
+
+    rows = saved(docs.mapInArrow(cut, T.StructType([*docs.schema.fields, T.StructField("_block", T.LongType())])))
+    asked = saved(rows.select(F.col(text_col).alias("text"), "_block").mapInPandas(ask, "_block long, code long").distinct())
+    bits = asked.join(model.table_bits(asked), "code")  # a code has at most one row a block
+    return rows.groupBy("_block").cogroup(bits.groupBy("_block")).applyInArrow(judge, schema)
+
+
 def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limit: int = 2000) -> Model:
     """Mean and spread of the cross-entropy of texts in their own language, from
     ``limit`` training texts a language (the ones with the least hashes).
@@ -229,16 +305,12 @@ def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: s
     for lang, n in total.items():
         keep = keep | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) <= int((1 << 30) * min(1.0, limit / n))))
     langs = {x: i for i, x in enumerate(model.langs)}
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for pdf in batches:
-            for a, b in _blocks(pdf["text"].tolist()):
-                h, n = shared.value.entropies(pdf["text"].tolist()[a:b])
-                own = np.array([langs[x] for x in pdf["lang"].tolist()[a:b]])
-                yield pd.DataFrame({"lang": own, "h": h[np.arange(len(own)), own], "n": n})
+    def run(model, part, h, n):
+        own = np.array([langs[x] for x in part.column("lang").to_pylist()], np.int32)
+        return pa.table({"lang": own, "h": h[np.arange(len(own)), own], "n": n})
 
-    got = rows.filter(keep).mapInPandas(run, "lang int, h double, n long").filter("n > 0")
+    got = saved(scored(rows.filter(keep), model, run, _schema("lang int, h double, n long")).filter("n > 0"))
     r = F.col("h") - F.col("mid")
     mids = got.groupBy("lang").agg(F.expr("percentile_approx(h, 0.5)").alias("mid"))
     for row in got.join(F.broadcast(mids), "lang").groupBy("lang", "mid").agg(F.expr("percentile_approx(abs(h - mid) * sqrt(n), 0.95)").alias("s"), F.avg(r * r).alias("v")).collect():
@@ -247,13 +319,16 @@ def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: s
     return model
 
 
-def _judged(model: Model, text: list, reject: float):
-    """Language, score, cross-entropy and rejection of each text."""
+def _schema(ddl: str) -> T.StructType:
+    return T.StructType.fromDDL(ddl)
+
+
+def _judged(model: Model, h: np.ndarray, n: np.ndarray, reject: float):
+    """Language, score, cross-entropy and rejection of texts by their entropies and lengths."""
     if not model.langs:
-        zero = np.zeros(len(text))
-        return np.full(len(text), "und", dtype=object), zero, zero, np.ones(len(text), dtype=bool)
+        zero = np.zeros(len(n))
+        return np.full(len(n), "und", dtype=object), zero, zero, np.ones(len(n), dtype=bool)
     names = np.array([*model.langs, "und"], dtype=object)
-    h, n = model.entropies(text)
     best = h.argmin(1)
     low = h[np.arange(len(h)), best]
     odds = np.exp2(-(h - low[:, None]) * np.minimum(n, 100)[:, None])
@@ -264,28 +339,20 @@ def _judged(model: Model, text: list, reject: float):
 
 def accepted(docs: DataFrame, model: Model, reject: float = 12.0, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose text is not rejected, as they are."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches):
-        for batch in batches:
-            text = batch.column(text_col).to_pylist()
-            out = [~_judged(shared.value, text[a:b], reject)[3] for a, b in _blocks(text)]
-            yield batch.filter(pa.array(np.concatenate(out) if out else np.zeros(0, dtype=bool)))
+    def run(model, part, h, n):
+        return part.filter(pa.array(~_judged(model, h, n, reject)[3]))
 
-    return docs.mapInArrow(run, docs.schema)
+    return scored(docs, model, run, docs.schema, text_col)
 
 
 def identify(docs: DataFrame, model: Model, reject: float = 12.0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, lang_pred, score (0 to 1), cross_entropy, rejected."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
     src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("_text"))
 
-    def run(batches):
-        for pdf in batches:
-            text = pdf["_text"].tolist()
-            for a, b in _blocks(text):
-                lang, score, low, over = _judged(shared.value, text[a:b], reject)
-                yield pdf.iloc[a:b].drop(columns="_text").assign(lang_pred=lang, score=score, cross_entropy=low, rejected=over)
+    def run(model, part, h, n):
+        lang, score, low, over = _judged(model, h, n, reject)
+        return pa.table({"doc_id": part.column("doc_id"), "lang_pred": pa.array(lang, pa.string()), "score": score, "cross_entropy": low, "rejected": over})
 
-    out = src.mapInPandas(run, "doc_id string, lang_pred string, score double, cross_entropy double, rejected boolean")
+    out = scored(src, model, run, _schema("doc_id string, lang_pred string, score double, cross_entropy double, rejected boolean"), "_text")
     return out.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))

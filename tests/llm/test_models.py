@@ -75,6 +75,33 @@ def test_odd_texts_and_missing_labels(spark):
     assert langid.identify(df.limit(0), model).count() == 0
 
 
+def test_model_of_many_ngrams_keeps_them_apart(spark):
+    """A script of many characters: more n-grams than ``slots``, kept in tables."""
+    rng = np.random.default_rng(5)
+    signs = np.array([chr(0x4E00 + i) for i in range(1500)])
+    east = ["".join(signs[np.minimum(rng.zipf(1.2, 400) - 1, 1499)]) for _ in range(60)]
+    rows = [(i, t, "zh") for i, t in enumerate(east[:50])] + [(100 + i, english(i), "en") for i in range(20)] + [(200 + i, german(i), "de") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = langid.fit(df)
+    tables = langid.fit(df, slots=1 << 10)
+    assert tables.tables and not held.tables
+    p = plain_kneser_ney(east[:50], 4)
+    x, s = langid.letters([east[55]])
+    u = [0, 0, 0, *x.tolist()]
+    want = [-math.log2(p(tuple(u[i : i + 4]))) for i in range(len(x))]
+    assert np.allclose(held.log_probability(langid.grams(x, s))[:, held.langs.index("zh")], want)
+    test = [(i, t) for i, t in enumerate([*east[50:], german(90), english(90), "", None, "12", german(91) * 9])]
+    test.append((None, english(91)))
+    asked = spark.createDataFrame(test, "doc_id long, text string").repartition(3)
+    one, two = ({r.doc_id: r for r in langid.identify(asked, langid.calibrate(m, df)).collect()} for m in (held, tables))
+    assert [two[i].lang_pred for i in (*range(10), 10, 11, 12, 13, 14, 15, None)] == ["zh"] * 10 + ["de", "en", "und", "und", "und", "de", "en"]
+    assert one.keys() == two.keys()
+    for i in one:
+        assert one[i][1::3] == two[i][1::3] and np.allclose(one[i][2:4], two[i][2:4], rtol=1e-5)
+    kept = langid.accepted(asked, tables)
+    assert kept.columns == asked.columns and {r.doc_id for r in kept.collect()} == {i for i in two if not two[i].rejected}
+
+
 def test_language_query_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op5_langid"](spark, SF).join(docs, "doc_id").filter("held_out and lang is not null").toPandas()
