@@ -9,9 +9,12 @@ are cut into blocks, each block's different n-grams are joined to the tables ord
 order, and the bits of each n-gram go back to its blocks.  Both ways give the same
 probabilities.  A text gets the language of the lowest cross-entropy per character.
 
-Rejection is calibrated on the training texts: a text is rejected when its
-cross-entropy under the best language lies above that language's mean by more than
-``reject`` standard deviations of texts of its length, or when it has no letter.
+Rejection is calibrated on all training texts, each scored by a model of the other
+half of them (halves by text hash, so copies stay together): a text is rejected when its
+cross-entropy under the best language lies above that language's median by more than
+``MARGIN`` times the excess that 99% (``QUANTILES``) of the training texts stay below, and three
+deviations of texts of its length (``reject`` of 12; other values scale both), or when
+it has no letter.
 
 Cases: null texts and texts without a letter get ``und``, score 0 and are
 rejected; null labels do not train; without any training text every text gets
@@ -38,6 +41,11 @@ ORDER = 4
 SLOTS = 1 << 20
 PIECE = 1 << 20
 BLOCK = 1 << 22
+#: The highest of these that leaves a language at least one out-of-fold text above it counts.
+QUANTILES = (0.95, 0.97, 0.98, 0.99)
+MARGIN = 2.5
+#: With fewer out-of-fold texts a language takes the widest margin of all languages.
+FEW = 32
 SPACE = 32
 
 
@@ -95,18 +103,18 @@ def _blocks(texts, size: int = PIECE):
 
 
 def count_grams(docs: DataFrame, order: int = ORDER) -> DataFrame:
-    """lang, code, n over all texts, for n-grams of the highest order."""
+    """lang, fold, code, n over all texts, for n-grams of the highest order."""
 
     def run(batches):
         for pdf in batches:
-            for lang, part in pdf.groupby("lang"):
+            for (lang, fold), part in pdf.groupby(["lang", "fold"]):
                 text = part["text"].tolist()
                 for a, b in _blocks(text):
                     x, s = letters(text[a:b])
                     code, n = np.unique(grams(x, s, order), return_counts=True)
-                    yield pd.DataFrame({"lang": lang, "code": code.view(np.int64), "n": n})
+                    yield pd.DataFrame({"lang": lang, "fold": fold, "code": code.view(np.int64), "n": n})
 
-    return docs.mapInPandas(run, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    return docs.mapInPandas(run, "lang string, fold int, code long, n long").groupBy("lang", "fold", "code").agg(F.sum("n").alias("n"))
 
 
 def orders(top: DataFrame, order: int) -> list[DataFrame]:
@@ -132,12 +140,14 @@ class Model:
         #: per order: (code, n) and (ctx, total, kinds), each number an array by language
         self.tables: list[tuple[DataFrame, DataFrame]] = []
         self.discount: list[np.ndarray] = []
+        #: models of the training texts without each fold, until calibrated
+        self.without: list[Model] = []
         self.mean = np.zeros(len(langs))
         self.spread = np.ones(len(langs))
-        self.floor = 0.0
+        self.floor = np.zeros(len(langs))
 
     def __getstate__(self):
-        return self.__dict__ | {"tables": []}  # tables stay on the driver
+        return self.__dict__ | {"tables": [], "without": []}  # these stay on the driver
 
     def log_probability(self, code: np.ndarray) -> np.ndarray:
         """Bits of the last character of each n-gram given those before it, by language."""
@@ -243,8 +253,16 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", order:
     of more than ``slots`` n-grams times languages is kept in tables."""
     if not 2 <= order <= 4:
         raise ValueError("order must be 2, 3 or 4")
-    train = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
-    return model_of(saved(count_grams(train, order)), order, slots)  # read once, then by every order
+    counts = saved(count_grams(_labelled(docs, text_col, lang_col), order))
+    model = model_of(saved(counts.groupBy("lang", "code").agg(F.sum("n").alias("n"))), order, slots)  # read by every order
+    model.without = [model_of(counts.filter(F.col("fold") != f).select("lang", "code", "n"), order, slots) for f in (0, 1)]
+    return model
+
+
+def _labelled(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    """text, lang, fold of the training rows; equal texts are of one fold."""
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
+    return rows.withColumn("fold", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int"))
 
 
 def scored(docs: DataFrame, model: Model, run, schema: T.StructType, text_col: str = "text") -> DataFrame:
@@ -292,30 +310,32 @@ def scored(docs: DataFrame, model: Model, run, schema: T.StructType, text_col: s
     return rows.groupBy("_block").cogroup(bits.groupBy("_block")).applyInArrow(judge, schema)
 
 
-def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang", limit: int = 2000) -> Model:
-    """Mean and spread of the cross-entropy of texts in their own language, from
-    ``limit`` training texts a language (the ones with the least hashes).
-
-    The spread of a text of n characters is taken as ``spread / sqrt(n) + floor``."""
-    if not model.langs:
-        return model
-    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
-    total = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
-    keep = F.lit(False)
-    for lang, n in total.items():
-        keep = keep | ((F.col("lang") == lang) & (F.pmod(F.xxhash64("text"), F.lit(1 << 30)) <= int((1 << 30) * min(1.0, limit / n))))
-    langs = {x: i for i, x in enumerate(model.langs)}
-
-    def run(model, part, h, n):
-        own = np.array([langs[x] for x in part.column("lang").to_pylist()], np.int32)
-        return pa.table({"lang": own, "h": h[np.arange(len(own)), own], "n": n})
-
-    got = saved(scored(rows.filter(keep), model, run, _schema("lang int, h double, n long")).filter("n > 0"))
-    r = F.col("h") - F.col("mid")
-    mids = got.groupBy("lang").agg(F.expr("percentile_approx(h, 0.5)").alias("mid"))
-    for row in got.join(F.broadcast(mids), "lang").groupBy("lang", "mid").agg(F.expr("percentile_approx(abs(h - mid) * sqrt(n), 0.95)").alias("s"), F.avg(r * r).alias("v")).collect():
-        model.mean[row["lang"]], model.spread[row["lang"]] = row["mid"], max(1.0, row["s"] / 2)
-    model.floor = 0.25
+def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:
+    """Median of the cross-entropy of texts judged as a language, and how far such texts
+    exceed it: from all training texts, each under the model without its fold.
+
+    The limit for a text of n characters is ``reject * (spread / sqrt(n) + floor)``."""
+    rows = _labelled(docs, text_col, lang_col)
+
+    def run(held, part, h, n):
+        best = h.argmin(1)
+        return pa.table({"lang": pa.array([held.langs[i] for i in best], pa.string()), "h": h[np.arange(len(h)), best], "n": n})
+
+    halves = [scored(rows.filter(F.col("fold") == f), m, run, _schema("lang string, h double, n long")) for f, m in enumerate(model.without) if m.langs]
+    model.floor = np.full(len(model.langs), np.inf)
+    if not halves:
+        return model  # one text, or copies of one: nothing to judge others by
+    got = halves[0] if len(halves) == 1 else halves[0].unionByName(halves[1])
+    got = saved(got.filter("n > 0"))
+    mids = got.groupBy("lang").agg(F.expr("percentile_approx(h, 0.5, 100000)").alias("mid"))
+    over = got.join(F.broadcast(mids), "lang").withColumn("x", F.col("h") - F.col("mid"))  # a row a language
+    wide = F.expr(f"percentile_approx(x, array{QUANTILES}, 100000)").alias("wide")
+    stats = over.groupBy("lang", "mid").agg(F.count("*").alias("texts"), wide, F.expr("percentile_approx(abs(x) * sqrt(n), 0.95, 100000)").alias("s")).collect()
+    wide = {r["lang"]: [x for x, q in zip(r["wide"], QUANTILES, strict=True) if (1 - q) * r["texts"] >= 1 or q == QUANTILES[0]][-1] for r in stats}
+    for r in stats:
+        i = model.langs.index(r["lang"])
+        model.mean[i], model.spread[i] = r["mid"], 3 * max(1.0, r["s"] / 2) / 12
+        model.floor[i] = MARGIN * (wide[r["lang"]] if r["texts"] >= FEW else max(wide.values())) / 12
     return model
 
 
@@ -333,7 +353,7 @@ def _judged(model: Model, h: np.ndarray, n: np.ndarray, reject: float):
     low = h[np.arange(len(h)), best]
     odds = np.exp2(-(h - low[:, None]) * np.minimum(n, 100)[:, None])
     score = np.where(n > 0, 1 / odds.sum(1), 0.0)
-    over = low - model.mean[best] > reject * (model.spread[best] / np.sqrt(np.maximum(n, 1)) + model.floor)
+    over = low - model.mean[best] > reject * (model.spread[best] / np.sqrt(np.maximum(n, 1)) + model.floor[best])
     return names[np.where(n > 0, best, len(model.langs))], score, low, (n == 0) | over
 
 

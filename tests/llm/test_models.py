@@ -102,6 +102,27 @@ def test_model_of_many_ngrams_keeps_them_apart(spark):
     assert kept.columns == asked.columns and {r.doc_id for r in kept.collect()} == {i for i in two if not two[i].rejected}
 
 
+def test_a_left_out_language_is_rejected(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").filter("lang is not null and length(text) >= 300")
+    out = "crc32(cast(coalesce(doc_id, '') as string)) % 3 = 1"
+    train, test = docs.filter(f"lang <> 'en' and not ({out})"), docs.filter(f"lang = 'en' or {out}")
+    model = langid.calibrate(langid.fit(train), train)
+    assert np.isfinite(model.floor).all() and (model.floor * 12 < 2.5).all()
+    got = langid.identify(test.drop("lang"), model).join(test.select("doc_id", "lang"), "doc_id").toPandas()
+    new = got["lang"] == "en"
+    assert new.sum() > 200 and got[new]["rejected"].mean() > 0.95
+    assert (~new).sum() > 100 and got[~new]["rejected"].mean() <= 0.01
+
+
+def test_calibration_reads_every_text(spark):
+    """A third of all rows is one text: both folds, and all other texts, still count."""
+    rows = [(german(i), "de") for i in range(40)] + [(english(1), "en")] * 20
+    df = spark.createDataFrame(rows, "text string, lang string")
+    model = langid.calibrate(langid.fit(df), df)
+    held = spark.createDataFrame([(i, german(90 + i)) for i in range(20)] + [(50, english(1))], "doc_id long, text string")
+    assert not any(r.rejected for r in langid.identify(held, model).collect())
+
+
 def test_language_query_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op5_langid"](spark, SF).join(docs, "doc_id").filter("held_out and lang is not null").toPandas()
