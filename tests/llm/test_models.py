@@ -123,6 +123,14 @@ def test_calibration_reads_every_text(spark):
     assert not any(r.rejected for r in langid.identify(held, model).collect())
 
 
+def test_calibration_scores_all_training_rows(spark, monkeypatch):
+    df = spark.range(6000).selectExpr("concat('some words ', md5(cast(id % 4500 as string))) as text", "'en' as lang")
+    model, seen, scored = langid.fit(df), [], langid.scored
+    monkeypatch.setattr(langid, "scored", lambda docs, *a: seen.append(docs.count()) or scored(docs, *a))
+    langid.calibrate(model, df)
+    assert sum(seen) == 6000
+
+
 def test_language_query_on_held_out_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
     got = QUERIES["op5_langid"](spark, SF).join(docs, "doc_id").filter("held_out and lang is not null").toPandas()
