@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity
+from hourglass.llm import archives, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity, urlrules
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -192,3 +192,25 @@ def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op9_decontam")
 def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: The rules of the url filter: host, path, verdict.
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+@register(
+    "op13_urlfilter",
+    """
+    WITH u AS (SELECT row_number() OVER () AS r, page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+    p AS (SELECT r, page_id, translate(regexp_extract(rest, '^([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^([^/?#]*)([^?#]*)', 2) AS path FROM u),
+    rules(rh, rp, v) AS (VALUES %s),
+    m AS (SELECT p.*, rh || rp AS rule, v, row_number() OVER (PARTITION BY r ORDER BY length(rh || rp) DESC, length(rh) DESC) AS k
+          FROM p LEFT JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp))
+    SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM m WHERE k = 1
+    """
+    % ", ".join(map(str, URL_RULES)),
+)
+def op13_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages"), rules)
