@@ -10,7 +10,7 @@ from hourglass.operators.halo import ORDINAL, with_ordinal
 from hourglass.plans.features import build_features, build_features_chunked
 from hourglass.sources.events import raw_hourly_from_dir
 
-from conftest import SF0001
+from table_dirs import SF0001
 
 
 def _same(a, b):

@@ -12,7 +12,7 @@ from hourglass.schema import DEFAULT_SPEC, RAW_HOURLY_SCHEMA
 from hourglass.sources import files as FS
 from hourglass.sources.events import raw_hourly_from_dir
 
-from conftest import SF0001
+from table_dirs import SF0001
 
 
 def _raw(spark):
