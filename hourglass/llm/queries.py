@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity, urlrules
+from hourglass.llm import archives, centroids, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity, urlrules
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -214,3 +214,32 @@ URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.exam
 def op13_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return urlrules.judge(table(spark, sf_dir, "pages"), rules)
+
+
+def _cluster_sql(k: int, rounds: int, dims: int, scale: int) -> str:
+    """The rounds written out: c0, m0 (distance * k + centroid, least by vector), c1, m1, ..."""
+    square = "list_sum(list_transform(list_zip(v.e, c.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    parts = [
+        f"""v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS e FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        f"""c0 AS MATERIALIZED (SELECT (row_number() OVER (ORDER BY h, e) - 1)::INT AS c, e FROM (SELECT sha256('1:' || coalesce(vec_id::VARCHAR, '')) AS h, e FROM v ORDER BY h, e LIMIT {k}))""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"m{i} AS MATERIALIZED (SELECT v.r, min({square} * {k} + c.c) AS m FROM v, c{i} AS c GROUP BY v.r)")
+        if i < rounds:
+            parts.append(f"""c{i + 1} AS MATERIALIZED (SELECT o.c, coalesce(n.e, o.e) AS e FROM c{i} AS o LEFT JOIN (
+            SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS e FROM (
+                SELECT (m.m % {k})::INT AS c, i, sum(v.e[i])::BIGINT AS s, count(*) AS n FROM m{i} AS m JOIN v USING (r), range(1, {dims + 1}) t(i) GROUP BY ALL) GROUP BY c) n USING (c))""")
+    return f"""
+    WITH {", ".join(parts)},
+    a AS (SELECT r, (m % {k})::INT AS cluster, m // {k} AS distance FROM m{rounds})
+    SELECT vec_id, cluster, distance, (sum(distance) OVER (PARTITION BY cluster))::BIGINT AS cluster_inertia, (sum(distance) OVER ())::BIGINT AS inertia,
+           sha256(array_to_string(list_transform(c.e, lambda x: x::VARCHAR), ',')) AS centroid_sha256
+    FROM a JOIN v USING (r) JOIN c{rounds} AS c ON c.c = cluster
+    """
+
+
+@register("op11_centroids", _cluster_sql(k=16, rounds=3, dims=64, scale=64))
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
+    return out.withColumn("centroid_sha256", centroids.centroid_digest(F.col("centroid"))).drop("centroid")
