@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hourglass.llm import archives, centroids, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity, urlrules
+from hourglass.llm import archives, centroids, decontam, jaccard, langid, linededup, mixing, passages, sharding, topk, toxicity, urlrules, whitening
 from hourglass.llm.common import shared_path, table
 from hourglass.session import configure
 
@@ -243,3 +243,8 @@ def _cluster_sql(k: int, rounds: int, dims: int, scale: int) -> str:
 def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = centroids.cluster(table(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
     return out.withColumn("centroid_sha256", centroids.centroid_digest(F.col("centroid"))).drop("centroid")
+
+
+@register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=8, scale=1024, add=100_000)
