@@ -18,9 +18,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourglass.functions.calendar import calendar_columns, hour_grid
+from hourglass.operators.aggregates import attach_scalars
 from hourglass.operators.joins import attach_one_to_one, join_hourly, keep_hours
 from hourglass.operators.setops import upsert_by_time
 from hourglass.plans.features import build_features
+from hourglass.plans.trees import TreeModel, sum_sql
 from hourglass.schema import BLOCK_HOURS, DEFAULT_SPEC, FORECAST_HORIZON, FeatureSpec
 
 
@@ -258,6 +260,73 @@ def recursive_forecast_stepwise(features: DataFrame, fitted, keys: Sequence[str]
     return preds.withColumn("forecast_day", (F.floor((F.col("step") - 1) / BLOCK_HOURS) + 1).cast("int"))
 
 
+# --------------------------------------------------------------------------- M14 (trees)
+def recursive_forecast_trees(features: DataFrame, model: TreeModel, keys: Sequence[str] = ("location_id",),
+                             ts: str = "timestamp", horizon: int = FORECAST_HORIZON, align: str = "target",
+                             spec: FeatureSpec = DEFAULT_SPEC, clamp: bool = True, on_null: str = "raise") -> DataFrame:
+    """M14 for trees as one fold per series: the model's nodes travel as arrays in one broadcast row
+    (bounded, see ``trees``), a step of the fold puts the features of the target's own history beside
+    the hour's other features, walks all trees and appends the prediction.  One job whatever the horizon.
+
+    Same inputs, output and treatment of NULL features as ``recursive_forecast_linear``."""
+    keys = list(keys)
+    src = spec.target_source
+    dep = set(aqi_dependent(spec))
+    used = {n: d for n, d in needed_hours(spec, align).items() if n in model.features}
+    depth = max(used.values(), default=1)
+    w = Window.partitionBy(*keys).orderBy(ts)
+    rd = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(ts).desc()))
+    exog = F.array(*[F.lit(None).cast("double") if c in dep else F.col(c).cast("double") for c in model.features])
+    pos = features.select(*keys, ts, src, F.lead(ts, 1).over(w).alias("_next_ts"), exog.alias("_x"), rd.alias("_rd"))
+    hist = (pos.filter((F.col("_rd") > horizon) & (F.col("_rd") <= horizon + depth))
+               .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(ts, src))).alias("_h"))
+               .select(*keys, F.transform("_h", lambda s: s[src].cast("double")).alias("_hist")))
+    if align == "target":
+        rows = pos.filter((F.col("_rd") >= 2) & (F.col("_rd") <= horizon + 1)).select(*keys, ts, F.col("_next_ts").alias("_ts"), "_x")
+    else:
+        rows = pos.filter(F.col("_rd") <= horizon).select(*keys, ts, F.col(ts).alias("_ts"), "_x")
+    ex = rows.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(ts, "_ts", "_x"))).alias("_e"))
+    series = ex.join(hist, keys, "left").withColumn("_hist", F.coalesce("_hist", F.array().cast("array<double>")))
+    x = "array(" + ", ".join(_step_feature(c, i, spec, align) for i, c in enumerate(model.features)) + ")"
+    score = f"transform(array({x}), x -> {sum_sql('x', model.base)})[0]"
+    kept = f"transform(array({score}), p -> IF(p < 0D, 0D, p))[0]" if clamp else score
+    folded = attach_scalars(series, model.packed()).selectExpr(
+        *[f"`{k}`" for k in keys], "_e", "size(_hist) AS _n0", f"aggregate(_e, _hist, (acc, e) -> concat(acc, array({kept}))) AS _acc")
+    out = folded.select(*keys, F.posexplode(F.arrays_zip(
+        F.transform("_e", lambda s: s["_ts"]).alias("t"), F.slice("_acc", F.col("_n0") + 1, F.size("_e")).alias("p"))).alias("_i", "_z"), "_n0")
+    if on_null == "raise":
+        lacks = [F.when(F.lit(d) > F.col("_n0"), F.lit(n)) for n, d in used.items()]
+        lack = F.concat(F.lit("history of "), F.col("_n0").cast("string"), F.lit(" hours; "), F.concat_ws(", ", *lacks))
+        out = out.withColumn("_z", F.struct(F.col("_z.t").alias("t"), _refuse(keys, F.col("_z.p"), lack).alias("p")))
+    return out.select(*keys, F.col("_z.t").alias(ts), (F.col("_i") + 1).cast("int").alias("step"),
+                      (F.floor(F.col("_i") / BLOCK_HOURS) + 1).cast("int").alias("forecast_day"),
+                      F.col("_z.p").alias("predicted_aqi"))
+
+
+def _step_feature(name: str, place: int, spec: FeatureSpec, align: str) -> str:
+    """One feature inside the fold: from the history ``acc`` (newest last), or from the hour's own array."""
+    shift = 1 if align == "target" else 0
+    at = lambda d: f"try_element_at(acc, {-d})"
+    for k in spec.aqi_lags:
+        if name == f"{spec.target_alias}_lag_{k}":
+            return at(k + shift)
+    for mean, col, w in spec.mean_cols():
+        if mean == name and col == spec.target_source:
+            n = w if align == "target" else w - 1
+            return "((" + " + ".join(at(i + shift) for i in range(1, n + 1)) + f") / {float(n)!r}D)"
+    for change, col, k in spec.change_cols():
+        if change == name and col == spec.target_source:
+            return f"({at(1)} - {at(k + 1)})"
+    return f"e._x[{place}]"
+
+
+def backtest_trees(raw: DataFrame, model: TreeModel, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
+                   horizon: int = FORECAST_HORIZON, align: str = "target", spec: FeatureSpec = DEFAULT_SPEC) -> DataFrame:
+    """M15 for trees: the fold over the last ``horizon`` rows of every series, then the actuals attached."""
+    feats = build_features(raw, keys, ts, spec, drop_incomplete=False, align=align)
+    return attach_actuals(recursive_forecast_trees(feats, model, keys, ts, horizon, align, spec), raw, keys, ts, spec.target_source)
+
+
 # --------------------------------------------------------------------------- M12, M13, M15
 def future_inputs(weather: DataFrame, air: DataFrame, grid: DataFrame, on: Sequence[str] = ("timestamp",),
                   keys: Sequence[str] = ("location_id",)) -> DataFrame:

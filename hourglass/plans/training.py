@@ -13,13 +13,15 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourglass.operators.aggregates import attach_scalars, regression_metrics
 from hourglass.operators.guards import check_feature_order, require_columns
 from hourglass.operators.windows import rank_min
+from hourglass.plans import boosting
+from hourglass.plans.trees import TreeModel, from_ml, load_trees, merge, save_trees, saved_trees
 from hourglass.session import materialize
 
 FEATURES_VEC = "features_vec"
@@ -130,24 +132,38 @@ def fit_forest(train: DataFrame, features: Sequence[str], target: str = "target_
     return FittedModel(name, list(features), pipe.fit(train), "tree", None, target)
 
 
+def fit_forest_batches(train: DataFrame, features: Sequence[str], path: str, target: str = "target_aqi", trees: int = 300,
+                       max_depth: int = 30, seed: int = 42, batch: int = 50, name: str = "random_forest") -> TreeModel:
+    """M3: the forest in batches of ``batch`` trees, each with a seed of its own and saved under
+    ``path`` as soon as it is fitted; a driver that starts again reads the batches that are
+    there and fits the rest.  The batches become one model that averages all trees."""
+    if trees < 1 or batch < 1:
+        raise ValueError("trees and batch must be positive")
+    spark = train.sparkSession
+    train = materialize(train.select(*features, target))
+    parts = []
+    for i, first in enumerate(range(0, trees, batch)):
+        size = min(batch, trees - first)
+        at = f"{path}/batch-{i:04d}-{size}-{max_depth}-{seed}"
+        if not saved_trees(spark, at):
+            save_trees(from_ml(fit_forest(train, features, target, size, max_depth, seed + 7919 * i, name)), at)
+        parts.append(load_trees(spark, at))
+    return merge(parts, name)
+
+
 def fit_boosted(train: DataFrame, features: Sequence[str], target: str = "target_aqi", rounds: int = 500,
                 learning_rate: float = 0.05, max_depth: int = 6, min_child: int = 3, subsample: float = 0.8,
-                colsample: float = 0.8, seed: int = 42, name: str = "boosted_trees") -> FittedModel:
-    """M4: gradient-boosted trees.  Column sampling is per node in Spark (per
-    tree in the reference) and there is no L2 leaf penalty."""
-    train = materialize(train.select(*features, target))
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol=FEATURES_VEC),
-        GBTRegressor(featuresCol=FEATURES_VEC, labelCol=target, maxIter=rounds, stepSize=learning_rate,
-                     maxDepth=max_depth, minInstancesPerNode=min_child, subsamplingRate=subsample,
-                     featureSubsetStrategy=str(colsample), seed=seed),
-    ])
-    return FittedModel(name, list(features), pipe.fit(train), "tree", None, target)
+                colsample: float = 0.8, seed: int = 42, name: str = "boosted_trees", id_cols: Sequence[str] | None = None) -> TreeModel:
+    """M4: gradient-boosted trees by histograms (``boosting.fit``), with the reference's
+    parameters: columns and rows drawn per tree, an L2 penalty of 1 on leaf weights."""
+    return boosting.fit(train, features, target, rounds, learning_rate, max_depth, min_child, subsample, colsample, seed=seed, name=name, id_cols=id_cols)[0]
 
 
-def model_importance(spark: SparkSession, fm: FittedModel) -> DataFrame:
+def model_importance(spark: SparkSession, fm: FittedModel | TreeModel) -> DataFrame:
     """M6: (feature, importance) for tree models, |coefficient| on scaled
     inputs for linear ones.  One row per feature (bounded by the model)."""
+    if fm.kind == "trees":
+        return fm.importance()
     last = fm.model.stages[-1]
     vals = list(last.featureImportances.toArray()) if fm.kind == "tree" else [abs(v) for v in last.coefficients]
     return spark.createDataFrame([(f, float(v)) for f, v in zip(fm.features, vals)], "feature string, importance double")
@@ -167,8 +183,11 @@ def compare_models(metrics: DataFrame, by: str = "rmse") -> DataFrame:
 
 
 # --------------------------------------------------------------------------- M18
-def save_model(fm: FittedModel, path: str) -> None:
-    """Persist the pipeline (and scaler, for linear models) with Spark ML."""
+def save_model(fm: FittedModel | TreeModel, path: str) -> None:
+    """Persist the pipeline (and scaler, for linear models) with Spark ML; trees as their table of nodes."""
+    if fm.kind == "trees":
+        save_trees(fm, path)
+        return
     fm.model.write().overwrite().save(f"{path}/pipeline")
     if fm.scaler is not None:
         fm.scaler.write.mode("overwrite").parquet(f"{path}/scaler")
@@ -178,8 +197,10 @@ def save_model(fm: FittedModel, path: str) -> None:
         .write.mode("overwrite").json(f"{path}/meta")
 
 
-def load_model(spark: SparkSession, path: str) -> FittedModel:
+def load_model(spark: SparkSession, path: str) -> FittedModel | TreeModel:
     meta = spark.read.json(f"{path}/meta").first()
+    if meta["kind"] == "trees":
+        return load_trees(spark, path)
     scaler = spark.read.parquet(f"{path}/scaler") if meta["kind"] == "linear" else None
     return FittedModel(meta["name"], list(meta["features"]), PipelineModel.load(f"{path}/pipeline"), meta["kind"],
                        scaler, meta["target"])

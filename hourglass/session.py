@@ -78,18 +78,19 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def write_table(df):
+def write_table(df, reader: SparkSession | None = None):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: a lineage cut whose plan is a plain file scan, with no link to the
     plan that produced it.  Used inside driver loops (one table per step),
-    where a checkpointed relation would keep its origin plan alive."""
+    where a checkpointed relation would keep its origin plan alive.  ``reader`` is
+    the session that is to read it, if another."""
     import uuid
 
     base = checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/tables/{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     WRITTEN.append(path)
-    return df.sparkSession.read.parquet(path)
+    return (reader or df.sparkSession).read.schema(df.schema).parquet(path)
 
 
 #: Tables that ``write_table`` has written and ``release_tables`` has not removed yet.
