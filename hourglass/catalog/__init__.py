@@ -42,7 +42,9 @@ def load_all() -> None:
         q_features,
         q_files,
         q_joins,
+        q_kept,
         q_model,
         q_ordering,
         q_sources,
+        q_trees,
     )

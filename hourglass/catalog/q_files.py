@@ -14,14 +14,14 @@ from hourglass.catalog.q_model import _SPLIT, FIXED_B0, FIXED_BETA, HORIZON, _le
 from hourglass.checks.sqlfrag import FEATURES_CTE, RAW_HOURLY_CTE, forecast_sql, r6, rounded_select
 from hourglass.functions.calendar import format_date, parse_ts_utc
 from hourglass.operators.aggregates import attach_scalars
-from hourglass.operators.guards import assert_no_nulls, assert_shape
+from hourglass.operators.guards import write_checked
 from hourglass.operators.joins import latest_features
 from hourglass.plans import forecast as FC
 from hourglass.plans import ledger as L
 from hourglass.plans import training as TR
 from hourglass.schema import DEFAULT_SPEC as S
 from hourglass.schema import RAW_HOURLY_SCHEMA
-from hourglass.session import checkpoint_dir
+from hourglass.session import checkpoint_dir, write_table
 from hourglass.sources import files as FI
 from hourglass.sources import payloads as PL
 from hourglass.sources.events import air_side
@@ -66,9 +66,9 @@ def q_features_round_trip(spark, sf):
 @register("guarded_features", f"WITH {FEATURES_CTE}\nSELECT location_id, timestamp, {r6('target_aqi', 'target_aqi')}, "
                               "strftime(timestamp, '%Y-%m-%d') AS day, date_trunc('day', timestamp) AS day_start FROM feat")
 def q_guarded_features(spark, sf):
-    """P17 and P18 hold on the cleaned feature table; P1 parses the day's text back."""
+    """P17 and P18 hold on the cleaned feature table, counted while it is written; P1 parses the day's text back."""
     f = features(spark, sf).select(*KEYS, TS, "target_aqi")
-    f = assert_no_nulls(assert_shape(f, cols=3), [*KEYS, TS, "target_aqi"]).withColumn("day", format_date(TS))
+    f = write_checked(f, _path(spark, "guarded"), not_null=[*KEYS, TS, "target_aqi"], cols=3).withColumn("day", format_date(TS))
     return rounded(f.withColumn("day_start", parse_ts_utc("day", "yyyy-MM-dd")))
 
 
@@ -135,38 +135,55 @@ def q_ledger_alias(spark, sf):
 
 
 @register("model_selection", f"WITH {RAW_HOURLY_CTE}, n AS (SELECT count(DISTINCT location_id) * {HORIZON} AS hours FROM raw)\n"
-                             "SELECT CAST(3 AS BIGINT) AS models, true AS ranked_by_rmse, true AS alias_is_rank_one, hours AS forecast_hours, hours AS predictions FROM n")
+                             "SELECT CAST(3 AS BIGINT) AS models, true AS saved_models_score_alike, true AS alias_is_rank_one, hours AS forecast_hours, hours AS predictions FROM n")
 def q_model_selection(spark, sf, trees: int = 20, rounds: int = 20, max_depth: int = 12):
     """Fit ridge, forest and boosted trees, rank, save, record, load by alias, and forecast
-    with the winner (sizes cut for this entry; the functions default to the full ones)."""
-    from pyspark.sql import Window
-
+    with the winner (sizes cut for this entry; the functions default to the full ones).  Every saved
+    model is loaded again and scores the test rows as the ledger says, and the alias names the best of these scores."""
     from hourglass.plans import selection as SE
+    from hourglass.plans import trees as T
 
     path = _path(spark, "selection")
-    ranked = SE.select_model(_split(spark, sf), SE.candidates(_VIEW, trees=trees, rounds=rounds, max_depth=max_depth), path)
+    split = _split(spark, sf)
+    ranked = SE.select_model(split, SE.candidates(_VIEW, trees=trees, rounds=rounds, max_depth=max_depth), path)
     best = SE.load_selected(spark, path)
-    w = Window.orderBy("rank")
-    table = ranked.withColumn("_up", F.coalesce(F.col("rmse") >= F.lag("rmse").over(w), F.lit(True))).agg(
-        F.count(F.lit(1)).alias("models"), F.bool_and("_up").alias("ranked_by_rmse"),
-        (F.min_by("model", "rank") == F.lit(best.name)).alias("alias_is_rank_one"))
+    rows = None
+    for name in ("ridge", "random_forest", "boosted_trees"):
+        again = TR.load_model(spark, f"{path}/models/{name}").predict(split.filter("split = 'test'"))
+        m = TR.evaluate_splits(again).select(F.lit(name).alias("model"), F.col("rmse").alias("_again"))
+        rows = m if rows is None else rows.unionByName(m)
+    table = ranked.join(rows, "model", "left").agg(
+        F.count(F.lit(1)).alias("models"), F.bool_and(F.coalesce(F.abs(F.col("rmse") - F.col("_again")) <= 1e-9 * F.col("rmse"), F.lit(False))).alias("saved_models_score_alike"),
+        (F.min_by("model", "_again") == F.lit(best.name)).alias("alias_is_rank_one"))
     hourly = raw(spark, sf)
     if best.kind == "linear":
         b0, beta = best.linear_terms(spark)
         fc = FC.backtest_linear(hourly, b0, beta, KEYS, TS, HORIZON)
     else:
-        fc = FC.backtest_stepwise(hourly, best, KEYS, TS, HORIZON)
+        fc = FC.backtest_trees(hourly, best if best.kind == "trees" else T.from_ml(best), KEYS, TS, HORIZON)
     hours = fc.agg(F.count(F.lit(1)).alias("forecast_hours"), F.count("predicted_aqi").alias("predictions"))
     return attach_scalars(table, hours)
 
 
-@register("leakage_flags", f"WITH {FEATURES_CTE},\no AS (SELECT count_if(timestamp < prev) = 0 AS ok FROM (SELECT timestamp, lag(timestamp) OVER (PARTITION BY location_id ORDER BY timestamp) AS prev FROM feat))\n"
+@register("leakage_flags", f"WITH {FEATURES_CTE},\na AS (SELECT event_type AS location_id, date_trunc('hour', ts) AS timestamp, min(event_id) AS arrival FROM events GROUP BY 1, 2),\n"
+                           "o AS (SELECT count_if(timestamp < prev) = 0 AS ok FROM (SELECT f.timestamp, lag(f.timestamp) OVER (PARTITION BY f.location_id ORDER BY arrival) AS prev "
+                           "FROM feat f JOIN a ON f.location_id = a.location_id AND f.timestamp = a.timestamp)),\n"
+                           "b AS (SELECT count(*) < 2 AS ok FROM feat GROUP BY location_id)\n"
                            "SELECT 'inputs' AS inputs, false AS target_in_inputs, false AS current_in_inputs, '' AS suspicious_inputs, ok AS time_ordered, ok AS passed FROM o UNION ALL "
-                           "SELECT 'inputs and leaks', true, true, 'target_aqi', ok, false FROM o")
+                           "SELECT 'inputs and leaks', true, true, 'target_aqi', ok, false FROM o UNION ALL "
+                           "SELECT 'newest first', false, false, '', bool_and(ok), bool_and(ok) FROM b")
 def q_leakage_flags(spark, sf):
-    """M17's flags for the 70 inputs, and for the same with the target and the current value added."""
+    """M17's flags for the 70 inputs, for the same with the target and the current value added, and for
+    rows that arrive newest first.  An hour arrives with its first event."""
+    from hourglass.functions.calendar import hour_trunc
     from hourglass.plans.leakage import leakage_flags
 
-    f = features(spark, sf).select(*KEYS, TS).withColumn("arrival", F.unix_micros(F.col(TS).cast("timestamp")))
-    clean = leakage_flags(f, KEYS, TS, _VIEW).withColumn("inputs", F.lit("inputs"))
-    return clean.unionByName(leakage_flags(f, KEYS, TS, [*_VIEW, "us_aqi", "target_aqi"]).withColumn("inputs", F.lit("inputs and leaks")))
+    first = events(spark, sf).groupBy(F.col("event_type").alias("location_id"), hour_trunc("ts").alias(TS)).agg(F.min("event_id").alias("arrival"))
+    f = write_table(features(spark, sf).select(*KEYS, TS).join(first, [*KEYS, TS]))
+    rows = [("inputs", f, _VIEW), ("inputs and leaks", f, [*_VIEW, "us_aqi", "target_aqi"]),
+            ("newest first", f.withColumn("arrival", -F.unix_micros(F.col(TS).cast("timestamp"))), _VIEW)]
+    out = None
+    for name, table, inputs in rows:
+        one = leakage_flags(table, KEYS, TS, inputs).withColumn("inputs", F.lit(name))
+        out = one if out is None else out.unionByName(one)
+    return out

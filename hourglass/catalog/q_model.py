@@ -446,13 +446,12 @@ def q_prediction_error(spark, sf):
 
 
 # --------------------------------------------------------------------------- M16, M17
-_AUDIT = {**{f"aqi_lag_{k}": k for k in S.aqi_lags}, **{f"pm2_5_lag_{k}": k for k in S.pollutant_lags}, "target_aqi": -1}
+_AUDIT = {**{f"aqi_lag_{k}": ("us_aqi", k) for k in S.aqi_lags}, **{f"{p}_lag_{k}": (p, k) for p in S.pollutants for k in S.pollutant_lags}, "target_aqi": ("us_aqi", -1)}
 
 
 def _audit_sql():
     parts = []
-    for col, k in _AUDIT.items():
-        src = "us_aqi" if col.startswith("aqi") or col == "target_aqi" else "pm2_5"
+    for col, (src, k) in _AUDIT.items():
         fn = f"lag({src}, {k})" if k > 0 else f"lead({src}, {-k})"
         parts.append(f"SELECT '{col}' AS column_name, {k} AS shift, {col} AS stored, {fn} OVER ({W}) AS expected FROM raw_feat")
     return " UNION ALL ".join(parts)
@@ -469,8 +468,7 @@ def q_temporal_leakage_report(spark, sf):
     row that includes every check."""
     from hourglass.plans.leakage import temporal_leakage_report
 
-    return temporal_leakage_report(features(spark, sf, drop_incomplete=False), KEYS, TS, {
-        c: (("us_aqi" if c.startswith("aqi") or c == "target_aqi" else "pm2_5"), k) for c, k in _AUDIT.items()})
+    return temporal_leakage_report(features(spark, sf, drop_incomplete=False), KEYS, TS, _AUDIT)
 
 
 _M16_NULLS = " + ".join(f"count_if({c} IS NULL)" for c in FEATS)
@@ -522,7 +520,7 @@ def q_forest_model(spark, sf):
 def q_boosted_model(spark, sf):
     """M4: gradient-boosted trees (20 rounds), metrics per split."""
     s, train = _fit_inputs(spark, sf)
-    fm = TR.fit_boosted(train, FEATS, rounds=20)
+    fm = TR.fit_boosted(train, FEATS, rounds=20, id_cols=[*KEYS, TS])
     return rounded(TR.evaluate_splits(fm.predict(s)).withColumn("model", F.lit("boosted_trees")))
 
 
@@ -545,8 +543,7 @@ def q_ridge_forecast(spark, sf):
 
 @register("boosted_forecast", None)
 def q_boosted_forecast(spark, sf):
-    """M14 + M15 for the tree champion (20 rounds): no closed recurrence, so
-    the forecast steps hour by hour over all series at once."""
+    """M14 + M15 for the tree champion (20 rounds): one fold per series that walks the trees."""
     _, train = _fit_inputs(spark, sf)
-    fm = TR.fit_boosted(train, FEATS, rounds=20)
-    return rounded(FC.backtest_stepwise(raw(spark, sf), fm, KEYS, TS, HORIZON))
+    fm = TR.fit_boosted(train, FEATS, rounds=20, id_cols=[*KEYS, TS])
+    return rounded(FC.backtest_trees(raw(spark, sf), fm, KEYS, TS, HORIZON))

@@ -86,6 +86,32 @@ def assert_shape(df: DataFrame, rows: int | None = None, cols: int | None = None
     return df
 
 
+def write_checked(df: DataFrame, path: str, not_null: Sequence[str] = (), rows: int | None = None, cols: int | None = None) -> DataFrame:
+    """P17 and P18 in the pass that writes ``df`` (Parquet) to ``path``, and the table read back.  Rows and
+    nulls are counted as the rows are written, beside the final place; a table that fails
+    the checks is removed and named in the error, so ``path`` only ever holds one that passed."""
+    from pyspark.sql import Observation
+
+    from hourglass.sources.claims import exists, move, remove
+
+    spark = df.sparkSession
+    assert_shape(df, cols=cols)
+    if exists(spark, path):
+        raise ContractError(f"{path} is there already")
+    seen = Observation()
+    counts = [F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(not_null)]]
+    beside = f"{path}.unchecked"
+    df.observe(seen, *counts).write.mode("overwrite").parquet(beside)
+    got = seen.get
+    bad = [c for i, c in enumerate(not_null) if got[f"_null_{i}"]]
+    wrong = f"Null values in columns: {bad}" if bad else f"Expected {rows} rows, found {got['_rows']}" if rows is not None and got["_rows"] != rows else None
+    if wrong:
+        remove(spark, beside)
+        raise ContractError(wrong)
+    move(spark, beside, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def monotonic_report(df: DataFrame, keys: Sequence[str], ts: str, ordinal: str,
                      chunks: int | None = None) -> DataFrame:
     """Per series, count rows whose ``ts`` is earlier than the previous

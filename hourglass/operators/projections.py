@@ -49,12 +49,6 @@ def series_boundary(df: DataFrame, keys: Sequence[str], ts: str, name: str = "bo
     return df.groupBy(*keys).agg(F.max(ts).alias(name))
 
 
-def history_future(df: DataFrame, keys: Sequence[str], ts: str, boundary: DataFrame,
-                   name: str = "boundary") -> DataFrame:
-    """P10: flag rows after the per-series boundary (``is_future``)."""
-    return df.join(boundary, list(keys), "left").withColumn("is_future", F.col(ts) > F.col(name))
-
-
 def history_mask(df: DataFrame, keys, ts, boundary: DataFrame, name: str = "boundary") -> DataFrame:
     """P10: rows at or before the boundary."""
     return df.join(boundary, list(keys), "inner").filter(F.col(ts) <= F.col(name)).drop(name)
@@ -79,11 +73,6 @@ def row_range(df: DataFrame, keys: Sequence[str], ts: str, start: int, stop: int
     return df.withColumn("_pos", rn).filter(cond).drop("_pos")
 
 
-def clamp_nonneg_col(df: DataFrame, col: str) -> DataFrame:
-    """P13."""
-    return df.withColumn(col, clamp_nonneg(col))
-
-
 def select_group(df: DataFrame, col: str, value) -> DataFrame:
     """P14."""
     return df.filter(F.col(col) == F.lit(value))

@@ -54,12 +54,6 @@ def change_prior(col: str, k: int, w: WindowSpec) -> Column:
     return F.lag(col, 1).over(w) - F.lag(col, k + 1).over(w)
 
 
-def add_lags(df: DataFrame, keys, ts, col: str, lags: Sequence[int], prefix: str | None = None) -> DataFrame:
-    w = series_window(keys, ts)
-    p = prefix or col
-    return df.withColumns({f"{p}_lag_{k}": lag_col(col, k, w) for k in lags})
-
-
 def chrono_split(df: DataFrame, keys: Sequence[str], ts: str, train: float = 0.70, val: float = 0.85,
                  name: str = "split") -> DataFrame:
     """train/val/test by position within each series; cut indices are

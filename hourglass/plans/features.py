@@ -31,14 +31,6 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Spark orders NaN above numbers and ``avg`` propagates it; pandas skips it.
-    Convert at ingest so windows behave like the reference."""
-    types = dict(df.dtypes)
-    conv = {c: F.when(~F.isnan(c), F.col(c)) for c in cols if types[c] in ("double", "float")}
-    return df.withColumns(conv)
-
-
 def feature_sql(spec: FeatureSpec, keys: Sequence[str], ts: str, align: str = "target") -> dict[str, str]:
     """Spark SQL text of every lag/lead/rolling/change column, keyed by name.
 

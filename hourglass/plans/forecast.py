@@ -383,12 +383,3 @@ def backtest_stepwise(raw: DataFrame, fitted, keys: Sequence[str] = ("location_i
     feats = build_features(raw, keys, ts, spec, drop_incomplete=False, align=align)
     fc = recursive_forecast_stepwise(feats, fitted, keys, ts, horizon, align, spec, checkpoint_every)
     return attach_actuals(fc, raw, keys, ts, spec.target_source)
-
-
-def horizon_grid(raw: DataFrame, keys: Sequence[str] = ("location_id",), ts: str = "timestamp",
-                 horizon: int = FORECAST_HORIZON) -> DataFrame:
-    """F10 per series: the ``horizon`` hours after its last observation, with
-    calendar columns."""
-    b = raw.groupBy(*keys).agg(F.max(ts).alias("_b"))
-    g = b.select(*keys, F.explode(hour_grid(F.timestamp_add("HOUR", F.lit(1), "_b"), horizon)).alias(ts))
-    return calendar_columns(g, ts)

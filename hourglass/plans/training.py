@@ -49,10 +49,6 @@ def scale(df: DataFrame, stats: DataFrame, cols: Sequence[str], suffix: str = ""
     return j.withColumns(out).drop(*[f"{p}_{c}" for c in cols for p in ("mu", "sd")])
 
 
-def assemble(df: DataFrame, cols: Sequence[str], out: str = FEATURES_VEC) -> DataFrame:
-    return VectorAssembler(inputCols=list(cols), outputCol=out, handleInvalid="error").transform(df)
-
-
 # --------------------------------------------------------------------------- models
 @dataclass
 class FittedModel:

@@ -32,6 +32,18 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a folder; fails where it cannot be."""
+    p, fs = _fs(spark, path)
+    if not fs.rename(p, _fs(spark, to)[0]):
+        raise OSError(f"{path} could not be renamed to {to}")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
 def claimed(spark: SparkSession, base: str) -> list[int]:
     """The numbers claimed under ``base``, rising."""
     return sorted(int(m.group(1)) for n in names(spark, base) if (m := re.fullmatch(r"n-(\d+)", n)))
