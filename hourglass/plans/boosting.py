@@ -116,15 +116,19 @@ def _level(rows: DataFrame, tree: _Tree, open_nodes: Sequence[int], drawn: Seque
 
 def _fitting_session(spark: SparkSession) -> SparkSession:
     """A sibling session for the levels' aggregates.  Their shuffles hold one row a node, feature and
-    interval, a size that the model's parameters bound whatever the data, so a fixed number of
-    partitions fits and planning anew between stages (adaptive execution) would only take time."""
+    interval, a size that the model's parameters bound whatever the data, so their partitions are
+    set by it and planning anew between stages (adaptive execution) would only take time."""
     s = spark.newSession()
     s.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     s.conf.set("spark.sql.adaptive.enabled", "false")
-    s.conf.set("spark.sql.shuffle.partitions", "8")
     return s
 
 
+def _partitions(open_nodes: int, drawn: int, bins: int, rows: int) -> int:
+    """Shuffle partitions for a level: one per 2^16 sums."""
+    return min(64, max(1, -(-min(open_nodes * bins, rows) * drawn // (1 << 16))))
+
+
 def drawn_features(count: int, share: float, seed: int, tree: int) -> list[int]:
     """The features that a tree may split on."""
     k = max(1, int(share * count))
@@ -165,6 +169,7 @@ def fit(train: DataFrame, features: Sequence[str], target: str = "target_aqi", r
         for _ in range(max_depth):
             if not open_nodes:
                 break
+            rows.sparkSession.conf.set("spark.sql.shuffle.partitions", str(_partitions(len(open_nodes), len(drawn), bins, s["n"])))
             found, open_nodes = _level(state, tree, open_nodes, drawn, len(features), l2, min_child, unit), []
             for node, r in sorted(found.items()):
                 b = r["s"]
