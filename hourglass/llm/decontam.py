@@ -1,9 +1,10 @@
 """Training documents that hold exact, edited or paraphrased benchmark items.
 
-1. The word n-grams of all items are seeds.  One pass over all documents finds their
+1. The word n-grams of all items are seeds, and so are n words with one word in between skipped
+   (so a copy with every third word replaced still holds some).  One pass over all documents finds their
    occurrences: a fixed bit table passes every seed (and few others), a join by hash
    keeps exactly the seeds.  Occurrences are counted over the whole corpus.
-2. An item's ``rare`` rarest seeds of those that occur join documents to it at one
+2. An item's ``rare`` rarest seeds of each kind of those that occur join documents to it at one
    occurrence; its other seeds join where two of them lie about as far apart as in the
    item (so the seeds that survive an edit count although copies make them frequent).
 3. Around the occurrences of a document and an item, Smith-Waterman aligns the words of
@@ -11,7 +12,8 @@
 
 Cases: null texts and ids: a text without words matches nothing, null ids come back
 null; an item shorter than n words is one seed; items without words match nothing;
-repeated items and documents are reported each; very long texts are read whole; empty
+repeated items count once, repeated documents are reported each, with their ids or
+without; very long texts are read whole; empty
 tables give an empty result.  Extra columns are ignored.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hourglass.llm.common import ngram_hashes, salted, saved, sorted_groups, word_hashes
+from hourglass.llm.common import mix64, ngram_hashes, salted, saved, sorted_groups, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 BITS = 24  # the bit table has a fixed size, whatever the benchmark's
@@ -54,8 +56,24 @@ def align(item: np.ndarray, windows: list[np.ndarray]) -> tuple[np.ndarray, np.n
     return best, end
 
 
+def kinds_of(size: int, n: int) -> list[tuple[int, int]]:
+    """(words, skipped place) of the seeds of a text of ``size`` words; place 0: none is skipped."""
+    return [(min(n, size), 0)] + [(n, skip) for skip in range(1, n) if size > n]
+
+
+def seed_hashes(words: np.ndarray, n: int, skip: int) -> np.ndarray:
+    """The seed of one kind from each place on."""
+    if not skip:
+        return ngram_hashes(words, n)
+    h = np.zeros(max(0, len(words) - n), np.uint64)
+    for i in range(n + 1):
+        if i != skip:
+            h = mix64(h * np.uint64(0x100000001B3) + words[i : i + len(h)])
+    return mix64(h + np.uint64(skip))
+
+
 def _items(benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    """item_id, words (hashes), seeds of the items that have words."""
+    """item_id, words (hashes), seeds (hash, place, kind) and size of the items that have words."""
 
     def run(batches):
         for pdf in batches:
@@ -63,10 +81,11 @@ def _items(benchmark: DataFrame, n: int, id_col: str, text_col: str) -> DataFram
             out = []
             for i, a, b in zip(pdf["item_id"], starts[:-1], starts[1:], strict=True):
                 if b > a:
-                    out.append((i, words[a:b].view(np.int64), ngram_hashes(words[a:b], min(n, b - a)).view(np.int64), int(b - a)))
+                    seeds = [{"seed": int(h), "at": p, "kind": skip} for k, skip in kinds_of(b - a, n) for p, h in enumerate(seed_hashes(words[a:b], k, skip).view(np.int64))]
+                    out.append((i, words[a:b].view(np.int64), seeds, int(b - a)))
             yield pd.DataFrame(out, columns=["item_id", "words", "seeds", "size"])
 
-    return benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")).mapInPandas(run, "item_id string, words array<long>, seeds array<long>, size int")
+    return benchmark.select(F.col(id_col).cast("string").alias("item_id"), F.col(text_col).alias("text")).mapInPandas(run, "item_id string, words array<long>, seeds array<struct<seed: long, at: int, kind: int>>, size int")
 
 
 def _bits(seeds: DataFrame) -> np.ndarray:
@@ -89,8 +108,8 @@ def _blocks(texts, size: int = 1 << 20):
         yield at, len(texts)
 
 
-def _occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFrame:
-    """doc_id, t, place, seed of the n-grams that the bit table passes."""
+def _occurrences(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[int, int]]) -> DataFrame:
+    """doc_id, t, place, seed of the seeds of these kinds that the bit table passes."""
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bits))
 
     def run(batches):
@@ -100,11 +119,11 @@ def _occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFra
             text = pdf["text"].tolist()
             for a, b in _blocks(text):
                 words, starts = word_hashes(text[a:b])
-                for n in sizes:
-                    g = ngram_hashes(words, n)
+                for n, skip in kinds:
+                    g = seed_hashes(words, n, skip)
                     at = np.flatnonzero(table[(g & mask).astype(np.int64)])
                     doc = np.searchsorted(starts, at, side="right") - 1
-                    inside = at + n <= starts[doc + 1]
+                    inside = at + n + (skip > 0) <= starts[doc + 1]
                     at, doc = at[inside], doc[inside]
                     yield pd.DataFrame({"doc_id": pdf["doc_id"].to_numpy()[a + doc], "t": pdf["t"].to_numpy()[a + doc], "place": at - starts[doc], "seed": g[at].view(np.int64)})
 
@@ -113,22 +132,22 @@ def _occurrences(docs: DataFrame, bits: np.ndarray, sizes: list[int]) -> DataFra
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int = 16, threshold: float = 0.5, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", row_col: str | None = None) -> DataFrame:
     """doc_id, item_id, score (1: a whole copy), last_word (one past the aligned words)
-    of documents and items with a score of at least ``threshold``; one row per pair.
+    of documents and items with a score of at least ``threshold``; one row per pair of a row and an item.
 
     With ``row_col`` (a long, different in every row) each row is a document of its own,
     whatever its id, and the result has that column too."""
     items = saved(_items(benchmark, n, item_id_col, item_text_col))
     # null ids of items stay apart by a key of their own
     items = items.withColumn("item", F.xxhash64(F.coalesce("item_id", F.lit("-")), "words"))
-    seeds = saved(items.select("item", F.posexplode("seeds").alias("at", "seed"), "size"))
+    seeds = saved(items.select("item", F.explode("seeds").alias("s"), "size").select("item", "s.*", "size"))
     out = "doc_id string, t long, item long, score double, last_word int"
     src = docs.select(F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).alias("text"), *([F.col(row_col).alias("t")] if row_col else []))
     if not row_col:
         src = src.withColumn("t", F.xxhash64(F.coalesce("doc_id", F.lit("-")), "text"))
-    sizes = sorted({min(n, r[0]) for r in items.select(F.least("size", F.lit(n))).distinct().collect()})
-    hits = saved(_occurrences(src, _bits(seeds), sizes).join(seeds.select("seed").distinct(), "seed", "left_semi"))
+    kinds = sorted({k for r in items.select(F.least("size", F.lit(n + 1))).distinct().collect() for k in kinds_of(r[0], n)})
+    hits = saved(_occurrences(src, _bits(seeds), kinds).join(seeds.select("seed").distinct(), "seed", "left_semi"))
     counts = hits.groupBy("seed").agg(F.count("*").alias("hits"))
-    rank = F.row_number().over(W.partitionBy("item").orderBy("hits", "at"))
+    rank = F.row_number().over(W.partitionBy("item", "kind").orderBy("hits", "at"))
     occur = seeds.join(counts, "seed").withColumn("rare", rank <= rare)
     # A seed may lie in a third of all documents: its rows are dealt by salt.
     by_seed = occur.groupBy("seed").agg(F.collect_list(F.struct("item", "at", "size", "rare")).alias("of"))
@@ -172,8 +191,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, n: int = 3, rare: int =
 
     both = salted(spread, items.select("item", "words").dropDuplicates(["item"]), ["item"], ["t", "lo"])
     scored = both.sortWithinPartitions("item").mapInPandas(score, out).filter(F.col("score") >= threshold)
-    rows = [F.col("t").alias(row_col)] if row_col else []
-    best = scored.groupBy("doc_id", "item", *(["t"] if row_col else [])).agg(F.max(F.struct("score", "last_word")).alias("b"))
-    back = items.select("item", "item_id")
+    best = scored.groupBy("doc_id", "t", "item").agg(F.max(F.struct("score", "last_word")).alias("b")).join(items.dropDuplicates(["item"]).select("item", "item_id"), "item")
+    if not row_col:  # rows that repeat both id and text were judged as one
+        key = F.coalesce("doc_id", F.lit("-"))
+        copies = src.join(best.select("t").distinct(), "t", "left_semi").groupBy("t", key.alias("key")).agg(F.count("*").alias("copies"))
+        best = best.withColumn("key", key).join(copies, ["t", "key"]).withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     kind, ikind = docs.schema[id_col].dataType, benchmark.schema[item_id_col].dataType
-    return best.join(back, "item").select(F.col("doc_id").cast(kind), F.col("item_id").cast(ikind), F.col("b.score").alias("score"), F.col("b.last_word").alias("last_word"), *rows)
+    rows = [F.col("t").alias(row_col)] if row_col else []
+    return best.select(F.col("doc_id").cast(kind), F.col("item_id").cast(ikind), F.col("b.score").alias("score"), F.col("b.last_word").alias("last_word"), *rows)

@@ -181,3 +181,39 @@ def test_contaminated_finds_copies_and_leaves_clean_documents(spark):
     assert all(r.score == 1 for r in got if r.doc_id % 2 == 0 and r.doc_id < 90)
     assert decontam.contaminated(df.limit(0), bench).count() == 0
     assert decontam.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_contaminated_rows_without_ids_and_with_one_id(spark):
+    rng = np.random.default_rng(17)
+    words = vocabulary(rng)
+    draw = lambda n: " ".join(rng.choice(words, n))
+    item = draw(40)
+    rows = [(None, item + " " + draw(30)), (None, item + " " + draw(30)), (5, item), (5, draw(9) + " " + item), (5, draw(50)), (6, item), (6, item), (None, item), (None, item), (None, None)]
+    df = spark.createDataFrame([(i, t, 0, 0) for i, t in rows], "doc_id long, text string, t int, seed int").repartition(3)
+    got = decontam.contaminated(df, spark.createDataFrame([(1, item), (1, item)], "item_id long, text string")).collect()
+    assert sorted(str(r.doc_id) for r in got) == sorted(str(i) for i, t in rows if t and item in t)
+
+
+def test_recall_at_the_threshold_against_all_pairs(spark):
+    """Copies with words replaced at random, or every third: found wherever alignment with all
+    documents scores them at the threshold or above."""
+    rng = np.random.default_rng(23)
+    words = vocabulary(rng)
+    items = [list(rng.choice(words, 40)) for _ in range(10)]
+    docs = []
+    for i in range(240):
+        copy = list(items[i % 10])
+        at = np.arange(i % 3, 40, 3) if i % 4 == 0 else np.flatnonzero(rng.random(40) < rng.uniform(0.15, 0.4))
+        for j in at:
+            copy[j] = "new" + str(rng.integers(1000))
+        docs.append(list(rng.choice(words, 60)) + copy + list(rng.choice(words, 60)))
+    code = {w: k for k, w in enumerate({w for d in docs + items for w in d})}
+    number = lambda ws: np.array([code[w] for w in ws], np.uint64)
+    want = set()
+    for k, item in enumerate(items):
+        best, _ = decontam.align(number(item), [number(d) for d in docs])
+        want |= {(int(i), k) for i in np.flatnonzero(best / (2 * len(item)) >= 0.5)}
+    assert 100 < len(want) < 240 and {(i, i % 10) for i in range(0, 240, 4)} <= want
+    df = spark.createDataFrame([(i, " ".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(df, spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")).collect()}
+    assert got <= want and len(got) >= 0.99 * len(want)
