@@ -16,8 +16,9 @@ cross-entropy under the best language lies above that language's median by more
 deviations of texts of its length (``reject`` of 12; other values scale both), or when
 it has no letter.
 
-Cases: null texts and texts without a letter get ``und``, score 0 and are
-rejected; null labels do not train; without any training text every text gets
+Cases: null texts and texts without a letter (category L: neither marks nor emoji are letters)
+get ``und``, score 0 and are rejected; a text that two languages fit alike gets the first by name; repeated
+rows are judged alike; null labels do not train; without any training text every text gets
 ``und``; very long texts are read whole, in pieces; an empty table gives an empty
 result.  Extra columns are ignored.
 """
@@ -30,6 +31,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -47,6 +49,7 @@ MARGIN = 2.5
 #: With fewer out-of-fold texts a language takes the widest margin of all languages.
 FEW = 32
 SPACE = 32
+LETTER = regex.compile(r"\p{L}")
 
 
 def _classes() -> np.ndarray:
@@ -80,6 +83,11 @@ def letters(texts) -> tuple[np.ndarray, np.ndarray]:
     return x[keep], np.concatenate([[0], np.cumsum(keep)])[starts]
 
 
+def has_letter(text) -> bool:
+    """Whether a text holds a letter (category L); marks and signs are read by the models but make no language."""
+    return isinstance(text, str) and LETTER.search(text) is not None
+
+
 def grams(x: np.ndarray, starts: np.ndarray, order: int = ORDER) -> np.ndarray:
     """For each place the ``order`` code units that end there, in one number (the
     latest lowest); units before the text's start are 0."""
@@ -192,8 +200,7 @@ class Model:
         bits = (bits_of or self.log_probability)(code).astype(np.float32)[back]
         bits[s[:-1]] = 0  # the space before a text is given
         sums = np.add.reduceat(bits.astype(np.float64), s[:-1], axis=0) if len(n) else np.zeros((0, len(self.langs)))
-        letter = np.add.reduceat((x != SPACE).astype(np.int64), s[:-1]) if len(n) else n
-        n = np.where(letter > 0, n, 0)
+        n = np.where([has_letter(t) for t in texts], np.maximum(n, 1), 0) if len(n) else n
         return sums / np.maximum(n, 1)[:, None], n
 
 
@@ -278,6 +285,10 @@ def scored(docs: DataFrame, model: Model, run, schema: T.StructType, text_col: s
     if not model.tables:
         return docs.mapInArrow(held, schema)
 
+    name = "_block"
+    while name in docs.columns:
+        name += "_"
+
     def cut(batches):
         """Each row's block: about BLOCK characters of one task."""
         block, size = TaskContext.get().partitionId() << 33, 0
@@ -288,13 +299,13 @@ def scored(docs: DataFrame, model: Model, run, schema: T.StructType, text_col: s
                 size += len(t or "") + 1
                 if size >= BLOCK:
                     block, size = block + 1, 0
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], [*batch.schema.names, "_block"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.int64())], [*batch.schema.names, name])
 
     def ask(batches):
         for pdf in batches:
-            for block, part in pdf.groupby("_block"):
+            for block, part in pdf.groupby(name):
                 x, s = letters(part["text"].tolist())
-                yield pd.DataFrame({"_block": block, "code": np.unique(grams(x, s, shared.value.order)).view(np.int64)})
+                yield pd.DataFrame({name: block, "code": np.unique(grams(x, s, shared.value.order)).view(np.int64)})
 
     def judge(rows, bits):
         code = bits.column("code").to_numpy().view(np.uint64)
@@ -302,12 +313,12 @@ def scored(docs: DataFrame, model: Model, run, schema: T.StructType, text_col: s
         sort = np.argsort(code)
         code, value = code[sort], value[sort]
         h, n = shared.value.entropies(rows.column(text_col).to_pylist(), lambda c: value[np.searchsorted(code, c)])
-        return run(shared.value, rows.drop_columns("_block"), h, n)
+        return run(shared.value, rows.drop_columns(name), h, n)
 
-    rows = saved(docs.mapInArrow(cut, T.StructType([*docs.schema.fields, T.StructField("_block", T.LongType())])))
-    asked = saved(rows.select(F.col(text_col).alias("text"), "_block").mapInPandas(ask, "_block long, code long").distinct())
+    rows = saved(docs.mapInArrow(cut, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())])))
+    asked = saved(rows.select(F.col(text_col).alias("text"), name).mapInPandas(ask, f"{name} long, code long").distinct())
     bits = asked.join(model.table_bits(asked), "code")  # a code has at most one row a block
-    return rows.groupBy("_block").cogroup(bits.groupBy("_block")).applyInArrow(judge, schema)
+    return rows.groupBy(name).cogroup(bits.groupBy(name)).applyInArrow(judge, schema)
 
 
 def calibrate(model: Model, docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model:

@@ -195,3 +195,18 @@ def test_toxicity_without_labels_of_both_kinds(spark):
     assert toxicity.fit(df) is None
     assert {(r.score, r.predicted) for r in toxicity.score(df, None).collect()} == {(0.0, 0)}
     assert toxicity.score(df.limit(0), None).count() == 0
+
+
+def test_letters_are_of_category_l(spark):
+    train = spark.createDataFrame([(i, english(i), "en", 0) for i in range(30)] + [(100 + i, german(i), "de", 0) for i in range(30)], "doc_id long, text string, lang string, _block int")
+    model = langid.calibrate(langid.fit(train), train)
+    texts = ["\U0001F600\U0001F680", "\u2764\ufe0f", "\u2122", "\u0301\u0301", "12 34", "", None, "\U00020000", "a", "\u00aa", english(3), english(3)]
+    df = spark.createDataFrame([(i, t, None, 0) for i, t in enumerate(texts)], "doc_id long, text string, lang string, _block int")
+    got = {r.doc_id: r.lang_pred for r in langid.identify(df, model).collect()}
+    assert [got[i] == "und" for i in range(len(texts))] == [True] * 7 + [False] * 5
+    assert got[10] == got[11] == "en"
+    few = langid.fit(train, slots=100)  # kept in tables
+    few = langid.calibrate(few, train)
+    assert few.tables and {r.doc_id: r.lang_pred for r in langid.identify(df, few).collect()} == got
+    kept = langid.accepted(df, few)
+    assert kept.columns == df.columns and {10, 11} <= {r.doc_id for r in kept.collect()} <= {7, 8, 9, 10, 11}
