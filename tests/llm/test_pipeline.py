@@ -53,3 +53,14 @@ def test_rows_are_judged_by_their_own_key(spark):
     assert count(two) == collections.Counter([(7, english(1)), (8, english(2)), (None, english(3)), (3, english(4)), *rows[9:12], (None, None), (None, None)])
     three = P.decontaminate(spark, saved(docs), SF)
     assert count(three) == collections.Counter(r for r in rows if not (r[1] or "").endswith(bench))
+
+
+def test_input_columns_may_have_any_name(spark):
+    names = ["_row", "_doc", "_block", "t", "key", "item", "c", "label", "size", "shard", "slot", "source_size", "_plan", "lang", "source", "n_chars"]
+    docs = spark.createDataFrame([(i, english(i % 9)) for i in range(30)], "doc_id long, text string")
+    for n in names:
+        docs = docs.selectExpr("*", f"CAST(doc_id % 3 AS STRING) AS `{n}`")
+    for name, stage in P.STAGES:
+        before, docs = docs.columns, saved(stage(spark, docs, SF))
+        assert set(docs.columns) >= set(before), name
+    assert docs.count() > 0
