@@ -35,15 +35,20 @@ def keyed(docs: DataFrame) -> DataFrame:
     return saved(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.monotonically_increasing_id().alias("_row")))
 
 
+def read(rows: DataFrame) -> DataFrame:
+    """What the operators read of keyed rows; other columns stay inside _doc, where no name can clash."""
+    return rows.select(F.col("_doc.doc_id").alias("doc_id"), F.col("_doc.text").alias("text"), "_row")
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
-    gone = jaccard.jaccard_join(rows.select("_doc.*", "_row"), row_col="_row").filter("_row <> class_row").select("_row")
+    gone = jaccard.jaccard_join(read(rows), row_col="_row").filter("_row <> class_row").select("_row")
     return rows.join(saved(gone), "_row", "left_anti").select("_doc.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = keyed(docs)
-    gone = decontam.contaminated(rows.select("_doc.*", "_row"), table(spark, sf_dir, "benchmark"), row_col="_row").select("_row").distinct()
+    gone = decontam.contaminated(read(rows), table(spark, sf_dir, "benchmark"), row_col="_row").select("_row").distinct()
     return rows.join(saved(gone), "_row", "left_anti").select("_doc.*")
 
 
