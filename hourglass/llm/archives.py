@@ -13,8 +13,8 @@ after another.
 
 Cases: a null payload is empty; a null URL is written as ``-`` and blanks in URLs
 are escaped; a null id comes back null and loses ties against any id; among equal
-payloads the largest id is the response, and among equal ids the last in the
-archive; payloads of any bytes and length survive; an empty table gives an empty
+payloads the largest id is the response, and among equal ids the record with the
+greatest record id (a name-based UUID of file, URL, date, offset, digest and id); payloads of any bytes and length survive; an empty table gives an empty
 archive.
 """
 
@@ -35,8 +35,11 @@ from hourglass.llm.common import saved
 
 # Fixed values of the formats.
 ARC_FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length", 2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
+#: Archives are written once and read once here, so their compression is a light one.
+GZIP_LEVEL = "TWO"
 ARC_SUFFIX, WARC_SUFFIX = "\n", "\r\n\r\n"
-ARC_SCHEMA = "arc_file string, offset long, version int, url string, ip string, archive_date string, content_type string, http binary, payload binary"
+ARC_SCHEMA = "arc_file string, offset long, version int, url string, ip string, archive_date string, content_type string, http binary, payload binary, payload_digest string, page_id string, record_id string"
+INDEX_SCHEMA = "record_id string, payload_digest string, page_id string, payload_bytes long"
 WARC_SCHEMA = "record_id string, record_type string, target_uri string, warc_date string, payload_digest string, refers_to_id string, http binary, payload binary, page_id long, payload_bytes long"
 
 
@@ -64,7 +67,8 @@ def version_block(version: int, name: str = "pages.arc") -> bytes:
 
 def write_text(records: DataFrame, path: str, suffix: str) -> None:
     """Write the bytes of column ``record``, each followed by ``suffix``."""
-    records.select(F.col("record").cast("string")).write.option("lineSep", suffix).option("compression", "gzip").text(path)
+    out = records.select(F.col("record").cast("string")).write.option("lineSep", suffix)
+    out.option("compression", "gzip").option("zlib.compress.level", GZIP_LEVEL).text(path)
 
 
 def write_arc(rows: DataFrame, path: str, version: int = 1, id_col: str = "page_id", url_col: str = "url", body_col: str = "html") -> None:
@@ -139,11 +143,14 @@ def _names(schema: str) -> list[str]:
 
 
 def read_arc(spark: SparkSession, *paths: str) -> DataFrame:
-    """A row per record of the archives under the paths."""
+    """A row per record of the archives under the paths, with the digest of its payload, the
+    page id its HTTP header names, and the id that it has as a WARC record."""
 
     def parse(path, stream):
         for at, version, url, ip, date, kind, block in arc_records(stream):
-            yield path, at, version, url, ip, date, kind, *_split_http(block)
+            http, payload = _split_http(block)
+            digest, page = sha1_base32(payload), _header(http, "X-Page-Id")
+            yield path, at, version, url, ip, date, kind, http, payload, digest, page, warc_id(path, url, date, at, digest, page)
 
     return _parsed(spark.read.format("binaryFile").load(list(paths)), parse, _names(ARC_SCHEMA), ARC_SCHEMA)
 
@@ -156,8 +163,8 @@ def _header(http: bytes, name: str) -> str | None:
     return None
 
 
-def warc_id(url: str, date: str, offset: int, digest: str, page) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {offset} {digest} {page}')}>"
+def warc_id(file: str, url: str, date: str, offset: int, digest: str, page) -> str:
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{file} {url} {date} {offset} {digest} {page}')}>"
 
 
 def warc_record(headers: dict, block: bytes) -> bytes:
@@ -165,31 +172,38 @@ def warc_record(headers: dict, block: bytes) -> bytes:
     return f"WARC/1.0\r\n{lines}Content-Length: {len(block)}\r\n\r\n".encode("utf-8", "surrogatepass") + block
 
 
-def decisions(records: DataFrame, min_bytes: int = 0) -> DataFrame:
-    """arc_file, offset, refers_to_id: the record that a record revisits, or null.
+def arc_index(spark: SparkSession, *paths: str) -> DataFrame:
+    """record_id, payload_digest, page_id, payload_bytes of the archives' records; payloads stay in the parsing task."""
+
+    def parse(path, stream):
+        for at, _, url, _, date, _, block in arc_records(stream):
+            http, payload = _split_http(block)
+            digest, page = sha1_base32(payload), _header(http, "X-Page-Id")
+            yield warc_id(path, url, date, at, digest, page), digest, page, len(payload)
+
+    return _parsed(spark.read.format("binaryFile").load(list(paths)), parse, _names(INDEX_SCHEMA), INDEX_SCHEMA)
 
-    Only ids, lengths and digests move; digests are counted before the shuffle, and
-    the rows of repeated payloads meet their response by salted keys."""
 
-    def small(batches):
-        for pdf in batches:
-            page = [_header(h, "X-Page-Id") for h in pdf["http"]]
-            digest = [sha1_base32(p) for p in pdf["payload"]]
-            ids = [warc_id(*x) for x in zip(pdf["url"], pdf["archive_date"], pdf["offset"], digest, page, strict=True)]
-            yield pd.DataFrame({"arc_file": pdf["arc_file"], "offset": pdf["offset"], "page_id": pd.array([None if p is None else int(p) for p in page], "Int64"), "digest": digest, "n": [len(p) for p in pdf["payload"]], "id": ids})
+def decisions(index: DataFrame, min_bytes: int = 0) -> DataFrame:
+    """record_id, refers_to_id of the records of ``index`` that revisit another one.
 
-    keys = saved(records.mapInPandas(small, "arc_file string, offset long, page_id long, digest string, n long, id string"))
-    first = keys.filter(F.col("n") >= min_bytes).groupBy("digest").agg(F.count("*").alias("c"), F.max(F.struct(F.coalesce(F.col("page_id"), F.lit(-(1 << 62))).alias("p"), "id", "arc_file", "offset")).alias("r")).filter("c > 1")
-    first = first.select("digest", F.col("r.id").alias("rid"), F.col("r.arc_file").alias("rf"), F.col("r.offset").alias("ro"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
-    rows = keys.withColumn("salt", F.pmod(F.xxhash64("arc_file", "offset"), F.lit(16)).cast("int"))
-    own = (F.col("rf") == F.col("arc_file")) & (F.col("ro") == F.col("offset"))
-    return rows.join(first, ["digest", "salt"], "left").select("arc_file", "offset", "id", "digest", F.when(~own, F.col("rid")).alias("refers_to_id"))
+    Digests are counted before the shuffle, and the rows of repeated payloads meet their
+    response by salted keys."""
+    page = F.col("page_id").cast("long").alias("page")
+    keys = saved(index.select("record_id", F.col("payload_digest").alias("digest"), page, F.col("payload_bytes").alias("n")).filter(F.col("n") >= min_bytes))
+    first = keys.groupBy("digest", "n").agg(F.count("*").alias("c"), F.max(F.struct(F.coalesce(F.col("page"), F.lit(-(1 << 62))).alias("p"), "record_id")).alias("r")).filter("c > 1")
+    first = first.select("digest", "n", F.col("r.record_id").alias("refers_to_id"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
+    rows = keys.select("record_id", "digest", "n", F.pmod(F.xxhash64("record_id"), F.lit(16)).cast("int").alias("salt"))
+    return rows.join(first, ["digest", "n", "salt"]).filter("record_id <> refers_to_id").select("record_id", "refers_to_id")
 
 
-def to_warc(records: DataFrame, path: str, min_bytes: int = 0) -> None:
+def to_warc(records: DataFrame, path: str, min_bytes: int = 0, index: DataFrame | None = None) -> None:
     """Write ARC records as WARC records: a response each, or a revisit that keeps
-    the HTTP header but not the payload."""
-    judged = records.join(decisions(records, min_bytes), ["arc_file", "offset"])
+    the HTTP header but not the payload.  ``index``: ``arc_index`` of the same archives, which
+    spares a pass that moves payloads."""
+    if index is None:
+        index = records.withColumn("payload_bytes", F.octet_length("payload").cast("long"))
+    judged = records.join(decisions(index, min_bytes), "record_id", "left")
 
     def convert(batches):
         info = [warc_record({"WARC-Type": "warcinfo", "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, 'warcinfo')}>", "WARC-Date": "2000-01-01T00:00:00Z", "Content-Type": "application/warc-fields"}, b"software: hourglass\r\n")]
@@ -202,11 +216,11 @@ def to_warc(records: DataFrame, path: str, min_bytes: int = 0) -> None:
                     warc_record(
                         {
                             "WARC-Type": "revisit" if revisit else "response" if r.http else "resource",
-                            "WARC-Record-ID": r.id,
+                            "WARC-Record-ID": r.record_id,
                             "WARC-Date": f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z",
                             "WARC-Target-URI": r.url,
                             "WARC-IP-Address": r.ip,
-                            "WARC-Payload-Digest": f"sha1:{r.digest}",
+                            "WARC-Payload-Digest": f"sha1:{r.payload_digest}",
                             "WARC-Block-Digest": f"sha1:{sha1_base32(block)}",
                             "Payload-Length": len(r.payload),
                             "WARC-Refers-To": r.refers_to_id if revisit else None,

@@ -52,7 +52,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     archives.write_arc(pages.filter(~odd), arcs[0], version=1)
     archives.write_arc(pages.filter(odd), arcs[1], version=2)
     out = shared_path(spark, "warc")
-    archives.to_warc(archives.read_arc(spark, *arcs), out)
+    archives.to_warc(archives.read_arc(spark, *arcs), out, index=archives.arc_index(spark, *arcs))
     records = archives.read_warc(spark, out).drop("http", "payload")
     # A response may stand for a third of all pages: its row is repeated by salt.
     target = records.filter("record_type = 'response'").select(F.col("record_id").alias("refers_to_id"), F.col("page_id").alias("refers_to"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("salt"))
