@@ -1,6 +1,7 @@
 """Mixing sources to target weights by hash-threshold histograms.
 
-Every document gets a 60-bit hash of its id.  A source takes each document
+Every document gets a 60-bit hash of its id, text and source, and of its number among the rows
+that share those (so rows without an id, with one id or with all alike are spread like others).  A source takes each document
 ``floor(target / size)`` whole times; of what is left, it takes the documents
 whose hash lies below a threshold.  The threshold comes from nested histograms:
 words summed by (source, hash bucket), the bucket in which the budget ends, then
@@ -8,8 +9,8 @@ the same within that bucket alone, until it holds one hash.  No rows are sorted,
 and a larger budget always takes a superset of a smaller one.
 
 Cases: null text counts no words; a null source is a source of its own and comes
-last; rows with one id share a hash and are taken together; a source without
-words has target 0; an empty table gives an empty result.  Extra columns are
+last; which of the rows that agree in id, text and source are taken is left open, how many is
+not; a source without words has target 0; an empty table gives an empty result.  Extra columns are
 ignored.
 """
 
@@ -29,9 +30,29 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def id_hash(c: Column) -> Column:
-    """The first 60 bits of the id's MD5, as a long."""
-    return F.conv(F.substring(F.md5(F.coalesce(c.cast("string"), F.lit(""))), 1, HASH_BITS // 4), 16, 10).cast("long")
+def row_key(doc_id: Column, text: Column, source: Column) -> Column:
+    """A digest of what tells documents apart: id, text and source."""
+    text_digest = F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+    return F.md5(F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("-")), text_digest, F.coalesce(source.cast("string"), F.lit("-"))))
+
+
+def row_hash(key: Column, number: Column) -> Column:
+    """The first 60 bits of the MD5 of a row's key and its number among the rows of that key, as a long."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", key, number.cast("string"))), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def numbers(rows: DataFrame) -> DataFrame | None:
+    """_n, number (from 1) of the written ``rows`` (_key, _n: a number of each row by partition and place)
+    whose key repeats; None where none does.  Repeats are counted before the shuffle and numbered
+    by partition, so a key of a third of all rows is split."""
+    twice = saved(rows.groupBy("_key").agg(F.count("*").alias("_c")).filter("_c > 1").select("_key"))
+    if not twice.take(1):
+        return None
+    placed = rows.select("_key", "_n", F.shiftright("_n", 33).alias("_piece"))
+    before = F.coalesce(F.sum("_c").over(W.partitionBy("_key").orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    parts = placed.groupBy("_key", "_piece").agg(F.count("*").alias("_c")).join(twice, "_key").select("_key", "_piece", before.alias("_before"))
+    within = F.row_number().over(W.partitionBy("_key", "_piece").orderBy("_n"))
+    return placed.join(parts, ["_key", "_piece"]).select("_n", (F.col("_before") + within).alias("number"))
 
 
 def ranked(totals: DataFrame, key: str) -> DataFrame:
@@ -113,7 +134,19 @@ def plan(rows: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, b
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
-    return saved(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), id_hash(F.col(id_col)).alias("h")))
+    """doc_id, source, size, h, _n of ``docs``, written."""
+    key = row_key(F.col(id_col), F.col(text_col), F.col(source_col))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"), key.alias("_key"))
+    return _hashed(saved(rows.withColumn("_n", F.monotonically_increasing_id())))
+
+
+def _hashed(rows: DataFrame) -> DataFrame:
+    """Written ``rows`` (_key, _n) with h instead of _key."""
+    several = numbers(rows)
+    if several is None:
+        return rows.withColumn("h", row_hash(F.col("_key"), F.lit(1))).drop("_key")
+    h = row_hash(F.col("_key"), F.coalesce("number", F.lit(1)))
+    return saved(rows.join(several, "_n", "left").withColumn("h", h).drop("_key", "number"))
 
 
 def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
@@ -126,9 +159,18 @@ def mix(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bi
 
 
 def mixed(docs: DataFrame, weights=(5, 2, 1), cap: int = 3, share: float = 1.0, bits: int = 12, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """``docs`` with each row as often as the mix takes it; the rows stay where they are,
-    only the sources' thresholds travel."""
-    p = plan(_rows(docs, id_col, text_col, source_col), weights, cap, share, bits).select(F.col("source").alias("_source"), F.struct("whole", "threshold").alias("_plan"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).withColumn("_source", F.col(f"_doc.{source_col}"))
-    out = join_small(whole, p, "_source").withColumn("_copies", (F.col("_plan.whole") + F.when(id_hash(F.col(f"_doc.{id_col}")) < F.col("_plan.threshold"), 1).otherwise(0)).cast("int"))
+    """``docs`` with each row as often as the mix takes it.  The rows stay where they are and only the
+    sources' thresholds travel, unless rows repeat id, text and source: then they are written once
+    with numbers of their own and meet those by them."""
+    doc = lambda c: F.col(f"_doc.`{c}`")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")).withColumn("_key", row_key(doc(id_col), doc(text_col), doc(source_col)))
+    small = saved(whole.select("_key", doc(source_col).alias("source"), word_count(doc(text_col)).alias("size")).withColumn("_n", F.monotonically_increasing_id()))
+    if numbers(small) is None:
+        rows, whole = _hashed(small), whole.withColumn("_h", row_hash(F.col("_key"), F.lit(1)))
+    else:
+        whole = saved(whole.withColumn("_n", F.monotonically_increasing_id()))
+        rows = _hashed(whole.select("_key", "_n", doc(source_col).alias("source"), word_count(doc(text_col)).alias("size")))
+        whole = whole.join(rows.select("_n", F.col("h").alias("_h")), "_n")
+    p = plan(rows, weights, cap, share, bits).select(F.col("source").alias("_source"), F.struct("whole", "threshold").alias("_plan"))
+    out = join_small(whole.withColumn("_source", doc(source_col)), p, "_source").withColumn("_copies", (F.col("_plan.whole") + F.when(F.col("_h") < F.col("_plan.threshold"), 1).otherwise(0)).cast("int"))
     return out.filter("_copies > 0").select("_doc", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select("_doc.*")

@@ -63,8 +63,9 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _MIX_SQL = r"""
-WITH RECURSIVE d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 15))::BIGINT AS h FROM documents),
+WITH RECURSIVE k AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+                  md5(coalesce(doc_id::VARCHAR, '-') || '|' || md5(coalesce(text, '')) || '|' || coalesce(source, '-')) AS k FROM documents),
+d AS (SELECT doc_id, source, size, ('0x' || substr(md5(k || '|' || row_number() OVER (PARTITION BY k)), 1, 15))::BIGINT AS h FROM k),
 t AS (SELECT source, sum(size)::DOUBLE AS s, [5.0, 2.0, 1.0][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1]::DOUBLE AS w FROM d GROUP BY source),
 r AS (SELECT sum(s) AS budget, sum(w) AS free, 0::BIGINT AS capped, -1::BIGINT AS before FROM t
       UNION ALL

@@ -102,6 +102,24 @@ def test_mixing_targets_thresholds_and_repeats(spark):
     assert mixing.mix(df.limit(0)).count() == 0 and mixing.mixed(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("alike", ["no ids", "one id", "one id and text"])
+def test_mixing_splits_rows_without_an_id_and_repeated_ones(spark, alike):
+    rng = np.random.default_rng(8)
+    text = lambda: " ".join(["w"] * int(rng.integers(1, 40)))
+    rows = [(i, text() + f" x{i}", f"s{i % 3}", 0) for i in range(600)]
+    same = text()
+    rows += [(None if alike == "no ids" else 7, same if alike == "one id and text" else text() + f" y{i}", f"s{i % 4 // 2}", 0) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, h int").selectExpr("*", "h AS _key", "h AS _n", "h AS _doc", "h AS number", "h AS _h", "h AS size", "h AS whole").repartition(5)
+    got = mixing.mix(df).toPandas()
+    per = got.groupby("source").agg(target=("target", "first"), taken=("taken", "sum"), most=("size", "max"))
+    assert len(got) == 900 and ((per["taken"] - per["target"]).abs() <= per["most"] / 2 + 1e-9).all()
+    key = lambda d: sorted(map(tuple, d[["doc_id", "source", "size", "taken"]].astype(str).to_numpy()))
+    assert key(got) == key(mixing.mix(df.repartition(2)).toPandas())
+    whole = mixing.mixed(df)
+    assert whole.columns == df.columns
+    assert sorted(map(str, whole.groupBy("source").count().collect())) == sorted(f"Row(source='{s}', count={n})" for s, n in got.groupby("source")["copies"].sum().items())
+
+
 def test_mixing_beyond_the_broadcast_bound(spark, monkeypatch):
     import hourglass.llm.common as common
 
