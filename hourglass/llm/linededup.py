@@ -24,7 +24,7 @@ All of it is DataFrame functions.  The edit bound is 0 or 1: the variants of two
 edits grow with the square of the length.
 
 Cases: null texts have no lines; empty and blank lines stay and are never compared;
-lines of fewer than ``min_chars`` characters go only if they repeat exactly; rows
+lines of fewer than ``min_chars`` characters (none by default) go only if they repeat exactly; rows
 with equal ids follow each other in the order they are read; null ids come last; very
 long lines are compared whole; an empty table gives an empty result.  Extra columns
 are ignored.
@@ -51,29 +51,34 @@ def _rest(line: Column, size: Column, a: Column, b: Column) -> list[Column]:
     return [F.substring(line, F.lit(1), a), F.when(keep > 0, F.substring(line, F.char_length(line) - keep + 1, keep)).otherwise("")]
 
 
-def _shared(states: DataFrame, key: list[Column]) -> DataFrame:
-    """The states (id, size, a, b) whose key another line has too."""
-    keyed = states.withColumn("key", F.xxhash64("size", "a", "b", *key)).select("id", "size", "a", "b", "key")
+def _shared(states: DataFrame, key: list[Column], own: list[str]) -> DataFrame:
+    """The states (``own`` columns, id first) whose key (of size, a, b and ``key``) another line has too."""
+    keyed = states.withColumn("key", F.xxhash64("size", "a", "b", *key)).select(*own, "key")
     many = keyed.groupBy("key").agg(F.min("id").alias("_x"), F.max("id").alias("_y")).filter("_x <> _y").select("key")
     return keyed.join(many, "key").drop("key")
 
 
-def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
+def near_lines(lines: DataFrame, min_chars: int = 1) -> DataFrame:
     """id, earlier, h, g: for each line the id of the earliest line (by ``pos``) within one
     edit, if that is earlier.  ``lines``: id, line, pos, all lines different."""
     src = lines.filter(F.char_length("line") >= min_chars).select("id", "line", "pos")
     size = F.char_length("line")
     # ``size`` is the shorter line's length: a line's own, or one less as the longer one.
-    halves = F.explode(F.array(*[F.struct((size - d).cast("int").alias("size"), F.lit(h).alias("h")) for d in (0, 1) for h in (0, 1)]))
-    first = src.select("id", "line", halves.alias("s")).select("id", "line", "s.size", "s.h")
+    # A state of the first step is told by a small number: twice the size's difference, and the half.
+    tags = F.explode(F.array(*[F.lit(t).cast("byte") for t in range(4)]))
     middle = F.floor(F.col("size") / 2).cast("int")
-    first = first.withColumn("a", F.when(F.col("h") == 0, 0).otherwise(middle)).withColumn("b", F.when(F.col("h") == 0, middle).otherwise(F.col("size")))
+    half = F.col("tag") % 2
+
+    def first_states(rows):
+        rows = rows.withColumn("size", (size - F.floor(F.col("tag") / 2)).cast("int"))
+        return rows.withColumn("a", F.when(half == 0, 0).otherwise(middle)).withColumn("b", F.when(half == 0, middle).otherwise(F.col("size")))
+
     line, n, a, b = F.col("line"), F.col("size"), F.col("a"), F.col("b")
-    left = saved(_shared(first, _rest(line, n, a, b)))
+    left = saved(_shared(first_states(src.select("id", "line", tags.alias("tag"))), _rest(line, n, a, b), ["id", "tag"]))
     cut = lambda k: (F.col("a0") + F.floor((F.col("b0") - F.col("a0")) * k / PARTS)).cast("int")
-    second = left.join(src.select("id", "line"), "id").withColumnsRenamed({"a": "a0", "b": "b0"}).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
+    second = first_states(left.join(src.select("id", "line"), "id")).withColumnsRenamed({"a": "a0", "b": "b0"}).withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1))))
     second = second.withColumn("a", cut(F.col("k"))).withColumn("b", cut(F.col("k") + 1)).filter("b > a or a0 = b0")
-    left = saved(_shared(second, _rest(line, n, a, b)))
+    left = saved(_shared(second, _rest(line, n, a, b), ["id", "size", "a", "b"]))
     last = left.join(src, "id")
     own = last.filter(F.char_length("line") == n)
     drop = [F.substring(line, F.lit(1), F.col("i")), F.substring(line, F.col("i") + 2, F.char_length(line))]
@@ -90,7 +95,7 @@ def near_lines(lines: DataFrame, min_chars: int = 16) -> DataFrame:
     return pair.filter(F.levenshtein("line", "other", 1).between(0, 1)).select("id", "earlier", *_hashes("line"))
 
 
-def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, row, n_lines, removed (places from 0, in order): the lines of each document that go.
 
     ``docs`` is read more than once and its rows are told apart by their place, so it
@@ -114,7 +119,7 @@ def line_decisions(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col:
     return count.unionByName(empty).join(gone, "row", "left").select("doc_id", "row", "n_lines", F.coalesce("removed", F.array().cast("array<int>")).alias("removed"))
 
 
-def dedup_lines(docs: DataFrame, edits: int = 1, min_chars: int = 16, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, edits: int = 1, min_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the lines that go taken out of the text."""
     docs = saved(docs)
     rows = docs.withColumn("_row", F.monotonically_increasing_id())

@@ -176,9 +176,12 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS place FROM documents WHERE text IS NOT NULL),
     f AS (SELECT * FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
     d AS (SELECT line, min((doc_id, place)) AS pos, length(line) AS n FROM f GROUP BY line),
-    k AS (SELECT *, m, unnest([(m, 'p' || left(line, m // 2)), (m, 's' || right(line, m - m // 2))]) AS key FROM d, LATERAL (SELECT unnest([n, n - 1]) AS m) WHERE n >= 16),
+    k AS (SELECT *, m, unnest([(m, 'p' || left(line, m // 2)), (m, 's' || right(line, m - m // 2))]) AS key FROM d, LATERAL (SELECT unnest([n, n - 1]) AS m)),
     p AS (SELECT DISTINCT x.line AS line, y.line AS other FROM k x JOIN k y ON x.key = y.key AND y.pos < x.pos AND abs(x.n - y.n) <= 1),
-    near AS (SELECT DISTINCT line FROM p WHERE levenshtein(line, other) <= 1),
+    -- levenshtein() counts bytes here, of which an edited character has up to 4: the edit is looked for by character
+    near AS (SELECT DISTINCT line FROM p WHERE levenshtein(line, other) <= 4 AND len(list_filter(range(greatest(length(line), length(other))), lambda i:
+        CASE WHEN length(line) = length(other) THEN left(line, i) || substr(line, i + 2) = left(other, i) || substr(other, i + 2)
+             WHEN length(line) > length(other) THEN left(line, i) || substr(line, i + 2) = other ELSE left(other, i) || substr(other, i + 2) = line END)) > 0),
     g AS (SELECT f.doc_id, f.place FROM f JOIN d USING (line) WHERE d.pos <> (f.doc_id, f.place) OR line IN (SELECT line FROM near)),
     r AS (SELECT doc_id, count(*) AS n_removed, string_agg(place::VARCHAR, ',' ORDER BY place) AS removed FROM g GROUP BY doc_id)
     SELECT doc_id, coalesce(len(string_split(text, chr(10))), 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(removed, '') AS removed
@@ -186,7 +189,7 @@ def op8_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """,
 )
 def op1_linededup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.line_decisions(table(spark, sf_dir, "documents"), edits=1, min_chars=16)
+    out = linededup.line_decisions(table(spark, sf_dir, "documents"), edits=1)
     return out.select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed"))
 
 

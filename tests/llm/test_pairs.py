@@ -43,7 +43,7 @@ def test_line_decisions_against_brute_force(spark):
         for k, line in enumerate(text.split("\n") if text is not None else []):
             if not line.strip():
                 continue
-            if any(s == line or (min(len(s), len(line)) >= 16 and distance_one(s, line)) for s in seen):
+            if any(s == line or distance_one(s, line) for s in seen):
                 gone.append(k)
             seen.append(line)
         assert got[i] == (0 if text is None else len(text.split("\n")), gone), i
@@ -51,6 +51,25 @@ def test_line_decisions_against_brute_force(spark):
     assert kept[42] == "a" * 3000 and kept[40] is None and len(kept) == len(docs)
 
 
+def test_lines_of_every_length_against_brute_force(spark):
+    rng = np.random.default_rng(12)
+    lines = [""] + ["".join(rng.choice(list("abé"), n)) for n in range(1, 41) for _ in range(3)]
+    lines += [edited(rng, x) for x in lines[1:]] + ["a", "b", "ab", "ba", "x" * 40, "x" * 39 + "y"]
+    docs = [(i, "\n".join(map(str, rng.choice(lines, 7)))) for i in range(60)]
+    df = saved(spark.createDataFrame(docs, "doc_id long, text string"))
+    for least in (1, 12):
+        got = {r.doc_id: r.removed for r in linededup.line_decisions(df, min_chars=least).collect()}
+        seen: set[str] = set()
+        for i, text in docs:
+            gone = []
+            for k, line in enumerate(text.split("\n")):
+                if line.strip():
+                    if line in seen or any(min(len(s), len(line)) >= least and distance_one(s, line) for s in seen):
+                        gone.append(k)
+                    seen.add(line)
+            assert got[i] == gone, (least, i)
+
+
 def test_lines_of_repeated_rows_null_ids_and_empty_tables(spark):
     line = "this line is long enough to compare"
     df = spark.createDataFrame([(1, line), (1, line), (None, line + "!")], "doc_id long, text string").coalesce(1)
