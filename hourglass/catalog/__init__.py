@@ -46,5 +46,6 @@ def load_all() -> None:
         q_model,
         q_ordering,
         q_sources,
+        q_long,
         q_trees,
     )
