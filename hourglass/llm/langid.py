@@ -241,10 +241,13 @@ def model_of(top: DataFrame, order: int, slots: int) -> Model:
             ctx = d.groupBy(F.shiftrightunsigned("code", 16).alias("ctx")).agg(_by_lang(F.col("n"), langs).alias("total"), _by_lang(F.lit(1), langs).alias("kinds"))
             m.tables.append((saved(d.groupBy("code").agg(_by_lang(F.col("n"), langs).alias("n"))), saved(ctx)))
         return m
-    pdf = sums.toPandas()  # at most ``slots`` rows an order
+    # At most ``slots`` rows an order, as plain number columns (Arrow): the driver makes no object of a row.
+    names = F.array(*[F.lit(x) for x in langs]) if langs else F.array(F.lit(""))
+    got = sums.select("k", "code", "n", (F.array_position(names, F.col("lang")) - 1).cast("short").alias("lang")).toArrow()
+    order_of = got.column("k").to_numpy()
     for k in range(1, order + 1):
-        a = pdf[pdf["k"] == k]
-        code, lang, n = a["code"].to_numpy(np.int64).view(np.uint64), pd.Index(langs).get_indexer(a["lang"]), a["n"].to_numpy()
+        a = got.filter(pa.array(order_of == k))
+        code, lang, n = a["code"].to_numpy().astype(np.int64).view(np.uint64), a["lang"].to_numpy(), a["n"].to_numpy()
         keys, grid = _grid(code, lang, n, len(langs))
         m.keys.append(keys)
         m.counts.append(grid)
