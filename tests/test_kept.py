@@ -8,7 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 import pytest
 from pyspark.sql import functions as F
 
-from hourglass.operators.guards import ContractError
+from hourglass.operators.guards import ContractError, write_checked
 from hourglass.operators.joins import latest_features
 from hourglass.plans import ledger as L
 from hourglass.sources import claims, kept
@@ -144,3 +144,19 @@ def test_ledger_gives_versions_and_orders_aliases(spark, tmp_path):
     assert (found.model, found.version, found.metrics["rmse"]) == ("y", 5, 0.5)
     with pytest.raises(ContractError):
         L.register_runs(runs(1.0, 1.0).withColumn("model", F.lit("x")), path)
+
+
+def test_checked_write_keeps_only_tables_that_pass(spark, tmp_path):
+    df = _df(spark, [("x", T0, 1.0, "a"), ("y", T0, None, "b")])
+    path = str(tmp_path / "t")
+    with pytest.raises(ContractError, match=r"Null values in columns: \['v'\]"):
+        write_checked(df, path, not_null=["location_id", "v"], rows=2, cols=4)
+    with pytest.raises(ContractError, match="Expected 3 rows, found 2"):
+        write_checked(df, path, rows=3)
+    with pytest.raises(ContractError, match="columns"):
+        write_checked(df, path, cols=5)
+    assert os.listdir(tmp_path) == []
+    assert write_checked(df, path, not_null=["note"], rows=2, cols=4).count() == 2
+    assert write_checked(df.filter("v > 5"), f"{path}2", not_null=["v"], rows=0).count() == 0
+    with pytest.raises(ContractError, match="there already"):
+        write_checked(df, path)
