@@ -12,8 +12,11 @@ the same one included); every byte under a repeat is removed.
    counted before the shuffle, and one of each stands for all.
 3. The different contexts of an anchor are laid in one shard text.  Its suffix
    array (induced sorting) and permuted common prefixes show the repeated starts.
-   Anchors with more than ``hot`` different contexts are not laid in one shard:
-   the strings of their starts are grouped by 128-bit fingerprints instead.
+   An anchor with more than ``hot`` different contexts is split first: the places that
+   it can have in a string are halved, and the starts of a half share the bytes that all
+   strings with the anchor at those places cover.  Those bytes are the half's own anchor,
+   so equal strings stay together; step 2 is applied to it again, and so on down to
+   one place, where the shared bytes are the whole string.
 
 Every count covers all documents; no anchor or context is dropped.  Texts cross
 the network once, and once more for documents with contexts to sort.
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,6 +45,7 @@ GRAM = 64
 PIECE = 1 << 20
 SHARD = 1 << 18
 SEPARATOR = b"\xff"  # in no UTF-8 text
+SORTED = ["doc_id", "t", "h", "copies", "lo", "n", "ctx"]
 C1, C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -182,22 +187,56 @@ def _sorted_shards(contexts: DataFrame, length: int) -> DataFrame:
     return contexts.mapInPandas(run, "doc_id string, t long, a int, b int")
 
 
-def _fingerprints(contexts: DataFrame, length: int) -> DataFrame:
-    """A row per start of the contexts: two hashes of its string."""
+def _hash(*parts) -> int:
+    h = hashlib.blake2b(digest_size=8)
+    for p in parts:
+        h.update(p if isinstance(p, bytes) else b"%d|" % p)
+    return int.from_bytes(h.digest(), "little", signed=True)
+
+
+def _halves(contexts: DataFrame, length: int) -> DataFrame:
+    """Each context's starts by the two halves of the places p0 to p1 that the anchor may
+    have in a string.  ``first`` is its place in the context's first string (-1: not known yet)."""
 
     def run(batches):
         for pdf in batches:
+            rows = []
             for r in pdf.itertuples():
-                data = np.frombuffer(r.ctx, np.uint8)
-                yield pd.DataFrame({"doc_id": r.doc_id, "t": r.t, "a": r.lo + np.arange(r.n), "copies": r.copies, "f": window_hashes(data, length, 5).view(np.int64), "g": window_hashes(data, length, 6).view(np.int64)})
-
-    return contexts.mapInPandas(run, "doc_id string, t long, a int, copies long, f long, g long")
+                first = r.first if r.first >= 0 else int(window_hashes(np.frombuffer(r.ctx[:length], np.uint8), GRAM, 77).argmin())
+                mid = (r.p0 + r.p1) // 2
+                cut = min(max(first - mid + 1, 0), r.n)  # starts before it have the anchor at mid or later
+                for p0, p1, a, b in ((mid, r.p1, 0, cut), (r.p0, mid, cut, r.n)):
+                    if b > a:
+                        ctx = r.ctx[a : b - 1 + length]
+                        core = r.ctx[first - p0 : first - p1 + 1 + length]
+                        rows.append((r.doc_id, r.t, _hash(r.h, p0, p1, core), _hash(ctx), r.copies, r.lo + a, b - a, first - a, p0, p1, ctx))
+            yield pd.DataFrame(rows, columns=["doc_id", "t", "h", "c", "copies", "lo", "n", "first", "p0", "p1", "ctx"])
+
+    return contexts.mapInPandas(run, "doc_id string, t long, h long, c long, copies long, lo int, n int, first int, p0 int, p1 int, ctx binary")
+
+
+def _split(contexts: DataFrame, length: int, hot: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Contexts of anchors with more than ``hot`` different ones, split until none has more:
+    the runs of repeated starts met on the way, and the contexts to sort."""
+    level = contexts.withColumns({"first": F.lit(-1), "p0": F.lit(0), "p1": F.lit(length - GRAM + 1)})
+    starts, cold = [], []
+    while True:
+        parts = saved(_halves(level, length))
+        one = saved(parts.groupBy("h", "c").agg(F.sum("copies").alias("copies"), F.min(F.struct("t", "doc_id", "lo", "n", "first", "p0", "p1", "ctx")).alias("r")))
+        again = _salted(parts.filter("copies = 1").select("doc_id", "t", "h", "c", "lo", "n"), one.filter("copies > 1").select("h", "c"), ["h", "c"])
+        starts.append(again.select("doc_id", "t", F.col("lo").alias("a"), (F.col("lo") + F.col("n")).alias("b")))
+        sizes = saved(one.groupBy("h").agg(F.count("*").alias("variants")).filter("variants > 1"))
+        left = _salted(one.select("h", "copies", "r.*"), sizes, ["h"])
+        cold.append(left.filter(F.col("variants") <= hot).select(SORTED))
+        level = left.filter(F.col("variants") > hot)
+        if not sizes.filter(F.col("variants") > hot).take(1):
+            return starts, cold
 
 
 def _salted(rows: DataFrame, keys: DataFrame, on: list[str], salts: int = 8) -> DataFrame:
     """Inner join to unique keys of which one may hold a third of the rows."""
     k = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "t"), F.lit(salts)).cast("int")).join(k, [*on, "_salt"]).drop("_salt")
+    return rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id", "t", "lo"), F.lit(salts)).cast("int")).join(k, [*on, "_salt"]).drop("_salt")
 
 
 def _finish(batches, length: int):
@@ -251,12 +290,11 @@ def repeated_passages(docs: DataFrame, length: int = 200, hot: int = 4096, id_co
     spread = pending.select("doc_id", "t", "text", "asks").mapInPandas(cut, "doc_id string, t long, h long, copies long, variants long, lo int, n int, ctx binary")
     total = contexts.join(mixed, "h").agg(F.sum(F.col("r.n") + length)).first()[0] or 0
     parts = max(spark_parts(docs), int(total // (8 * SHARD)) + 1)
-    cold = spread.filter(F.col("variants") <= hot).repartition(parts, "h").sortWithinPartitions("h")
-    starts = _sorted_shards(cold, length)
+    cold, starts = spread.filter(F.col("variants") <= hot).select(SORTED), []
     if mixed.filter(F.col("variants") > hot).take(1):
-        prints = saved(_fingerprints(spread.filter(F.col("variants") > hot), length))
-        twice = prints.groupBy("f", "g").agg(F.sum("copies").alias("_c")).filter("_c > 1").select("f", "g")
-        starts = starts.unionByName(_salted(prints.filter("copies = 1"), twice, ["f", "g"]).select("doc_id", "t", "a", (F.col("a") + 1).cast("int").alias("b")))
+        starts, split = _split(spread.filter(F.col("variants") > hot).select(SORTED), length, hot)
+        cold = reduce(DataFrame.unionByName, split, cold)
+    starts = reduce(DataFrame.unionByName, starts, _sorted_shards(cold.repartition(parts, "h").sortWithinPartitions("h"), length))
     more = null_safe(starts.groupBy("doc_id", "t").agg(F.collect_list(F.array("a", "b")).alias("more"))).withColumnRenamed("doc_id", "_k")
     both = pending.join(more, (F.coalesce(pending["doc_id"], F.lit("-")) == F.col("_k")) & (pending["t"] == more["t"]), "left")
     merged = both.select(pending["doc_id"], "text", F.concat(F.coalesce("runs", F.array().cast("array<int>")), F.coalesce(F.flatten("more"), F.array().cast("array<int>"))).alias("runs"))

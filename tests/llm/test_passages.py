@@ -47,12 +47,23 @@ def run(spark, texts, **kw):
     return [(got[i].n_bytes, got[i].n_removed, got[i].n_spans, got[i].kept_sha256) for i in range(len(texts))]
 
 
-@pytest.mark.parametrize("hot", [4096, 1])
+@pytest.mark.parametrize("hot", [4096, 20, 1])
 def test_passages_against_brute_force(spark, hot):
     texts = texts_of(np.random.default_rng(3), 90)
     assert run(spark, texts, length=200, hot=hot) == brute(texts, 200)
 
 
+def test_anchor_with_ten_thousand_contexts(spark):
+    """One passage of 90 bytes between different texts: more contexts than one shard takes, by the default limit."""
+    rng = np.random.default_rng(9)
+    mark = "".join(rng.choice(list("abcdefgh"), 90))
+    sides = ["".join(x) for x in rng.choice(list("stuvwxyz"), (10_000, 160))]
+    texts = [s[:80] + mark + s[80:] for s in sides]
+    # equal strings on one side of the passage only, and within a longer text
+    texts += [sides[1][20:80] + mark + sides[1][80:] + "!", "?" + sides[2][:80] + mark + sides[2][80:120], "~" * 150 + sides[3][:80] + mark + sides[3][80:]]
+    assert run(spark, texts, length=200) == brute(texts, 200)
+
+
 def test_repeated_rows_and_empty_table(spark):
     df = spark.createDataFrame([(1, "p" * 300)] * 3 + [(None, "q" * 250), (None, "q" * 250)], "doc_id long, text string")
     got = repeated_passages(df).collect()
