@@ -1,15 +1,25 @@
 """Exact top-k inner-product search by dual cover trees.
 
-Rows are dealt into blocks of about ``block_rows`` by a hash of their place, and
-so are the queries.  For every pair of a query block and a row block one task
-indexes both sides as cover trees and walks them together: a pair of nodes is
-dropped when the largest inner product that their centres and covering radii
-allow is below the worst kth score of the query node.  A pair of blocks returns
-k rows a query; a last window keeps the best k.  Ties go to the smaller id.
+1. Cells.  At most ``cells`` rows, by their hash, are centres; every row lies in the
+   cell of its nearest centre, and a cell has a covering radius.  This is the shared top
+   of all trees; rows whose length no centre has lie in a cell around the origin.
+2. A first bound.  Every query meets one block of rows of the cell whose centre it scores
+   highest with; its kth score there is a lower bound of its kth score.
+3. A query goes to the cells whose centre and radius allow that bound, and to no other;
+   a cell that no query asks for is not read on.  Rows and queries of a cell are dealt into blocks of
+   ``block_rows``.  For each pair of blocks one task indexes both sides as cover trees and
+   walks them together: a pair of nodes is dropped when the largest inner product that
+   their centres and covering radii allow is below the worst kth score (or first bound) of
+   the query node.  A pair of blocks returns at most k rows a query; a last window keeps the best k.
+   Ties go to the smaller id.
+
+So a query is sent once per block of the cells that can beat its bound, and a row once per
+``block_rows`` queries that its cell's bound lets in.  Centres only decide the way: which rows
+they are changes no result.
 
 Vectors are integers here (``quantized``), so the scores are exact in doubles
-while they stay below 2**53; the bounds are widened by rounding slack, so
-pruning never loses a row.
+while squared lengths stay below 2**53 (checked: longer vectors fail by name); the
+bounds are widened by rounding slack, so pruning never loses a row.
 
 Cases: vectors that are null or hold null, NaN or infinite components take no
 part; vectors of other lengths than the query's are no candidates of it; an empty
@@ -30,6 +40,8 @@ from hourglass.llm.common import saved
 
 LAST = np.iinfo(np.int64).max
 LEAF = 48
+SCORES = 1 << 20  # scores held at a time
+EXACT = 2.0**53
 
 
 def quantized(vec: Column, scale: int = 1024) -> Column:
@@ -81,23 +93,29 @@ class CoverTree:
         return Node(center, radius, at, end, (at, at + len(mine)), children)
 
 
-def dual_search(queries: np.ndarray, q_rows: np.ndarray, data: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int):
+def dual_search(queries: np.ndarray, q_rows: np.ndarray, data: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, low: np.ndarray | None = None):
     """For each query the k best (score, id) among the data rows other than its own;
-    score -inf where there are fewer."""
+    score -inf where there are fewer.  Rows below a query's bound ``low`` may be left out."""
     qt, dt = CoverTree(queries), CoverTree(data)
     q, d = queries[qt.order], data[dt.order]
     qr, dr, di = q_rows[qt.order], rows[dt.order], ids[dt.order]
     score, best = np.full((len(q), k), -np.inf), np.full((len(q), k), LAST, np.int64)
-
-    def visit(a: slice, b: slice) -> None:
-        s = q[a] @ d[b].T
-        s[qr[a][:, None] == dr[b][None, :]] = -np.inf
-        if not (s >= score[a, -1][:, None]).any():
-            return
-        both = np.concatenate([score[a], s], 1)
-        name = np.concatenate([best[a], np.broadcast_to(di[b], s.shape)], 1)
-        pick = np.lexsort((name, -both), axis=-1)[:, :k]
-        score[a], best[a] = np.take_along_axis(both, pick, 1), np.take_along_axis(name, pick, 1)
+    limit = np.full(len(q), -np.inf) if low is None else low[qt.order].astype(np.float64)
+
+    def visit(a: int, z: int, b: slice) -> None:
+        step = max(1, SCORES // (b.stop - b.start))
+        for lo in range(a, z, step):
+            s = q[lo : min(z, lo + step)] @ d[b].T
+            s[qr[lo : lo + len(s)][:, None] == dr[b][None, :]] = -np.inf
+            hit = lo + np.flatnonzero((s >= limit[lo : lo + len(s)][:, None]).any(1))
+            if not len(hit):
+                continue
+            s = s[hit - lo]
+            both = np.concatenate([score[hit], s], 1)
+            name = np.concatenate([best[hit], np.broadcast_to(di[b], s.shape)], 1)
+            pick = np.lexsort((name, -both), axis=-1)[:, :k]
+            score[hit], best[hit] = np.take_along_axis(both, pick, 1), np.take_along_axis(name, pick, 1)
+            limit[hit] = np.maximum(limit[hit], score[hit, -1])
 
     def bound(m: Node, n: Node) -> float:
         qn, pn = np.linalg.norm(m.center), np.linalg.norm(n.center)
@@ -106,7 +124,7 @@ def dual_search(queries: np.ndarray, q_rows: np.ndarray, data: np.ndarray, ids:
     stack = [(np.inf, qt.root, dt.root)] if len(q) and len(d) else []
     while stack:
         most, m, n = stack.pop()
-        if most < score[m.lo : m.hi, -1].min():
+        if most < limit[m.lo : m.hi].min():
             continue
         if m.children and (m.radius >= n.radius or not n.children):
             pairs = [(c, n) for c in m.children]
@@ -114,7 +132,7 @@ def dual_search(queries: np.ndarray, q_rows: np.ndarray, data: np.ndarray, ids:
                 pairs.append((Node(m.center, m.radius, *m.own, m.own, []), n))
         else:
             if n.own[1] > n.own[0]:
-                visit(slice(m.lo, m.hi), slice(*n.own))
+                visit(m.lo, m.hi, slice(*n.own))
             pairs = [(m, c) for c in n.children]
         stack.extend(sorted(((bound(*p), *p) for p in pairs), key=lambda t: t[0]))
     found = np.empty_like(score), np.empty_like(best)
@@ -122,19 +140,57 @@ def dual_search(queries: np.ndarray, q_rows: np.ndarray, data: np.ndarray, ids:
     return found
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 4096) -> DataFrame:
-    """query_id, rank, vec_id, score of the k best rows for each query row.
-    ``vec_col`` holds integer vectors (array<bigint>)."""
-    rows = saved(
-        vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
-        .filter(F.col("v").isNotNull())
-        .withColumns({"row": F.monotonically_increasing_id(), "dim": F.size("v")})
-    )
-    total = rows.agg(F.count("*"), F.count_if("q")).first()
-    row_blocks, query_blocks = (max(1, -(-int(n or 0) // block_rows)) for n in total)
+def _placed(rows: DataFrame, centers: dict) -> DataFrame:
+    """Each row's cell (the nearest centre's; -1: around the origin), its distance from the
+    centre, and the cell whose centre it scores highest with."""
+    shared = rows.sparkSession.sparkContext.broadcast(centers)
+
+    def run(batches):
+        for pdf in batches:
+            for dim, whole in pdf.groupby("dim"):
+                for at in range(0, len(whole), 2048):
+                    g = whole.iloc[at : at + 2048]
+                    v = np.stack(g["v"].to_list()).astype(np.float64).reshape(len(g), dim)
+                    near, best, far = -1, -1, np.sqrt((v * v).sum(1))
+                    if dim in shared.value:
+                        names, c = shared.value[dim]
+                        dots = v @ c.T
+                        at_c = ((c * c).sum(1) - 2 * dots).argmin(1)
+                        near, best, far = names[at_c], names[dots.argmax(1)], np.sqrt(((v - c[at_c]) ** 2).sum(1))
+                    yield g.assign(cell=near, best=best, far=far)
+
+    return rows.mapInPandas(run, "id long, v array<double>, q boolean, row long, dim int, cell int, best int, far double")
+
+
+def _asked(queries: DataFrame, centers: dict, radius: dict[int, float]) -> DataFrame:
+    """Each query with the cells that may hold a score of at least its bound ``low``."""
+    shared = queries.sparkSession.sparkContext.broadcast((centers, radius))
+
+    def run(batches):
+        centers, radius = shared.value
+        for pdf in batches:
+            for dim, whole in pdf.groupby("dim"):
+                names, c = centers.get(dim, (np.full(1, -1), np.zeros((1, dim))))
+                r = np.array([radius.get(int(x), -1.0) for x in names])
+                for at in range(0, len(whole), 2048):
+                    g = whole.iloc[at : at + 2048]
+                    v = np.stack(g["v"].to_list()).astype(np.float64).reshape(len(g), dim)
+                    size = np.sqrt((v * v).sum(1))[:, None]
+                    most = v @ c.T + size * r + 1e-9 * (1 + size) * (1 + np.sqrt((c * c).sum(1)) + r)
+                    may = (most >= g["low"].fillna(-np.inf).to_numpy()[:, None]) & (r >= 0)
+                    yield pd.DataFrame({"id": g["id"], "v": g["v"], "row": g["row"], "dim": g["dim"], "low": g["low"], "cells": [names[m].tolist() for m in may]})
+
+    return queries.mapInPandas(run, "id long, v array<double>, row long, dim int, low double, cells array<int>")
+
+
+def _met(data: DataFrame, asks: DataFrame, sizes: list[tuple[int, int, int]], k: int) -> DataFrame:
+    """query, query_id, vec_id, score of the k best rows for each query and block of rows.
+    ``sizes``: cell, blocks of its rows, blocks of its queries (a row per asked cell)."""
+    blocks = F.broadcast(data.sparkSession.createDataFrame(sizes, "cell int, chunks long, groups long"))
     place = F.xxhash64("row")
-    data = rows.select("dim", "id", "v", "row", F.pmod(place, F.lit(row_blocks)).alias("rb"), F.explode(F.expr(f"sequence(0L, {query_blocks - 1}L)")).alias("qb"), F.lit(False).alias("asks"))
-    asks = rows.filter("q").select("dim", "id", "v", "row", F.explode(F.expr(f"sequence(0L, {row_blocks - 1}L)")).alias("rb"), F.pmod(place, F.lit(query_blocks)).alias("qb"), F.lit(True).alias("asks"))
+    cols = ["dim", "cell", "chunk", "of", "id", "v", "row"]
+    one = data.join(blocks, "cell").withColumns({"chunk": F.pmod(place, "chunks"), "of": F.explode(F.expr("sequence(0L, groups - 1)"))}).select(*cols, F.lit(False).alias("asks"), F.lit(None).cast("double").alias("low"))
+    two = asks.join(blocks, "cell").withColumns({"of": F.pmod(place, "groups"), "chunk": F.explode(F.expr("sequence(0L, chunks - 1)"))}).select(*cols, F.lit(True).alias("asks"), "low")
 
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
         asked = pdf["asks"].to_numpy()
@@ -143,12 +199,43 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
         if not asked.any() or asked.all():
             return pd.DataFrame({"query": [], "query_id": [], "vec_id": [], "score": []}).astype("int64")
         v = np.stack(pdf["v"].to_list()).astype(np.float64).reshape(len(pdf), -1)
-        score, best = dual_search(v[asked], where[asked], v[~asked], ids[~asked], where[~asked], k)
-        hit = np.isfinite(score)
+        low = pdf["low"].fillna(-np.inf).to_numpy(np.float64)[asked]
+        score, best = dual_search(v[asked], where[asked], v[~asked], ids[~asked], where[~asked], k, low)
+        hit = np.isfinite(score) & (score >= low[:, None])
         each = hit.sum(1)
         return pd.DataFrame({"query": np.repeat(where[asked], each), "query_id": np.repeat(ids[asked], each), "vec_id": best[hit], "score": score[hit].astype(np.int64)})
 
-    found = data.unionByName(asks).groupBy("dim", "rb", "qb").applyInPandas(search, "query long, query_id long, vec_id long, score long")
+    return one.unionByName(two).groupBy("dim", "cell", "chunk", "of").applyInPandas(search, "query long, query_id long, vec_id long, score long")
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", block_rows: int = 4096, cells: int = 1024) -> DataFrame:
+    """query_id, rank, vec_id, score of the k best rows for each query row.
+    ``vec_col`` holds integer vectors (array<bigint>); at most ``cells`` rows reach the driver."""
+    rows = saved(
+        vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).cast("array<double>").alias("v"), F.coalesce(is_query, F.lit(False)).alias("q"))
+        .filter(F.col("v").isNotNull())
+        .withColumns({"row": F.monotonically_increasing_id(), "dim": F.size("v")})
+    )
+    total, longest = rows.agg(F.count("*"), F.max(F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x))).first()
+    if longest is not None and longest >= EXACT:
+        raise ValueError(f"a squared vector length of {longest:.4g} is too large for exact scores (limit 2**53)")
+    blocks = lambda n: max(1, -(-int(n) // block_rows))
+    picked = rows.filter("dim > 0").orderBy(F.xxhash64("row"), "row").limit(min(cells, blocks(total))).select("dim", "v").toPandas()
+    centers = {int(dim): (g.index.to_numpy(), np.stack(g["v"].to_list()).astype(np.float64)) for dim, g in picked.groupby("dim")}
+    placed = saved(_placed(rows, centers))
+    stats = placed.groupBy("cell").agg(F.count("*"), F.max("far")).collect()  # at most cells + 1 rows
+    chunks, radius = {r[0]: blocks(r[1]) for r in stats}, {r[0]: r[2] * (1 + 1e-12) for r in stats}
+    queries = placed.filter("q")
+
+    asks = queries.groupBy("best").count().collect()
+    first = placed.join(F.broadcast(rows.sparkSession.createDataFrame(list(chunks.items()), "cell int, chunks long")), "cell").filter(F.pmod(F.xxhash64("row"), "chunks") == 0).drop("chunks")
+    seen = _met(first, queries.select("id", "v", "row", "dim", F.col("best").alias("cell"), F.lit(None).cast("double").alias("low")), [(r[0], 1, blocks(r[1])) for r in asks], k)
+    lows = seen.groupBy("query").agg(F.min("score").cast("double").alias("low"), F.count("*").alias("n")).filter(F.col("n") >= k).select(F.col("query").alias("row"), "low")
+    asked = saved(_asked(queries.join(lows, "row", "left").select("id", "v", "row", "dim", "low"), centers, radius))
+
+    each = asked.withColumn("cell", F.explode("cells")).drop("cells")
+    counts = each.groupBy("cell").count().collect()
+    found = _met(placed, each, [(r[0], chunks[r[0]], blocks(r[1])) for r in counts], k)
     w = W.partitionBy("query").orderBy(F.col("score").desc(), "vec_id")
     null_last = F.when(F.col("vec_id") != int(LAST), F.col("vec_id"))
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), null_last.alias("vec_id"), "score")

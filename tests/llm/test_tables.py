@@ -174,6 +174,43 @@ def test_top_k_against_brute_force(spark, block):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_top_k_sends_queries_only_to_cells_that_can_beat_them(spark):
+    from pyspark.sql import functions as F
+
+    rng = np.random.default_rng(12)
+    centers = rng.normal(0, 400, (12, 16))
+    vectors = [(int(i), (centers[i % 12] + rng.normal(0, 10, 16)).astype(int).tolist()) for i in range(1200)]
+    vectors += [(2000 + i, [7] * 16) for i in range(600)]  # one very common vector
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<long>").repartition(4)
+    sent = []
+    met = topk._met
+
+    def counted(data, asks, sizes, k):
+        sent.append(asks.count())
+        return met(data, asks, sizes, k)
+
+    topk._met = counted
+    try:
+        found = topk.top_k(df, F.col("vec_id") % 100 == 0, 5, block_rows=60)
+    finally:
+        topk._met = met
+    got = sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect()), key=str)
+    assert got == plain_top(vectors, 5)
+    queries, asked = sent
+    cells = 1800 // 60
+    assert queries == 18 and asked < queries * cells / 3
+    one = topk.top_k(df, F.col("vec_id") % 100 == 0, 5, block_rows=500, cells=1)
+    assert sorted(((r.query_id, r.rank, r.vec_id, r.score) for r in one.collect()), key=str) == got
+
+
+def test_top_k_refuses_vectors_too_long_for_exact_scores(spark):
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([(100, [1 << 27, 1]), (1, [1, 1])], "vec_id long, embedding array<long>")
+    with pytest.raises(ValueError, match="too large for exact scores"):
+        topk.top_k(df, F.col("vec_id") == 100)
+
+
 def test_top_k_prunes_and_takes_only_valid_vectors(spark):
     from pyspark.sql import functions as F
 
