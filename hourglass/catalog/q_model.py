@@ -404,8 +404,7 @@ def q_attribution(spark, sf):
 def q_global_importance(spark, sf):
     """Mean absolute attribution per feature."""
     s = _split(spark, sf)
-    long = AT.linear_attribution(s.filter("split = 'test'"), s.filter("split = 'train'"), FIXED_BETA, FEATS, [*KEYS, TS])
-    return rounded(A.global_importance(long))
+    return rounded(AT.linear_importance(s.filter("split = 'test'"), s.filter("split = 'train'"), FIXED_BETA, FEATS))
 
 
 @register("top_importance", f"WITH {_ATTR_SQL},\ng AS (SELECT feature, avg(abs(contribution)) AS mean_abs FROM long GROUP BY 1)\n"
@@ -414,8 +413,8 @@ def q_global_importance(spark, sf):
 def q_top_importance(spark, sf):
     """O2 on A17: the 20 most important features, numbered."""
     s = _split(spark, sf)
-    long = AT.linear_attribution(s.filter("split = 'test'"), s.filter("split = 'train'"), FIXED_BETA, FEATS, [*KEYS, TS])
-    return rounded(O.top_k(A.global_importance(long), "mean_abs", 20, "feature"))
+    means = AT.linear_importance(s.filter("split = 'test'"), s.filter("split = 'train'"), FIXED_BETA, FEATS)
+    return rounded(O.top_k(means, "mean_abs", 20, "feature"))
 
 
 _LOCAL_POS = 10

@@ -43,6 +43,15 @@ def linear_attribution(rows: DataFrame, train: DataFrame, beta: dict, features:
     return j.select(*id_cols, F.explode(F.array(*items)).alias("_a")).select(*id_cols, "_a.*")
 
 
+def linear_importance(rows: DataFrame, train: DataFrame, beta: dict, features: Sequence[str]) -> DataFrame:
+    """A17 of M9 without the long table: feature, mean_abs.  One aggregate a feature over the
+    wide rows; only its one row is unpivoted."""
+    j = attach_scalars(rows.select(*features), train_means(train, features))
+    wide = j.agg(*[F.avg(F.abs(F.lit(float(beta.get(c, 0.0))) * (F.col(c).cast("double") - F.col(f"mu_{c}")))).alias(c) for c in features])
+    items = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("mean_abs")) for c in features]
+    return wide.select(F.inline(F.array(*items)))
+
+
 def local_explanation(row: DataFrame, train: DataFrame, beta: dict, features: Sequence[str],
                       keys: Sequence[str], ts: str, k: int = 15) -> DataFrame:
     """For the chosen row(s), value, contribution and its absolute value,

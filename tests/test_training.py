@@ -119,3 +119,15 @@ def test_boosted_forecast_query_shape(spark):
     assert (out["predicted_aqi"] >= 0).all()
     m = out.merge(raw, on=["location_id", "timestamp"], how="left")
     np.testing.assert_allclose(m["future_us_aqi"], m["us_aqi"].round(6), atol=1e-6)
+
+
+def test_linear_importance_equals_the_mean_of_the_long_attribution(spark):
+    from hourglass.operators.aggregates import global_importance
+    from hourglass.plans.attribution import linear_attribution, linear_importance
+
+    rows = spark.createDataFrame([(i, float(i % 7), None if i % 5 == 0 else float(-i), 1.0) for i in range(60)], "id int, a double, b double, c double")
+    train, beta = rows.filter("id < 40"), {"a": 2.0, "b": -0.5}
+    want = {r.feature: r.mean_abs for r in global_importance(linear_attribution(rows, train, beta, ["a", "b", "c"], ["id"])).collect()}
+    got = {r.feature: r.mean_abs for r in linear_importance(rows, train, beta, ["a", "b", "c"]).collect()}
+    assert set(got) == set(want) and all(abs(got[f] - want[f]) < 1e-12 for f in want)
+    assert [r.mean_abs for r in linear_importance(rows.limit(0), train, beta, ["a"]).collect()] == [None]
