@@ -140,7 +140,8 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("op6_toxicity")
 def op6_toxicity(spark: SparkSession, sf_dir: str, train_rows: int = 4000) -> DataFrame:
     """Fitted on at most ``train_rows`` labelled documents of each label: the ones
-    with the least id hashes, found before any text is read."""
+    with the least id hashes, found before any text is read.  A document with labels
+    that disagree is toxic."""
     docs = table(spark, sf_dir, "documents")
     held = F.crc32(F.encode(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "UTF-8")) % 4 == 2
     labels = table(spark, sf_dir, "labels").filter("doc_id is not null and toxic in (0, 1)").filter(~held).groupBy("doc_id").agg(F.max("toxic").alias("label"))

@@ -27,6 +27,7 @@ from __future__ import annotations
 import itertools
 import re
 import unicodedata
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -272,7 +273,9 @@ def fit(docs: DataFrame, text_col: str = "text", label_col: str = "label", id_co
     surprise = odds * F.sqrt(F.col("toxic").cast("double"))
     hot = words.filter((F.length("unit") >= LENGTH) & (odds > 0)).orderBy(surprise.desc(), "unit").limit(12 * landmarks).collect()
     often = [r["unit"] for r in words.filter(F.length("unit") >= LENGTH).filter(F.col("clean") * have[1] >= F.col("toxic") * have[0]).orderBy(F.col("clean").desc(), "unit").limit(2000).collect()]
-    strong = _cover(_holds(sample, [r["unit"] for r in hot]), {r["unit"]: r["clean"] for r in hot}, have, 4 * landmarks)
+    held, clean = _holds(sample, [r["unit"] for r in hot]), {r["unit"]: r["clean"] for r in hot}
+    strong = _cover(held, clean, have, 4 * landmarks)
+    strong += [u for u in _proven(held, clean, have, words.count()) if u not in strong]
     base = _diverse(strong, often, landmarks)
     machine = Machine(base)
     machine.fit(strong, often)
@@ -319,6 +322,30 @@ def _cover(held: list[set[str]], clean: dict[str, int], have: dict[int, int], ma
     return picked
 
 
+def _proven(held: list[set[str]], clean: dict[str, int], have: dict[int, int], words: int) -> list[str]:
+    """Suspicious words that stand for themselves although other insults cover their documents.
+    They are sharp (at least 20 times as often in toxic documents as in clean ones), lie in toxic
+    documents beyond chance by a likelihood test over all words, and no other sharp word lies in over 0.8 of
+    the same documents.  Documents with the same sharp words, as copies have, count once."""
+    seen = Counter(u for h in held for u in h)
+    sharp = {u for u, n in seen.items() if 20 * clean[u] * have[1] <= n * have[0]}
+    where: dict[str, list[frozenset[str]]] = {}
+    for own in {frozenset(h & sharp) for h in held}:
+        for u in own:
+            where.setdefault(u, []).append(own)
+    base, out = have[1] / (have[0] + have[1]), []
+    for u, own in sorted(where.items(), key=lambda x: (-len(x[1]), x[0])):
+        a, b = len(own), clean[u]
+        share = a / (a + b)
+        if share <= base:
+            continue
+        gain = a * np.log(share / base) + (b * np.log((1 - share) / (1 - base)) if b else 0)
+        beside = Counter(w for s in own for w in s if w != u)
+        if gain > np.log(words / 0.05) and max(beside.values(), default=0) <= 0.8 * a:
+            out.append(u)
+    return out
+
+
 def _diverse(hot: list[str], often: list[str], many: int) -> list[str]:
     """Landmarks: suspicious words that are not near copies of one another, and common ones."""
     picked: list[str] = []

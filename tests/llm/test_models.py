@@ -210,3 +210,26 @@ def test_letters_are_of_category_l(spark):
     assert few.tables and {r.doc_id: r.lang_pred for r in langid.identify(df, few).collect()} == got
     kept = langid.accepted(df, few)
     assert kept.columns == df.columns and {10, 11} <= {r.doc_id for r in kept.collect()} <= {7, 8, 9, 10, 11}
+
+
+def test_toxicity_query_on_held_out_labels(spark):
+    """The registered query over whole tables; rows that it learnt from are left out of the count."""
+    from hourglass.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.01"
+    rows = QUERIES["op6_toxicity"](spark, sf).filter("held_out").join(spark.read.parquet(f"{sf}/labels.parquet").filter("toxic is not null"), "doc_id").select("score", "predicted", "toxic").collect()
+    bad, good = [r for r in rows if r.toxic == 1], [r for r in rows if r.toxic == 0]
+    caught, wrong = sum(r.predicted for r in bad) / len(bad), sum(r.predicted for r in good) / len(good)
+    # 14 toxic and 80 other rows: five of the toxic ones hold no insult that the rest of the table knows
+    assert len(bad) >= 10 and len(good) >= 50
+    assert caught >= 0.6 and wrong <= 0.05
+
+
+def test_toxicity_words_that_others_cover_are_proven_but_not_neighbours_of_copies():
+    insults = [{"scum", "trash"}, {"scum", "idiot"}, {"trash", "idiot"}, {"scum"}, {"trash", "idiot", "the"}, {"scum", "trash", "idiot"}, {"idiot"}]
+    copies = [{"scum", "lorem", "ipsum"}] * 50
+    clean = {"scum": 0, "trash": 0, "idiot": 0, "the": 90, "lorem": 0, "ipsum": 0}
+    have = {0: 400, 1: 57}
+    assert toxicity._cover(insults + copies, clean, have, 9)[0] == "scum"
+    assert toxicity._proven(insults + copies, clean, have, 50) == ["scum", "idiot", "trash"]
+    assert toxicity._proven([], {}, have, 0) == []

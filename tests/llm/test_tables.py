@@ -150,6 +150,43 @@ def test_sharding_is_exact_uniform_and_stable(spark):
     assert not chi_square_high(m[:, 2].sum(0))
 
 
+def plain_places(rows, order, shards, seed):
+    """Shard and slot of each row by lists: ``order`` holds both permutations' keys of a row."""
+    blocks = {}
+    for r in rows:
+        blocks.setdefault((r >> 33) % sharding.MAX_BLOCKS, []).append(r)
+    matrix = sharding.communication_matrix([len(blocks[b]) for b in sorted(blocks)], shards, seed)
+    got = [[] for _ in range(shards)]
+    for b, counts in zip(sorted(blocks), matrix, strict=True):
+        own = iter(sorted(blocks[b], key=lambda r: (order[r][0], r)))
+        for j, n in enumerate(counts):
+            got[j] += [next(own) for _ in range(n)]
+    return {r: (j, i) for j, part in enumerate(got) for i, r in enumerate(sorted(part, key=lambda r: (order[r][1] % (1 << 64), r)))}
+
+
+def test_sharding_equals_plain_lists_and_every_assignment_is_as_likely(spark):
+    from pyspark.sql import functions as F
+
+    rows = [(b << 33) + i for b, n in ((0, 11), (1, 3), (5, 10)) for i in range(n)]
+    seeds, shards = 600, 4
+    table = spark.createDataFrame([(r,) for r in rows], "_row long")
+    keys = table.crossJoin(spark.range(seeds).select(F.col("id").cast("int").alias("seed")))
+    order = [{} for _ in range(seeds)]
+    for r in keys.select("_row", "seed", F.xxhash64("seed", F.lit(1), "_row").alias("a"), F.xxhash64("seed", F.lit(2), "_row").alias("b")).collect():
+        order[r.seed][r._row] = (r.a, r.b)
+    plain = [plain_places(rows, order[s], shards, s) for s in range(seeds)]
+    for s in (0, 7):
+        got = {r._row: (r.shard, r.slot) for r in sharding.places(table.repartition(3), shards, s).collect()}
+        assert got == plain[s]
+    # every row goes to every shard and slot as often, rows of one block and of two blocks meet as often
+    for r in rows[::5]:
+        assert not chi_square_high(np.bincount([p[r][0] for p in plain], minlength=shards))
+        assert not chi_square_high(np.bincount([p[r][1] for p in plain], minlength=6))
+    for a, b in ((rows[0], rows[1]), (rows[0], rows[12])):
+        met = sum(p[a][0] == p[b][0] for p in plain) / seeds
+        assert abs(met - 5 / 23) < 4 * (5 / 23 * 18 / 23 / seeds) ** 0.5
+
+
 def plain_top(vectors, k):
     out = []
     for q, (i, v) in enumerate(vectors):
