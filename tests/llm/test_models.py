@@ -226,10 +226,10 @@ def test_toxicity_query_on_held_out_labels(spark):
 
 
 def test_toxicity_words_that_others_cover_are_proven_but_not_neighbours_of_copies():
-    insults = [{"scum", "trash"}, {"scum", "idiot"}, {"trash", "idiot"}, {"scum"}, {"trash", "idiot", "the"}, {"scum", "trash", "idiot"}, {"idiot"}]
+    insults = [{"scum", "trash"}, {"scum", "idiot"}, {"trash", "idiot"}, {"scum"}, {"trash", "idiot", "the"}, {"scum", "trash", "idiot"}, {"idiot"}, {"trash"}]
     copies = [{"scum", "lorem", "ipsum"}] * 50
     clean = {"scum": 0, "trash": 0, "idiot": 0, "the": 90, "lorem": 0, "ipsum": 0}
-    have = {0: 400, 1: 57}
+    have = {0: 400, 1: 58}
     assert toxicity._cover(insults + copies, clean, have, 9)[0] == "scum"
     assert toxicity._proven(insults + copies, clean, have, 50) == ["scum", "idiot", "trash"]
     assert toxicity._proven([], {}, have, 0) == []
